@@ -16,15 +16,15 @@ def generate_series(spark: SparkSession, upper_bound: int) -> DataFrame:
 
 
 def intervals_between(start: Column, end: Column, datepart: str) -> Column:
-    """Boundaries of ``datepart`` crossed from start to end."""
+    """Boundaries of ``datepart`` crossed from start to end; weeks are whole seven-day steps."""
     if datepart not in _STEP:
         raise ValueError(f"unsupported datepart {datepart!r}")
     if datepart == "day":
         return F.datediff(end, start).cast("bigint")
-    if datepart in ("hour", "week"):
-        low, high = F.date_trunc(datepart, start), F.date_trunc(datepart, end)
-        seconds = {"hour": 3600, "week": 604800}[datepart]
-        return F.floor((F.unix_seconds(high.cast("timestamp")) - F.unix_seconds(low.cast("timestamp"))) / seconds)
+    if datepart == "week":
+        return (F.datediff(end, start) / 7).cast("bigint")
+    if datepart == "hour":
+        return F.timestamp_diff("HOUR", F.date_trunc("hour", start), F.date_trunc("hour", end))
     months = (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start)
     if datepart == "month":
         return months.cast("bigint")

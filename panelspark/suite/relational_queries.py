@@ -340,12 +340,12 @@ _GEO = {"lat1": "CAST(c_custkey % 180 - 90 AS DOUBLE)", "lon1": "CAST(c_custkey
 @query("haversine", f"""WITH g AS (SELECT c_custkey, {", ".join(f"{e} AS {n}" for n, e in _GEO.items())} FROM customer),
 m AS (SELECT c_custkey, 2 * 3961 * asin(sqrt(pow(sin(radians((lat2 - lat1) / 2)), 2)
   + cos(radians(lat1)) * cos(radians(lat2)) * pow(sin(radians((lon2 - lon1) / 2)), 2))) AS mi FROM g)
-SELECT c_custkey, round(mi, 9) + 0.0 AS miles, round(mi * 1.60934::DOUBLE, 9) + 0.0 AS kilometres FROM m""")
+SELECT c_custkey, round(mi, 5) + 0.0 AS miles, round(mi * 1.60934::DOUBLE, 5) + 0.0 AS kilometres FROM m""")
 def haversine(spark, sf):
     points = table(spark, sf, "customer").select("c_custkey", *[F.expr(e).alias(n) for n, e in _GEO.items()])
     args = [F.col(n) for n in _GEO]
-    return points.select("c_custkey", r9(haversine_distance(*args), "miles"),
-                         r9(haversine_distance(*args, unit="km"), "kilometres"))
+    return points.select("c_custkey", (F.round(haversine_distance(*args), 5) + 0.0).alias("miles"),
+                         (F.round(haversine_distance(*args, unit="km"), 5) + 0.0).alias("kilometres"))
 
 
 # --- text and URLs ----------------------------------------------------------------

@@ -1,8 +1,8 @@
 """The given order tables read as a panel.
 
 entity = customer, group = order priority, period = order year, exposure = number of lines.
-Measures are sums over lines; money and rates are summed as decimals, so they do not depend on
-the order of addition. The fragments below are plain SQL that both engines understand.
+Measures are sums over lines; discounts and taxes are summed as whole hundredths, so no sum
+depends on the order of addition. The fragments below are plain SQL that both engines understand.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ LINE_MEASURES = {
     "minutes_played": "sum(CAST(l_quantity AS BIGINT))",
     "goals": _lines_where("l_returnflag = 'R'"),
     "assists": _lines_where("l_discount >= 0.05"),
-    "npxg_sum": "sum(CAST(l_discount AS DECIMAL(12,2)))",
-    "xag_sum": "sum(CAST(l_tax AS DECIMAL(12,2)))",
+    "npxg_sum": "sum(CAST(floor(l_discount * 100 + 0.5) AS BIGINT))",
+    "xag_sum": "sum(CAST(floor(l_tax * 100 + 0.5) AS BIGINT))",
     "shots_total": _lines_where("l_quantity > 25"),
     "shots_on_target": _lines_where("l_quantity > 40"),
     "sca": _lines_where("l_linenumber = 1"),
@@ -59,16 +59,16 @@ PLAYER_ID = "md5(concat(player_name, '-', CAST(birth_year AS VARCHAR(20)), '-',
 PERSON_ID = {"player_id": PLAYER_ID}
 EXPOSED = {
     "minutes_90s": "CAST(n_lines AS DOUBLE)",
-    "npxg": "CAST(npxg_sum AS DOUBLE)",
-    "xag": "CAST(xag_sum AS DOUBLE)",
-    "xg": "CAST(npxg_sum + xag_sum AS DOUBLE)",
+    "npxg": "CAST(npxg_sum AS DOUBLE) / 100",
+    "xag": "CAST(xag_sum AS DOUBLE) / 100",
+    "xg": "CAST(npxg_sum + xag_sum AS DOUBLE) / 100",
 }
 KEEPER = {
     "goals_against": "goals",
     "save_pct": "CASE WHEN n_lines >= 6 THEN 100 * CAST(takeons_won AS DOUBLE) / n_lines END",
     "clean_sheet_pct": "100 * CAST(interceptions AS DOUBLE) / n_lines",
-    "psxg": "CAST(npxg_sum AS DOUBLE)",
-    "psxg_plus_minus": "CAST(npxg_sum - xag_sum AS DOUBLE)",
+    "psxg": "CAST(npxg_sum AS DOUBLE) / 100",
+    "psxg_plus_minus": "CAST(npxg_sum - xag_sum AS DOUBLE) / 100",
     "crosses_stopped_pct": "CASE WHEN crosses > 0 THEN 100 * CAST(aerials_won AS DOUBLE) / n_lines END",
     "sweeper_actions": "recoveries",
     "long_pass_completion_pct": "100 * CAST(key_passes AS DOUBLE) / n_lines",
@@ -93,7 +93,7 @@ COUNTED_SQL = f"""
 line_sums AS (SELECT l_orderkey, {_sql(LINE_MEASURES)} FROM lineitem GROUP BY l_orderkey),
 counted AS (
   SELECT o_custkey, o_orderpriority AS squad, CAST(year(o_orderdate) AS VARCHAR) AS season_id,
-         {", ".join(f"CAST(sum({m}) AS {'DECIMAL(18,2)' if m.endswith('_sum') else 'BIGINT'}) AS {m}" for m in LINE_MEASURES)}
+         {", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in LINE_MEASURES)}
   FROM orders JOIN line_sums ON o_orderkey = l_orderkey GROUP BY ALL)"""
 
 PANEL_SQL = f"""{PERSONS_SQL}, {COUNTED_SQL},
@@ -145,37 +145,32 @@ keepers AS (
 # --- Spark side -----------------------------------------------------------
 
 
-def _exprs(fragments: dict[str, str]) -> dict:
-    return {n: F.expr(e) for n, e in fragments.items()}
-
-
 def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = table(spark, sf_dir, "customer").join(
-        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    described = customers.select("c_custkey", *[e.alias(n) for n, e in _exprs(PERSON).items()])
-    return described.withColumns(_exprs(PERSON_ID))
+    described = spark.sql(f"""SELECT c_custkey, {_sql(PERSON)}
+        FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey""",
+                          customer=table(spark, sf_dir, "customer"), nation=table(spark, sf_dir, "nation"))
+    return described.selectExpr("*", *[f"{e} AS {n}" for n, e in PERSON_ID.items()])
 
 
-def counted(spark: SparkSession, sf_dir: str, measures=tuple(LINE_MEASURES), where: str | None = None) -> DataFrame:
+def counted(spark: SparkSession, sf_dir: str, measures=tuple(LINE_MEASURES), where: str = "true") -> DataFrame:
     """Measures per (o_custkey, squad, season_id).
 
     Lines collapse to one row per order before the join, so an order or customer with most of
     the lines never reaches a join as raw rows.
     """
-    lines = table(spark, sf_dir, "lineitem")
-    lines = lines.where(where) if where else lines
-    sums = lines.groupBy("l_orderkey").agg(*[F.expr(LINE_MEASURES[m]).alias(m) for m in measures])
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", F.col("o_orderpriority").alias("squad"),
-        F.year("o_orderdate").cast("string").alias("season_id"))
-    joined = orders.join(sums, F.col("o_orderkey") == F.col("l_orderkey"))
-    return joined.groupBy("o_custkey", "squad", "season_id").agg(*[
-        F.sum(m).cast("decimal(18,2)" if m.endswith("_sum") else "bigint").alias(m) for m in measures])
+    return spark.sql(f"""
+        WITH line_sums AS (SELECT l_orderkey, {_sql({m: LINE_MEASURES[m] for m in measures})}
+                           FROM {{lineitem}} WHERE {where} GROUP BY l_orderkey)
+        SELECT o_custkey, o_orderpriority AS squad, CAST(year(o_orderdate) AS STRING) AS season_id,
+               {", ".join(f"sum({m}) AS {m}" for m in measures)}
+        FROM {{orders}} JOIN line_sums ON o_orderkey = l_orderkey
+        GROUP BY o_custkey, o_orderpriority, year(o_orderdate)""",
+                     lineitem=table(spark, sf_dir, "lineitem"), orders=table(spark, sf_dir, "orders"))
 
 
 def _panel_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = counted(spark, sf_dir).join(persons(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
-    return rows.withColumns(_exprs({**EXPOSED, **KEEPER}))
+    return rows.selectExpr("*", *[f"{e} AS {n}" for n, e in {**EXPOSED, **KEEPER}.items()])
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
