@@ -113,6 +113,5 @@ def entity_history(entity: Column, preferred: DataFrame, fallback: DataFrame, co
         return df.where(entity).select(F.lit(priority).alias("__priority"),
                                        *[F.col(c) if c in own else F.lit(None).alias(c) for c in columns])
     rows = side(preferred, 1).unionByName(side(fallback, 2))
-    best = rows.agg(F.min("__priority").alias("__best"))
-    return (rows.join(F.broadcast(best), F.col("__priority") == F.col("__best"), "left_semi")
-            .drop("__priority").orderBy(*order))
+    best = rows.agg(F.min("__priority")).scalar()
+    return rows.where(F.col("__priority") == best).drop("__priority").orderBy(*order)

@@ -46,21 +46,20 @@ class _Tables(HTMLParser):
         self.tables: list[dict] = []
         self._open: list[dict] = []
         self._cell: dict | None = None
-        self._section = ""
 
     def handle_starttag(self, tag, attrs):
         attributes = dict(attrs)
         if tag == "table":
-            table = {"class": (attributes.get("class") or "").split(), "rows": []}
+            table = {"class": (attributes.get("class") or "").split(), "rows": [], "section": ""}
             self.tables.append(table)
             self._open.append(table)
-            self._cell, self._section = None, ""
+            self._cell = None
         elif not self._open:
             return
         elif tag in ("thead", "tbody", "tfoot"):
-            self._section = tag
+            self._open[-1]["section"] = tag
         elif tag == "tr":
-            self._open[-1]["rows"].append({"section": self._section, "cells": []})
+            self._open[-1]["rows"].append({"section": self._open[-1]["section"], "cells": []})
             self._cell = None
         elif tag in ("td", "th") and self._open[-1]["rows"]:
             span = [int(attributes[a]) if (attributes.get(a) or "").isdigit() else 1 for a in ("colspan", "rowspan")]
@@ -73,6 +72,8 @@ class _Tables(HTMLParser):
     def handle_endtag(self, tag):
         if tag == "table" and self._open:
             self._open.pop()
+        elif tag in ("thead", "tbody", "tfoot") and self._open:
+            self._open[-1]["section"] = ""
         if tag in ("td", "th", "tr", "table"):
             self._cell = None
 

@@ -33,9 +33,8 @@ def canonical(columns, rows):
     return sorted(tuple(text(r[i]) for i in order) for r in rows)
 
 
-def compare(spark, connection, sf_dir: str, name: str, query, sql: str | None) -> tuple[str, str]:
+def compare(df, connection, sql: str | None) -> tuple[str, str]:
     """("ok" | "rows" | "FAIL", detail)"""
-    df = query(spark, sf_dir)
     mine = [tuple(r) for r in df.collect()]
     if sql is None:
         return "rows", f"{len(mine)} rows"
@@ -71,7 +70,7 @@ def main() -> int:
     for name in args or QUERIES:
         start = time.time()
         try:
-            state, detail = compare(spark, connection, sf_dir, name, QUERIES[name], ORACLES.get(name))
+            state, detail = compare(QUERIES[name](spark, sf_dir), connection, ORACLES.get(name))
         except Exception as error:  # report and go on with the next query
             state, detail = "FAIL", f"{type(error).__name__}: {str(error)[:1500]}"
             if os.environ.get("TRACE"):
