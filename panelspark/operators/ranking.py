@@ -172,13 +172,15 @@ def value_neighbours(df: DataFrame, keys: Sequence[str], value: str, aggregates:
                      max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Distinct non-NULL values per group with the next lower (``__prev``) and next higher (``__next``) one.
 
-    ``aggregates`` are computed per distinct value. A group without keys is one big group, so
-    it is split as soon as it passes the limit.
+    ``aggregates`` are computed per distinct value. Nothing is written while every group fits a
+    task; a group without keys is one big group, so it is split as soon as it passes the limit.
     """
-    values = materialize(df.where(F.col(value).isNotNull()).groupBy(*keys, value)
-                         .agg(F.count(F.lit(1)).alias("__n"), *aggregates), "values")
-    largest = largest_group(values, keys)
-    if largest > max_group_rows:
-        return bucketed_neighbours(values, keys, value, largest, max_group_rows)
+    known = df.where(F.col(value).isNotNull())
+    values = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"), *aggregates)
+    if largest_group(known, keys) > max_group_rows:
+        values = materialize(values, "values")
+        largest = largest_group(values, keys)
+        if largest > max_group_rows:
+            return bucketed_neighbours(values, keys, value, largest, max_group_rows)
     ordered = Window.partitionBy(*keys).orderBy(value)
     return values.withColumns({"__prev": F.lag(value).over(ordered), "__next": F.lead(value).over(ordered)})

@@ -13,7 +13,7 @@ from ..session import materialize, new_path
 from ..sources.files import refresh_period, save_mart, stamp_load
 from .registry import q9, query, r9, table
 from .tpch import (KEEPERS_SQL, PANEL_COLUMNS, PANEL_SQL, PERSONS_SQL, RATED_SQL, ROLE_SQL,
-                   SCOUTING_SQL, counted, keeper_panel, panel, persons)
+                   SCOUTING_SQL, both_panels, counted, keeper_panel, panel, persons)
 
 KEYS = V.PANEL_KEYS
 RATES = list(M.SCOUTING_RATES)
@@ -294,21 +294,26 @@ trends AS (SELECT player_id, player_name, season_id, squad, primary_position, ag
   FROM indexed WINDOW h AS (PARTITION BY player_id ORDER BY season_id, squad))"""
 
 
+def both_rated(spark, sf):
+    field, specialists = both_panels(spark, sf)
+    return M.scouting_rates(field), M.keeper_rates(specialists)
+
+
 def trends(spark, sf):
-    return M.trends_mart(rated(spark, sf), rated_keepers(spark, sf))
+    return M.trends_mart(*both_rated(spark, sf))
 
 
 @query("role_union", f"""WITH {TRENDS_SQL}
 SELECT player_id, squad, season_id, primary_position, {rounded_sql(["goals", "npxg", "gk_metric"])} FROM combined""")
 def role_union(spark, sf):
-    rows = M.combined_roles(rated(spark, sf), rated_keepers(spark, sf))
+    rows = M.combined_roles(*both_rated(spark, sf))
     return rows.select(*KEYS, "primary_position", *rounded(["goals", "npxg", "gk_metric"]))
 
 
 @query("specialist_index", f"""WITH {TRENDS_SQL}
 SELECT player_id, squad, season_id, primary_position, {rounded_sql(["specialist_index", "scoring_index"])} FROM indexed""")
 def specialist_index_query(spark, sf):
-    rows = M.combined_roles(rated(spark, sf), rated_keepers(spark, sf))
+    rows = M.combined_roles(*both_rated(spark, sf))
     return rows.select(*KEYS, "primary_position", *rounded(["specialist_index", "scoring_index"]))
 
 
@@ -404,8 +409,9 @@ SELECT s.player_id, s.squad, s.season_id, market_value_est_m_eur, performance_ti
 FROM scouting s LEFT JOIN valued v ON s.player_id = v.player_id AND s.squad = v.squad AND s.season_id = v.season_id
 LEFT JOIN consistency c ON s.player_id = c.player_id AND s.primary_position = c.primary_position""")
 def serving_join(spark, sf):
-    scouted = materialize(scouting(spark, sf), "scouting")
-    risk = M.consistency_mart(M.trends_mart(scouted, rated_keepers(spark, sf)), VOLATILITY, FORM)
+    field, specialists = both_panels(spark, sf)
+    scouted = materialize(M.scouting_mart(field), "scouting")
+    risk = M.consistency_mart(M.trends_mart(scouted, M.keeper_rates(specialists)), VOLATILITY, FORM)
     out = P.serving_join(scouted, M.valuation_mart(scouted), risk)
     return out.select(*KEYS, "market_value_est_m_eur", "performance_tier", "squad_status", "transfer_risk_rating",
                       r9("performance_volatility"))
@@ -555,9 +561,9 @@ both_sides AS (SELECT * FROM kept UNION ALL SELECT * FROM field)
 SELECT player_name, season_id, squad, primary_position, minutes_90s, {q9("save_pct")}, {q9("npxg")}
 FROM both_sides ORDER BY season_id, squad""")
 def entity_history(spark, sf):
-    specialists = materialize(rated_keepers(spark, sf), "keepers")
+    field, specialists = both_rated(spark, sf)
     name = specialists.agg(F.min("player_name")).scalar()
-    rows = P.entity_history(F.col("player_name") == name, specialists, rated(spark, sf), _HISTORY)
+    rows = P.entity_history(F.col("player_name") == name, specialists, field, _HISTORY)
     return rows.select(*_HISTORY[:5], r9("save_pct"), r9("npxg"))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import materialize
 from .registry import table
 
 
@@ -173,6 +174,12 @@ def _panel_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.selectExpr("*", *[f"{e} AS {n}" for n, e in {**EXPOSED, **KEEPER}.items()])
 
 
+def both_panels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Outfield and keeper panel from one pass over the lines, stored in between."""
+    rows = materialize(_panel_all(spark, sf_dir), "panel")
+    return rows.select(*PANEL_COLUMNS), rows.where("primary_position = 'GK'").select(*KEEPER_COLUMNS)
+
+
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _panel_all(spark, sf_dir).select(*PANEL_COLUMNS)
 

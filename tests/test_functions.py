@@ -1,3 +1,5 @@
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,6 +16,12 @@ def values(spark, rows, schema, column):
     return [r[0] for r in df.select(column).collect()]
 
 
+def normalized(text):
+    for old, new in V.FOLD_PAIRS:
+        text = text.replace(old, new)
+    return "".join(c for c in unicodedata.normalize("NFD", text) if unicodedata.category(c) != "Mn")
+
+
 def test_clean_numeric(spark):
     texts = ["1,020", "1.5", "-0.5", "1e3", "", None, "n/a", "12", "99999999999"]
     assert values(spark, texts, "x string", clean_numeric(F.col("x"))) == [1020, 2, -1, 1000, None, None, None, 12, None]
@@ -95,6 +103,9 @@ def test_urls(spark):
 def test_names(spark):
     names = ["Türkıye İø ß", "Crème Brûlée", "Ø", None, "Łódź"]
     assert values(spark, names, "n string", fold_name(F.col("n"))) == ["Turkiye Io ss", "Creme Brulee", "Ø", None, "Łodz"]
+    odd = ["한국 Ünal", "e\u0301té", "Ǻ ḯ ﬁ 𝒜", "Việt Nam", "\u0958 \u09cb \u1100", "plain"]
+    want = [normalized(t) for t in odd]
+    assert values(spark, odd, "n string", fold_name(F.col("n"))) == want
     assert values(spark, ["!Hell0 world-hi", "0Hell0 world-hi"], "n string", slugify(F.col("n"))) == [
         "hell0_world_hi", "_0hell0_world_hi"]
     assert [slugify_text(t) for t in ("!Hell0 world-hi", "0Hell0 world-hi")] == ["hell0_world_hi", "_0hell0_world_hi"]
