@@ -1,4 +1,6 @@
-"""Time headline queries; prints one JSON line.
+"""Time headline queries; prints one JSON line. A time is the better of two runs in one session, so it
+leaves out class loading and code generation of the first run, but includes planning and every stored
+intermediate.
 
 BENCH_SF_DIR, BENCH_CPUS: data folder and cores. BENCH_QUERIES: comma-separated names, or ``all``.
 BENCH_SQL=1 also times the equivalent SQL in DuckDB on the same tables (key ``sql``).
@@ -27,6 +29,15 @@ HEADLINE = [
 ]
 
 
+def best_of_two(run) -> float:
+    times = []
+    for _ in range(2):
+        start = time.perf_counter()
+        run()
+        times.append(time.perf_counter() - start)
+    return round(min(times), 3)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -46,18 +57,15 @@ def main() -> None:
 
     seconds, sql_seconds = {}, {}
     for name in names:
-        start = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - start, 3)
+        seconds[name] = best_of_two(lambda: QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save())
     if os.environ.get("BENCH_SQL"):
         from tests.oracle import connect
         connection = connect(sf_dir)
         connection.execute(f"SET threads TO {cpus}")
         for name in names:
             if name in ORACLES:
-                start = time.perf_counter()
-                connection.execute(f"CREATE OR REPLACE TEMP TABLE bench_out AS {ORACLES[name]}")
-                sql_seconds[name] = round(time.perf_counter() - start, 3)
+                sql_seconds[name] = best_of_two(
+                    lambda: connection.execute(f"CREATE OR REPLACE TEMP TABLE bench_out AS {ORACLES[name]}"))
     spark.stop()
     out = {"metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec",
            "queries": seconds, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"), "cpus": int(cpus)}

@@ -80,6 +80,24 @@ def role_scores(df: DataFrame, keys: Sequence[str] = (), role: str = "scouting_r
     return scored.withColumn(out, F.coalesce(out, F.lit(0.0))).drop(*slots)
 
 
+def role_axes(df: DataFrame, role: str = "scouting_role", kpis: Mapping[str, Mapping] = V.ROLE_KPIS) -> DataFrame:
+    """Add ``kpi_x``, ``kpi_y`` and ``kpi_size``: the measures by which the row's role is charted."""
+    own = set(df.columns)
+
+    def measure(axis: str) -> Column:
+        choice = F.lit(None).cast("double")
+        for r, cfg in kpis.items():
+            if cfg[axis] in own:
+                choice = F.when(F.col(role) == r, F.col(cfg[axis]).cast("double")).otherwise(choice)
+        return choice
+    return df.withColumns({f"kpi_{axis}": measure(axis) for axis in ("x", "y", "size")})
+
+
+def group_mean(df: DataFrame, keys: Sequence[str], score: str, out: str) -> DataFrame:
+    """Mean score per group, e.g. of a squad inside a peer group."""
+    return df.groupBy(*keys).agg(F.avg(score).alias(out))
+
+
 def reference_lines(df: DataFrame, keys: Sequence[str], x: str, y: str, baseline: str = "mean",
                     max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Mean or median of two measures per group."""

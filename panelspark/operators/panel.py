@@ -84,10 +84,7 @@ def facet_filter(df: DataFrame, seasons: Sequence | None = None, leagues: Sequen
 
 
 def facet_values(df: DataFrame, leagues: Sequence | None = None) -> DataFrame:
-    """(facet, position, value): seasons newest first, leagues, squads of the chosen leagues, age limits.
-
-    Position numbers the sorted domain of a facet.
-    """
+    """(facet, value) sorted per facet: seasons newest first, leagues, squads of the chosen leagues, age limits."""
     low, high = V.FALLBACK_AGES
     chosen = F.col("competition").isin(list(leagues)) if leagues else F.lit(True)
     pairs = F.explode(F.array(
@@ -96,13 +93,12 @@ def facet_values(df: DataFrame, leagues: Sequence | None = None) -> DataFrame:
         F.struct(F.lit("squad").alias("facet"), F.when(chosen, F.col("squad")).alias("value"))))
     domain = (df.select("season_id", "competition", "squad").distinct()
               .select(pairs.alias("p")).select("p.*").where("value IS NOT NULL").distinct())
-    place = F.row_number().over(Window.partitionBy("facet").orderBy(
-        F.when(F.col("facet") == "season", F.col("value")).desc_nulls_last(), F.col("value")))
     ages = (df.agg(F.coalesce(F.min("age"), F.lit(low)).alias("min_age"),
                    F.coalesce(F.max("age"), F.lit(high)).alias("max_age"))
             .unpivot([], ["min_age", "max_age"], "facet", "value")
-            .select("facet", F.lit(1).alias("position"), F.col("value").cast("string").alias("value")))
-    return domain.select("facet", place.alias("position"), "value").unionByName(ages)
+            .select("facet", F.col("value").cast("string").alias("value")))
+    newest = F.when(F.col("facet") == "season", F.col("value")).desc_nulls_last()
+    return domain.unionByName(ages).orderBy("facet", newest, "value")
 
 
 def entity_history(entity: Column, preferred: DataFrame, fallback: DataFrame, columns: Sequence[str],

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -142,6 +143,15 @@ def _first_table(page: str | None) -> list[tuple[int, int, str, str | None]]:
             for n, line in enumerate(lines, 1) for i in range(width)]
 
 
+CELLS_PER_FRAME = 50_000
+
+
+def _frames(found: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows as frames of bounded size, however many a batch of pages yields."""
+    while rows := list(islice(found, CELLS_PER_FRAME)):
+        yield pd.DataFrame(rows, columns=columns)
+
+
 def extract_table_cells(pages: DataFrame, html: str = "html", key: str = "page_id") -> DataFrame:
     """Long form (key, row_no, column_no, column_name, value) of each page's first table.
 
@@ -149,8 +159,8 @@ def extract_table_cells(pages: DataFrame, html: str = "html", key: str = "page_i
     """
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            cells = [(k, *cell) for k, page in zip(batch[key], batch[html]) for cell in _first_table(page)]
-            yield pd.DataFrame(cells, columns=[key, "row_no", "column_no", "column_name", "value"])
+            cells = ((k, *cell) for k, page in zip(batch[key], batch[html]) for cell in _first_table(page))
+            yield from _frames(cells, [key, "row_no", "column_no", "column_name", "value"])
 
     kind = pages.schema[key].dataType.simpleString()
     return pages.select(key, html).mapInPandas(
@@ -178,9 +188,9 @@ def extract_glossary(pages: DataFrame, table_name: str = "table_name", html: str
     """(table_name, column_name, definition) of header tooltips; the first one per table and column wins."""
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [(t, o, *entry) for t, o, page in zip(batch[table_name], batch[order], batch[html])
-                     for entry in _glossary(page)]
-            yield pd.DataFrame(found, columns=["table_name", "__order", "__position", "column_name", "definition"])
+            found = ((t, o, *entry) for t, o, page in zip(batch[table_name], batch[order], batch[html])
+                     for entry in _glossary(page))
+            yield from _frames(found, ["table_name", "__order", "__position", "column_name", "definition"])
 
     kind = pages.schema[order].dataType.simpleString()
     raw = pages.select(F.col(table_name), order, html).mapInPandas(

@@ -252,6 +252,35 @@ def quadrants_median(spark, sf):
     return _quadrants(spark, sf, "median")
 
 
+_AXIS = "CASE scouting_role " + " ".join(
+    f"WHEN '{r}' THEN CAST({{{r}}} AS DOUBLE)" for r in V.ROLE_KPIS if r != "Goalkeeper") + " END"
+
+
+def _axis_sql(axis):
+    return _AXIS.format(**{r: cfg[axis] for r, cfg in V.ROLE_KPIS.items()})
+
+
+@query("role_quadrants", f"""WITH {RATED_SQL},
+axes AS (SELECT *, {_axis_sql("x")} AS kpi_x, {_axis_sql("y")} AS kpi_y, {_axis_sql("size")} AS kpi_size FROM rated),
+ref_lines AS (SELECT season_id, scouting_role, avg(kpi_x) AS x_line, avg(kpi_y) AS y_line FROM axes GROUP BY ALL)
+SELECT player_id, squad, season_id, scouting_role, {q9("kpi_x")}, {q9("kpi_y")}, {q9("kpi_size")},
+  CASE WHEN kpi_x >= x_line AND kpi_y >= y_line THEN 'Elite' WHEN kpi_x >= x_line AND kpi_y < y_line THEN 'Specialist'
+       WHEN kpi_x < x_line AND kpi_y >= y_line THEN 'Efficient' WHEN kpi_x < x_line AND kpi_y < y_line THEN 'Developing' END AS quadrant
+FROM axes JOIN ref_lines USING (season_id, scouting_role)""")
+def role_quadrants(spark, sf):
+    charted = metrics.role_axes(rated(spark, sf))
+    out = metrics.quadrants(charted, ["season_id", "scouting_role"], "kpi_x", "kpi_y")
+    return out.select(*KEYS, "scouting_role", r9("kpi_x"), r9("kpi_y"), r9("kpi_size"), "quadrant")
+
+
+@query("squad_score", f"""WITH {RATED_SQL}, {SCORES_SQL}, squad_means AS (
+  SELECT season_id, primary_position, squad, avg(overall_score) AS squad_score FROM scored GROUP BY ALL)
+SELECT season_id, primary_position, squad, {q9("squad_score")} FROM squad_means""")
+def squad_score(spark, sf):
+    means = metrics.group_mean(scored(spark, sf), ["season_id", "primary_position", "squad"], "overall_score", "squad_score")
+    return means.select("season_id", "primary_position", "squad", r9("squad_score"))
+
+
 _DIST = ["n", "min_value", "max_value", "mean_value", "q1", "median", "q3"]
 _DIST_SQL = f"""WITH {RATED_SQL}, dist AS (SELECT competition, count(defensive_actions_per_90) AS n,
   min(defensive_actions_per_90) AS min_value, max(defensive_actions_per_90) AS max_value,
@@ -599,11 +628,9 @@ def facet_filter(spark, sf):
 @query("facet_values", f"""WITH {PANEL_SQL},
 seasons AS (SELECT DISTINCT season_id AS v FROM panel), leagues AS (SELECT DISTINCT competition AS v FROM panel),
 squads AS (SELECT DISTINCT squad AS v FROM panel WHERE competition IN ('es La Liga'))
-SELECT 'season' AS facet, CAST(row_number() OVER (ORDER BY v DESC) AS INT) AS position, v AS value FROM seasons
-UNION ALL SELECT 'league', CAST(row_number() OVER (ORDER BY v) AS INT), v FROM leagues
-UNION ALL SELECT 'squad', CAST(row_number() OVER (ORDER BY v) AS INT), v FROM squads
-UNION ALL SELECT 'min_age', 1, CAST(coalesce(min(age), 15) AS VARCHAR) FROM panel
-UNION ALL SELECT 'max_age', 1, CAST(coalesce(max(age), 45) AS VARCHAR) FROM panel""")
+SELECT 'season' AS facet, v AS value FROM seasons UNION ALL SELECT 'league', v FROM leagues UNION ALL SELECT 'squad', v FROM squads
+UNION ALL SELECT 'min_age', CAST(coalesce(min(age), 15) AS VARCHAR) FROM panel
+UNION ALL SELECT 'max_age', CAST(coalesce(max(age), 45) AS VARCHAR) FROM panel""")
 def facet_values(spark, sf):
     return P.facet_values(panel(spark, sf), ["es La Liga"])
 

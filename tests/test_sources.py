@@ -139,10 +139,10 @@ def test_facets(spark):
     assert P.facet_filter(df, under_23=True).count() == 1
     assert P.facet_filter(df.drop("competition", "age"), leagues=["none"], ages=(0, 1)).count() == 2
     assert P.facet_filter(df, squads=["B"], role="DF").count() == 1
-    out = sorted(map(tuple, P.facet_values(df, ["L2"]).collect()))
-    assert out == [("league", 1, "L1"), ("league", 2, "L2"), ("max_age", 1, "30"), ("min_age", 1, "20"),
-                   ("season", 1, "2"), ("season", 2, "1"), ("squad", 1, "B")]
-    assert ("max_age", 1, "45") in set(map(tuple, P.facet_values(df.where("false")).collect()))
+    assert [tuple(r) for r in P.facet_values(df, ["L2"]).collect()] == [
+        ("league", "L1"), ("league", "L2"), ("max_age", "30"), ("min_age", "20"), ("season", "2"), ("season", "1"),
+        ("squad", "B")]
+    assert [tuple(r) for r in P.facet_values(df.where("false")).collect()] == [("max_age", "45"), ("min_age", "15")]
 
 
 def test_history_prefers_keepers(spark):
