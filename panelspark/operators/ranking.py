@@ -12,19 +12,36 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, Window, functions as F
 
 from ..session import materialize
 from .joins import join_same
 
 MAX_GROUP_ROWS = 2_000_000
 MAX_BUCKETS = 512
+HASH_CLASSES = 65_536
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     """Row count of the biggest group."""
-    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
-    return row[0] or 0
+    return largest_group_of(df.groupBy(*keys))
+
+
+def largest_group_of(groups: GroupedData) -> int:
+    return groups.agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
+def groups_fit(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
+    """Whether no group has more than ``limit`` rows.
+
+    Counting hash classes of the keys needs no wide aggregation: a class holds whole groups, so small
+    classes prove small groups. Only if a class is too big are the groups themselves counted.
+    """
+    if keys:
+        classes = df.groupBy(F.pmod(F.xxhash64(*keys), F.lit(HASH_CLASSES)).alias("__class"))
+        if largest_group_of(classes) <= limit:
+            return True
+    return largest_group(df, keys) <= limit
 
 
 def bucket_values(values: DataFrame, keys: Sequence[str], value: str, buckets: int) -> DataFrame:
@@ -68,9 +85,8 @@ def with_rank_counts(df: DataFrame, keys: Sequence[str], measures: Sequence[str]
                      max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Add per measure ``__below_m``, ``__ties_m``, ``__valid_m`` and once ``__all``; NULL sorts last."""
     stored = materialize(df, "ranked")
-    largest = largest_group(stored, keys)
     group = Window.partitionBy(*keys)
-    if largest <= max_group_rows:
+    if groups_fit(stored, keys, max_group_rows):
         added = {"__all": F.count(F.lit(1)).over(group)}
         for m in measures:
             order = F.col(m).desc_nulls_last() if m in descending else F.col(m).asc_nulls_last()
@@ -82,6 +98,7 @@ def with_rank_counts(df: DataFrame, keys: Sequence[str], measures: Sequence[str]
             added[f"__valid_{m}"] = F.count(m).over(group)
         return stored.withColumns(added)
 
+    largest = largest_group(stored, keys)
     sizes = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("__all"),
                                       *[F.count(m).alias(f"__valid_{m}") for m in measures])
     out = join_same(stored, sizes, keys)
@@ -131,11 +148,11 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], measure: str, quantiles:
     stored = materialize(df.select(*keys, F.col(measure).cast("double").alias("__m")), "quantiles")
     basic = [F.count("__m").alias("n"), F.min("__m").alias("min_value"), F.max("__m").alias("max_value"),
              F.avg("__m").alias("mean_value")]
-    largest = largest_group(stored, keys)
-    if largest <= max_group_rows:
+    if groups_fit(stored, keys, max_group_rows):
         return stored.groupBy(*keys).agg(*basic, *[F.percentile("__m", q).alias(out) for out, q in quantiles.items()])
 
     sizes = stored.groupBy(*keys).agg(*basic)
+    largest = largest_group(stored, keys)
     ranks = join_same(value_ranks(stored, keys, "__m", largest, max_group_rows), sizes.select(*keys, "n"), keys)
 
     def value_at(place: Column) -> Column:
@@ -176,11 +193,17 @@ def value_neighbours(df: DataFrame, keys: Sequence[str], value: str, aggregates:
     task; a group without keys is one big group, so it is split as soon as it passes the limit.
     """
     known = df.where(F.col(value).isNotNull())
-    values = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"), *aggregates)
-    if largest_group(known, keys) > max_group_rows:
-        values = materialize(values, "values")
-        largest = largest_group(values, keys)
-        if largest > max_group_rows:
-            return bucketed_neighbours(values, keys, value, largest, max_group_rows)
+
+    def distinct(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"), *aggregates)
+
     ordered = Window.partitionBy(*keys).orderBy(value)
-    return values.withColumns({"__prev": F.lag(value).over(ordered), "__next": F.lead(value).over(ordered)})
+    neighbours = {"__prev": F.lag(value).over(ordered), "__next": F.lead(value).over(ordered)}
+    if groups_fit(known, keys, max_group_rows):
+        # One shuffle by the group keys serves the distinct values and the window.
+        return distinct(known.repartition(*keys) if keys else known).withColumns(neighbours)
+    values = materialize(distinct(known), "values")
+    largest = largest_group(values, keys)
+    if largest > max_group_rows:
+        return bucketed_neighbours(values, keys, value, largest, max_group_rows)
+    return values.withColumns(neighbours)
