@@ -286,9 +286,6 @@ def clean_stage(spark, sf):
         to_double(F.col("minutes")).alias("minutes_90s"), clean_age(F.col("age_text")).alias("age"))
 
 
-_SOME_NULLS = "nullif(l_discount, 0.05)", "nullif(l_tax, 0.0)"
-
-
 @query("safe_divide", """SELECT l_orderkey, l_partkey, round(l_extendedprice / nullif(l_tax, 0), 4) + 0.0 AS price_per_tax,
   round((l_quantity - 1) / nullif(l_quantity - l_linenumber, 0), 9) + 0.0 AS expression_ratio FROM lineitem""")
 def safe_divide_query(spark, sf):
