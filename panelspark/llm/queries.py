@@ -2,13 +2,35 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..suite.registry import table
-from . import line_dedup, sharding
-from . import sql
+from . import line_dedup, packing, quality, sharding, sql, token_counts, toxicity
 
 SHARDS = 24
+MAX_TOKENS = 2048
+WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    counted = token_counts.token_counts(docs, public_tokenizers.path(WORD_BPE))
+    return counted.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, public_tokenizers.path(WORD_BPE), limit=MAX_TOKENS)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,5 +48,11 @@ def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
-QUERIES = {f.__name__: f for f in (op7_line_dedup, op9_hilbert_sharding)}
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.assess(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_counts, op2_packing, op4_toxicity, op7_line_dedup, op9_hilbert_sharding, op10_quality_rules)}
 ORACLES = {"op7_line_dedup": sql.LINE_DEDUP, "op9_hilbert_sharding": sql.hilbert_sharding(SHARDS)}
