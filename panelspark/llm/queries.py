@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..suite.registry import table
-from . import line_dedup, packing, quality, sharding, sql, token_counts, toxicity
+from . import bpe, html_extraction, line_dedup, packing, quality, sharding, sql, token_counts, toxicity
 
 SHARDS = 24
 MAX_TOKENS = 2048
@@ -33,11 +33,20 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extracted = html_extraction.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return extracted.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     docs = table(spark, sf_dir, "documents").select(
@@ -54,5 +63,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_packing, op4_toxicity, op7_line_dedup, op9_hilbert_sharding, op10_quality_rules)}
+    op1_token_counts, op2_packing, op4_toxicity, op5_bpe, op7_line_dedup, op8_html_extraction,
+    op9_hilbert_sharding, op10_quality_rules)}
 ORACLES = {"op7_line_dedup": sql.LINE_DEDUP, "op9_hilbert_sharding": sql.hilbert_sharding(SHARDS)}
