@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..suite.registry import table
-from . import bpe, html_extraction, line_dedup, packing, quality, sharding, sql, token_counts, toxicity
+from . import bpe, html_extraction, jaccard, line_dedup, neighbours, packing, quality, sharding, sql, token_counts, toxicity
 
 SHARDS = 24
 MAX_TOKENS = 2048
@@ -25,6 +25,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path(WORD_BPE), limit=MAX_TOKENS)
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, F.col("vec_id") % 20 == 0).withColumnRenamed("id", "vec_id")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -37,6 +42,11 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -63,6 +73,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_packing, op4_toxicity, op5_bpe, op7_line_dedup, op8_html_extraction,
-    op9_hilbert_sharding, op10_quality_rules)}
+    op1_token_counts, op2_packing, op3_neighbours, op4_toxicity, op5_bpe,
+    op6_jaccard_join, op7_line_dedup, op8_html_extraction, op9_hilbert_sharding, op10_quality_rules)}
 ORACLES = {"op7_line_dedup": sql.LINE_DEDUP, "op9_hilbert_sharding": sql.hilbert_sharding(SHARDS)}
