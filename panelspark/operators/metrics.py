@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import fixed_values as V
 from ..functions import quadrant, rate_or_zero
 from .joins import join_same
-from .ranking import MAX_GROUP_ROWS, group_quantiles, tie_percentiles
+from .ranking import group_quantiles, quantile_table, tie_percentiles
 
 
 def add_rates(df: DataFrame, rates: Mapping[str, Sequence[str]], exposure: str = "minutes_90s") -> DataFrame:
@@ -48,19 +48,18 @@ def row_mean(columns: Sequence[Column]) -> Column:
     return F.try_divide(total, known)
 
 
-def composite_score(df: DataFrame, keys: Sequence[str], metrics: Sequence[str], out: str = "overall_score",
-                    max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def composite_score(df: DataFrame, keys: Sequence[str], metrics: Sequence[str], out: str = "overall_score") -> DataFrame:
     """Mean peer percentile (0 to 100) over the metrics that exist; 0 when none does."""
     present = [m for m in metrics if m in df.columns]
     if not present:
         return df.withColumn(out, F.lit(0.0))
-    ranked = tie_percentiles(df, keys, {f"__pct_{m}": m for m in present}, (), max_group_rows)
+    ranked = tie_percentiles(df, keys, {f"__pct_{m}": m for m in present})
     score = row_mean([F.col(f"__pct_{m}") for m in present]) * 100
     return ranked.withColumn(out, score).drop(*[f"__pct_{m}" for m in present])
 
 
 def role_scores(df: DataFrame, keys: Sequence[str] = (), role: str = "scouting_role", out: str = "overall_score",
-                kpis: Mapping[str, Mapping] = V.ROLE_KPIS, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                kpis: Mapping[str, Mapping] = V.ROLE_KPIS) -> DataFrame:
     """Composite score of every row by the scoring metrics of its role, among rows of that role.
 
     All roles are ranked in one pass: slot i holds the role's i-th metric, NULL for roles that
@@ -76,7 +75,7 @@ def role_scores(df: DataFrame, keys: Sequence[str] = (), role: str = "scouting_r
             if i < len(metrics):
                 choice = F.when(F.col(role) == r, F.col(metrics[i]).cast("double")).otherwise(choice)
         slots[f"__slot{i}"] = choice
-    scored = composite_score(df.withColumns(slots), [*keys, role], list(slots), out, max_group_rows)
+    scored = composite_score(df.withColumns(slots), [*keys, role], list(slots), out)
     return scored.withColumn(out, F.coalesce(out, F.lit(0.0))).drop(*slots)
 
 
@@ -98,29 +97,26 @@ def group_mean(df: DataFrame, keys: Sequence[str], score: str, out: str) -> Data
     return df.groupBy(*keys).agg(F.avg(score).alias(out))
 
 
-def reference_lines(df: DataFrame, keys: Sequence[str], x: str, y: str, baseline: str = "mean",
-                    max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def reference_lines(df: DataFrame, keys: Sequence[str], x: str, y: str, baseline: str = "mean") -> DataFrame:
     """Mean or median of two measures per group."""
     if baseline == "mean":
         return df.groupBy(*keys).agg(F.avg(x).alias("x_line"), F.avg(y).alias("y_line"))
     if baseline != "median":
         raise ValueError("baseline must be 'mean' or 'median'")
-    lines = [group_quantiles(df, keys, m, {out: 0.5}, max_group_rows).select(*keys, out)
-             for m, out in ((x, "x_line"), (y, "y_line"))]
-    return join_same(lines[0], lines[1], keys)
+    medians = quantile_table(df, keys, [x, y], {"line": 0.5})
+    lines = [F.max(F.when(F.col("__m") == i, F.col("line"))).alias(out) for i, out in enumerate(("x_line", "y_line"))]
+    return medians.groupBy(*keys).agg(*lines)
 
 
-def quadrants(df: DataFrame, keys: Sequence[str], x: str, y: str, baseline: str = "mean",
-              max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def quadrants(df: DataFrame, keys: Sequence[str], x: str, y: str, baseline: str = "mean") -> DataFrame:
     """Add the reference lines of the group and the quadrant of every row."""
-    lined = join_same(df, reference_lines(df, keys, x, y, baseline, max_group_rows), keys)
+    lined = join_same(df, reference_lines(df, keys, x, y, baseline), keys)
     return lined.withColumn("quadrant", quadrant(F.col(x), F.col(y), F.col("x_line"), F.col("y_line")))
 
 
-def group_distribution(df: DataFrame, keys: Sequence[str], measure: str,
-                       max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def group_distribution(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
     """Count, range, mean and exact quartiles of a measure per group."""
-    return group_quantiles(df, keys, measure, {"q1": 0.25, "median": 0.5, "q3": 0.75}, max_group_rows)
+    return group_quantiles(df, keys, measure, {"q1": 0.25, "median": 0.5, "q3": 0.75})
 
 
 def leaderboard(df: DataFrame, score: str, n: int = 10, tie_break: Sequence[str] = ()) -> DataFrame:

@@ -6,15 +6,15 @@ their number of rows in ``n_rows``, so a value repeated without end stays one ro
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as V
 from .joins import join_same
-from .ranking import MAX_GROUP_ROWS, value_neighbours
+from .ranking import value_neighbours
 
 
 def _violates(condition: Column) -> Column:
@@ -56,16 +56,16 @@ def _group_counts(df: DataFrame, compare: DataFrame, group_by: Sequence[str], st
 
 
 def equal_rowcount(df: DataFrame, compare: DataFrame, group_by: Sequence[str] = (), strict: bool = False) -> DataFrame:
-    """Row counts of both sides per group; a group missing on one side only counts when ``strict``."""
+    """Groups whose row counts differ; a group missing on one side only counts when ``strict``."""
     counts = _group_counts(df, compare, group_by, strict)
-    return counts.withColumn("diff_count", F.abs(F.col("count_a") - F.col("count_b")))
+    return counts.withColumn("diff_count", F.abs(F.col("count_a") - F.col("count_b"))).where("diff_count > 0")
 
 
 def fewer_rows_than(df: DataFrame, compare: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
-    """Per group: the surplus when there are more rows, 1 when equal, else 0."""
+    """Groups that do not have fewer rows than ``compare``: the surplus when there are more, 1 when equal."""
     a, b = F.col("count_a"), F.col("count_b")
     delta = F.when(a > b, a - b).when(a == b, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-    return _group_counts(df, compare, group_by, False).withColumn("row_count_delta", delta)
+    return _group_counts(df, compare, group_by, False).withColumn("row_count_delta", delta).where("row_count_delta > 0")
 
 
 def equality(df: DataFrame, compare: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -96,8 +96,7 @@ _GAP = {"not_allowed": lambda upper, following: upper == following,
 
 
 def mutually_exclusive_ranges(df: DataFrame, lower: str, upper: str, partition_by: Sequence[str] = (),
-                              gaps: str = "allowed", zero_length_range_allowed: bool = False,
-                              max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                              gaps: str = "allowed", zero_length_range_allowed: bool = False) -> DataFrame:
     """Ranges that are reversed, or that clash with the next range of their group.
 
     The order is (lower, upper). Only the last range of a lower bound meets the next lower bound; the
@@ -109,7 +108,7 @@ def mutually_exclusive_ranges(df: DataFrame, lower: str, upper: str, partition_b
     rows = df.select(*keys, F.col(lower).alias("lower_bound"), F.col(upper).alias("upper_bound"))
     bounds = value_neighbours(rows, keys, "lower_bound", [
         F.max("upper_bound").alias("__top"), F.sum(F.col("upper_bound").isNull().cast("int")).alias("__open"),
-    ], max_group_rows).drop("__n", "__prev")
+    ]).drop("__n", "__prev")
     distinct = rows.groupBy(*keys, "lower_bound", "upper_bound").agg(F.count(F.lit(1)).alias("__n"))
     placed = join_same(distinct, bounds, [*keys, "lower_bound"])
     closes = F.when(F.col("__open") > 0, F.col("upper_bound").isNull()).otherwise(F.col("upper_bound") == F.col("__top"))
@@ -170,10 +169,10 @@ def relationships_where(df: DataFrame, column: str, to: DataFrame, field_name: s
 
 
 def sequential_values(df: DataFrame, column: str, interval: int = 1, datepart: str | None = None,
-                      group_by: Sequence[str] = (), max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                      group_by: Sequence[str] = ()) -> DataFrame:
     """Values that do not follow their predecessor at the given interval; repeats follow themselves."""
     keys = list(group_by)
-    values = value_neighbours(df.select(*keys, column), keys, column, (), max_group_rows)
+    values = value_neighbours(df.select(*keys, column), keys, column)
     pairs = F.explode(F.array(
         F.struct(F.col("__prev").alias("previous_value"), F.lit(1).cast("bigint").alias("n_rows")),
         F.struct(F.col(column).alias("previous_value"), (F.col("__n") - 1).alias("n_rows"))))
@@ -238,20 +237,42 @@ def freshness(df: DataFrame, stamp: str, as_of: Column | None = None, warn_hours
 class Check:
     """A named check: its violating rows, how to count failures, and when they matter.
 
-    ``error_if`` and ``warn_if`` compare the failure count, e.g. ``"> 0"`` or ``"< 1"``.
+    ``rows`` is the frame of violations, or a function from ``table`` to it; ``where`` then restricts the table first.
+    Failures are rows of the table unless ``failures`` says otherwise: a check that returns equal violations once
+    counts them by ``n_rows``, a check of row counts by the difference. ``error_if`` and ``warn_if`` compare the
+    failure count, e.g. ``"> 0"`` or ``"< 1"``.
     """
 
     name: str
-    rows: DataFrame
-    failures: Column = field(default_factory=lambda: F.count(F.lit(1)))
+    rows: DataFrame | Callable[[DataFrame], DataFrame]
+    failures: Column | None = None
     error_if: str = "> 0"
     warn_if: str = "> 0"
+    table: DataFrame | None = None
+    where: str | None = None
+
+    def violations(self) -> DataFrame:
+        if not callable(self.rows):
+            if self.where:
+                raise ValueError(f"{self.name}: where needs a table and a function of it")
+            return self.rows
+        return self.rows(self.table.where(self.where) if self.where else self.table)
+
+
+def failure_count(violations: DataFrame) -> Column:
+    """Rows of the checked table that the violations stand for."""
+    for column in ("n_rows", "diff_count", "row_count_delta"):
+        if column in violations.columns:
+            return F.sum(column)
+    return F.count(F.lit(1))
 
 
 def run_checks(checks: Sequence[Check]) -> DataFrame:
     """(name, failures, status) of all checks; each is one aggregation, run together."""
     def report(check: Check) -> DataFrame:
-        counted = check.rows.agg(F.coalesce(check.failures, F.lit(0)).cast("bigint").alias("failures"))
+        found = check.violations()
+        count = failure_count(found) if check.failures is None else check.failures
+        counted = found.agg(F.coalesce(count, F.lit(0)).cast("bigint").alias("failures"))
         status = (F.when(F.expr(f"failures {check.error_if}"), "error")
                   .when(F.expr(f"failures {check.warn_if}"), "warn").otherwise("pass"))
         return counted.select(F.lit(check.name).alias("name"), "failures", status.alias("status"))

@@ -1,139 +1,101 @@
-"""Exact ranks and quantiles inside groups of any size.
-
-A window function sends a whole group to one task. That is the fastest plan as
-long as every group fits a task, so the largest group is measured first. Beyond
-``max_group_rows`` the group is split: rows collapse to distinct values with
-counts, quantile points cut the values of every group into buckets, each bucket is
-ranked on its own, and the counts of the lower buckets are added. Both ways give the
-same numbers.
+"""Exact ranks, quantiles and neighbours inside groups of any size, by one plan.
+
+Rows collapse to distinct values with counts, all measures in one partial aggregation. The values are range-partitioned
+in the order (measure, group, value), so a huge group is spread over as many tasks as its values ask for, and a hot value
+is one row. The partition number is stored with the rows, which pins the cut. Places are summed inside the ranges, the
+totals of earlier ranges are added, and the result is joined back by group and value. Nothing but these narrow tables is
+stored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, GroupedData, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
 from .joins import join_same
 
-MAX_GROUP_ROWS = 2_000_000
-MAX_BUCKETS = 512
-HASH_CLASSES = 65_536
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the biggest group."""
-    return largest_group_of(df.groupBy(*keys))
-
-
-def largest_group_of(groups: GroupedData) -> int:
-    return groups.agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-
-
-def groups_fit(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
-    """Whether no group has more than ``limit`` rows.
-
-    Counting hash classes of the keys needs no wide aggregation: a class holds whole groups, so small
-    classes prove small groups. Only if a class is too big are the groups themselves counted.
-    """
-    if keys:
-        classes = df.groupBy(F.pmod(F.xxhash64(*keys), F.lit(HASH_CLASSES)).alias("__class"))
-        if largest_group_of(classes) <= limit:
-            return True
-    return largest_group(df, keys) <= limit
-
+LOCAL_BITS = 33  # monotonically_increasing_id keeps the place inside a partition in its low 33 bits
 
-def bucket_values(values: DataFrame, keys: Sequence[str], value: str, buckets: int) -> DataFrame:
-    """Add ``__b``, the number of a value range inside the group; order of buckets is order of values.
 
-    ``values`` must be stored data with distinct non-NULL values per group. The cut points are
-    stored too: every later reader then sees the same cut.
-    """
-    steps = [i / buckets for i in range(1, buckets)]
-    cuts = materialize(
-        values.groupBy(*keys).agg(F.array_distinct(F.percentile_approx(value, steps, 10_000)).alias("__cuts")), "cuts")
-    below = F.size(F.filter("__cuts", lambda c: c <= F.col(value)))
-    return join_same(values, cuts, keys).withColumn("__b", below).drop("__cuts")
+def in_ranges(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:
+    """``df`` stored in global order, with ``__range``, the number of its range, and ``__place`` in that order."""
+    placed = (df.repartitionByRange(*order).sortWithinPartitions(*order)
+              .withColumn("__place", F.monotonically_increasing_id()))
+    return materialize(placed, label).withColumn("__range", F.shiftright("__place", LOCAL_BITS))
 
 
-def _buckets_for(rows: int, max_group_rows: int) -> int:
-    return min(MAX_BUCKETS, max(2, -(-rows // max(1, max_group_rows // 2))))
+def _by_type(df: DataFrame, measures: Sequence[str]) -> list[list[str]]:
+    """Measures that share a data type can share a column."""
+    kinds: dict[str, list[str]] = {}
+    for m in measures:
+        kinds.setdefault(df.schema[m].dataType.simpleString(), []).append(m)
+    return list(kinds.values())
 
 
-def value_ranks(df: DataFrame, keys: Sequence[str], measure: str, largest: int, max_group_rows: int,
-                descending: bool = False) -> DataFrame:
-    """Distinct non-NULL values of a measure with ``__below`` (rows before) and ``__ties`` (rows equal).
+def value_ranks(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Distinct values (NULL too) of measures of one type, per group.
 
-    ``df`` must be stored data.
+    Columns: ``__m`` (number of the measure), the keys, ``__v``, ``__ties`` (rows with the value), ``__below`` (rows
+    with a smaller known value; all known rows for NULL), ``__valid`` (known rows of the group), ``__all`` (its rows).
     """
-    values = materialize(
-        df.where(F.col(measure).isNotNull()).groupBy(*keys, F.col(measure).alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__ties")), "values")
-    cut = bucket_values(values, keys, "__v", _buckets_for(largest, max_group_rows))
-    totals = cut.groupBy(*keys, "__b").agg(F.sum("__ties").alias("__size"))
-    way = "desc" if descending else "asc"
-    across = Window.partitionBy(*keys).orderBy(getattr(F, way)("__b"))
-    offsets = totals.select(*keys, "__b", (F.sum("__size").over(across) - F.col("__size")).alias("__offset"))
-    inside = Window.partitionBy(*keys, "__b").orderBy(getattr(F, way)("__v"))
-    local = cut.withColumn("__local", F.sum("__ties").over(inside) - F.col("__ties"))
-    placed = join_same(local, offsets, [*keys, "__b"], "inner")
-    return placed.select(*keys, "__v", (F.col("__offset") + F.col("__local")).alias("__below"), "__ties")
-
-
-def with_rank_counts(df: DataFrame, keys: Sequence[str], measures: Sequence[str], descending: Sequence[str] = (),
-                     max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Add per measure ``__below_m``, ``__ties_m``, ``__valid_m`` and once ``__all``; NULL sorts last."""
-    stored = materialize(df, "ranked")
-    group = Window.partitionBy(*keys)
-    if groups_fit(stored, keys, max_group_rows):
-        added = {"__all": F.count(F.lit(1)).over(group)}
-        for m in measures:
-            order = F.col(m).desc_nulls_last() if m in descending else F.col(m).asc_nulls_last()
-            ordered = group.orderBy(order)
-            before = F.rank().over(ordered) - 1
-            through = F.count(F.lit(1)).over(ordered)
-            added[f"__below_{m}"] = before.cast("bigint")
-            added[f"__ties_{m}"] = through - before
-            added[f"__valid_{m}"] = F.count(m).over(group)
-        return stored.withColumns(added)
-
-    largest = largest_group(stored, keys)
-    sizes = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("__all"),
-                                      *[F.count(m).alias(f"__valid_{m}") for m in measures])
-    out = join_same(stored, sizes, keys)
-    for m in measures:
-        ranks = (value_ranks(stored, keys, m, largest, max_group_rows, m in descending)
-                 .select(*keys, F.col("__v").alias(m), F.col("__below").alias(f"__below_{m}"),
-                         F.col("__ties").alias(f"__ties_{m}")))
-        out = join_same(out, ranks, [*keys, m]).withColumns({
-            f"__below_{m}": F.coalesce(F.col(f"__below_{m}"), F.col(f"__valid_{m}")),
-            f"__ties_{m}": F.coalesce(F.col(f"__ties_{m}"), F.col("__all") - F.col(f"__valid_{m}")),
-        })
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("__m"), F.col(m).alias("__v")) for i, m in enumerate(measures)]))
+    values = (df.select(*keys, cells.alias("__c")).select("__c.__m", *keys, "__c.__v")
+              .groupBy("__m", *keys, "__v").agg(F.count(F.lit(1)).alias("__ties")))
+    stored = in_ranges(values, ["__m", *keys, "__v"], "values")
+    group = ["__m", *keys]
+    known = F.when(F.col("__v").isNotNull(), F.col("__ties")).otherwise(0)
+    parts = stored.groupBy("__range", *group).agg(F.sum(known).alias("__known"), F.sum("__ties").alias("__rows"))
+    across = Window.partitionBy(*group)
+    earlier = across.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("__range", *group, F.coalesce(F.sum("__known").over(earlier), F.lit(0)).alias("__offset"),
+                         F.sum("__known").over(across).alias("__valid"), F.sum("__rows").over(across).alias("__all"))
+    inside = Window.partitionBy("__range", *group).orderBy("__place").rowsBetween(Window.unboundedPreceding, -1)
+    local = stored.withColumn("__local", F.coalesce(F.sum(known).over(inside), F.lit(0)))
+    below = F.when(F.col("__v").isNull(), F.col("__valid")).otherwise(F.col("__offset") + F.col("__local"))
+    joined = join_same(local, parts, ["__range", *group], "inner")
+    return joined.select(*group, "__v", "__ties", below.alias("__below"), "__valid", "__all")
+
+
+def with_rank_counts(df: DataFrame, keys: Sequence[str], measures: Sequence[str], descending: Sequence[str] = ()
+                     ) -> DataFrame:
+    """Add per measure ``__below_m``, ``__ties_m``, ``__valid_m`` and ``__all_m``; NULL sorts last."""
+    out = df
+    for kind in _by_type(df, measures):
+        ranks = value_ranks(df, keys, kind)
+        for i, m in enumerate(kind):
+            below = F.col("__below")
+            if m in descending:
+                below = F.when(F.col("__v").isNull(), below).otherwise(F.col("__valid") - below - F.col("__ties"))
+            own = ranks.where(F.col("__m") == i).select(
+                *keys, F.col("__v").alias(m), below.alias(f"__below_{m}"),
+                *[F.col(f"__{c}").alias(f"__{c}_{m}") for c in ("ties", "valid", "all")])
+            out = join_same(out, own, [*keys, m])
     return out
 
 
 def _drop_counts(df: DataFrame, measures: Sequence[str]) -> DataFrame:
-    return df.drop("__all", *[f"__{p}_{m}" for p in ("below", "ties", "valid") for m in measures])
+    return df.drop(*[f"__{p}_{m}" for p in ("below", "ties", "valid", "all") for m in measures])
 
 
-def percent_ranks(df: DataFrame, keys: Sequence[str], outputs: Mapping[str, str],
-                  max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def percent_ranks(df: DataFrame, keys: Sequence[str], outputs: Mapping[str, str]) -> DataFrame:
     """SQL ``PERCENT_RANK`` (ascending, NULL last) of several measures; ``outputs`` maps new name to measure."""
     measures = list(dict.fromkeys(outputs.values()))
-    counted = with_rank_counts(df, keys, measures, (), max_group_rows)
+    counted = with_rank_counts(df, keys, measures)
 
     def share(m: str) -> Column:
-        return F.when(F.col("__all") > 1, F.col(f"__below_{m}") / (F.col("__all") - 1)).otherwise(F.lit(0.0))
+        rest = F.col(f"__all_{m}") - 1
+        return F.when(rest > 0, F.col(f"__below_{m}") / rest).otherwise(F.lit(0.0))
 
     return _drop_counts(counted.withColumns({out: share(m) for out, m in outputs.items()}), measures)
 
 
-def tie_percentiles(df: DataFrame, keys: Sequence[str], outputs: Mapping[str, str], descending: Sequence[str] = (),
-                    max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def tie_percentiles(df: DataFrame, keys: Sequence[str], outputs: Mapping[str, str], descending: Sequence[str] = ()
+                    ) -> DataFrame:
     """Average rank of ties over the number of known values, 0 to 1; NULL stays NULL."""
     measures = list(dict.fromkeys(outputs.values()))
-    counted = with_rank_counts(df, keys, measures, descending, max_group_rows)
+    counted = with_rank_counts(df, keys, measures, descending)
 
     def share(m: str) -> Column:
         middle = F.col(f"__below_{m}") + (F.col(f"__ties_{m}") + 1) / 2
@@ -142,68 +104,52 @@ def tie_percentiles(df: DataFrame, keys: Sequence[str], outputs: Mapping[str, st
     return _drop_counts(counted.withColumns({out: share(m) for out, m in outputs.items()}), measures)
 
 
-def group_quantiles(df: DataFrame, keys: Sequence[str], measure: str, quantiles: Mapping[str, float],
-                    max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Exact interpolated quantiles per group, plus ``n``, ``min_value``, ``max_value`` and ``mean_value``."""
-    stored = materialize(df.select(*keys, F.col(measure).cast("double").alias("__m")), "quantiles")
-    basic = [F.count("__m").alias("n"), F.min("__m").alias("min_value"), F.max("__m").alias("max_value"),
-             F.avg("__m").alias("mean_value")]
-    if groups_fit(stored, keys, max_group_rows):
-        return stored.groupBy(*keys).agg(*basic, *[F.percentile("__m", q).alias(out) for out, q in quantiles.items()])
-
-    sizes = stored.groupBy(*keys).agg(*basic)
-    largest = largest_group(stored, keys)
-    ranks = join_same(value_ranks(stored, keys, "__m", largest, max_group_rows), sizes.select(*keys, "n"), keys)
+def quantile_table(df: DataFrame, keys: Sequence[str], measures: Sequence[str], quantiles: Mapping[str, float]
+                   ) -> DataFrame:
+    """Exact interpolated quantiles per group and measure (``__m`` is its number), plus ``n``, ``min_value``,
+    ``max_value`` and ``mean_value``."""
+    numbers = df.select(*keys, *[F.col(m).cast("double").alias(m) for m in measures])
+    ranks = value_ranks(numbers, keys, measures)
+    value = F.col("__v")
 
     def value_at(place: Column) -> Column:
-        covers = (F.col("__below") <= place) & (place < F.col("__below") + F.col("__ties"))
-        return F.max(F.when(covers, F.col("__v")))
+        covers = (F.col("__below") <= place) & (place < F.col("__below") + F.col("__ties")) & value.isNotNull()
+        return F.max(F.when(covers, value))
 
     ends, points = [], {}
     for out, q in quantiles.items():
-        place = (F.col("n") - 1) * F.lit(float(q))
+        place = (F.col("__valid") - 1) * F.lit(float(q))
         ends += [value_at(F.floor(place)).alias(f"__lo_{out}"), value_at(F.ceil(place)).alias(f"__hi_{out}")]
-        part = place - F.floor(place)
+        part = (F.col("n") - 1) * F.lit(float(q))
+        part = part - F.floor(part)
         points[out] = F.col(f"__lo_{out}") + (F.col(f"__hi_{out}") - F.col(f"__lo_{out}")) * part
-    found = join_same(sizes, ranks.groupBy(*keys).agg(*ends), keys)
-    return found.select(*keys, "n", "min_value", "max_value", "mean_value",
+    mean = F.sum(value * F.col("__ties")) / F.max("__valid")
+    basic = [F.max("__valid").alias("n"), F.min("__v").alias("min_value"), F.max("__v").alias("max_value"),
+             mean.alias("mean_value")]
+    found = ranks.groupBy("__m", *keys).agg(*basic, *ends)
+    return found.select("__m", *keys, "n", "min_value", "max_value", "mean_value",
                         *[c.alias(out) for out, c in points.items()])
 
 
-def bucketed_neighbours(values: DataFrame, keys: Sequence[str], value: str, largest: int,
-                        max_group_rows: int) -> DataFrame:
-    """Add ``__prev`` and ``__next`` to stored distinct non-NULL values, bucket by bucket."""
-    cut = bucket_values(values, keys, value, _buckets_for(largest, max_group_rows))
-    inside = Window.partitionBy(*keys, "__b").orderBy(value)
-    across = Window.partitionBy(*keys).orderBy("__b")
-    edges = (cut.groupBy(*keys, "__b").agg(F.min(value).alias("__min"), F.max(value).alias("__max"))
-             .select(*keys, "__b", F.lag("__max").over(across).alias("__before"),
-                     F.lead("__min").over(across).alias("__after")))
-    local = cut.withColumns({"__prev": F.lag(value).over(inside), "__next": F.lead(value).over(inside)})
-    joined = join_same(local, edges, [*keys, "__b"])
-    return joined.withColumns({"__prev": F.coalesce("__prev", "__before"),
-                               "__next": F.coalesce("__next", "__after")}).drop("__b", "__before", "__after")
+def group_quantiles(df: DataFrame, keys: Sequence[str], measure: str, quantiles: Mapping[str, float]) -> DataFrame:
+    """Exact interpolated quantiles per group, plus ``n``, ``min_value``, ``max_value`` and ``mean_value``."""
+    return quantile_table(df, keys, [measure], quantiles).drop("__m")
 
 
-def value_neighbours(df: DataFrame, keys: Sequence[str], value: str, aggregates: Sequence[Column] = (),
-                     max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def value_neighbours(df: DataFrame, keys: Sequence[str], value: str, aggregates: Sequence[Column] = ()) -> DataFrame:
     """Distinct non-NULL values per group with the next lower (``__prev``) and next higher (``__next``) one.
 
-    ``aggregates`` are computed per distinct value. Nothing is written while every group fits a
-    task; a group without keys is one big group, so it is split as soon as it passes the limit.
+    ``aggregates`` are computed per distinct value; ``__n`` counts its rows.
     """
-    known = df.where(F.col(value).isNotNull())
-
-    def distinct(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"), *aggregates)
-
-    ordered = Window.partitionBy(*keys).orderBy(value)
-    neighbours = {"__prev": F.lag(value).over(ordered), "__next": F.lead(value).over(ordered)}
-    if groups_fit(known, keys, max_group_rows):
-        # One shuffle by the group keys serves the distinct values and the window.
-        return distinct(known.repartition(*keys) if keys else known).withColumns(neighbours)
-    values = materialize(distinct(known), "values")
-    largest = largest_group(values, keys)
-    if largest > max_group_rows:
-        return bucketed_neighbours(values, keys, value, largest, max_group_rows)
-    return values.withColumns(neighbours)
+    values = (df.where(F.col(value).isNotNull()).groupBy(*keys, value)
+              .agg(F.count(F.lit(1)).alias("__n"), *aggregates))
+    stored = in_ranges(values, [*keys, value], "values")
+    across = Window.partitionBy(*keys).orderBy("__range")
+    edges = (stored.groupBy("__range", *keys).agg(F.min(value).alias("__min"), F.max(value).alias("__max"))
+             .select("__range", *keys, F.lag("__max").over(across).alias("__before"),
+                     F.lead("__min").over(across).alias("__after")))
+    inside = Window.partitionBy("__range", *keys).orderBy("__place")
+    local = stored.withColumns({"__prev": F.lag(value).over(inside), "__next": F.lead(value).over(inside)})
+    joined = join_same(local, edges, ["__range", *keys])
+    return joined.withColumns({"__prev": F.coalesce("__prev", "__before"), "__next": F.coalesce("__next", "__after")}
+                              ).drop("__range", "__place", "__before", "__after")

@@ -11,7 +11,7 @@ from ..functions import (cohort_flag, performance_tier, rate_or_zero, risk_ratin
                          squad_status, value_estimate)
 from ..operators.metrics import add_derived_ratios, add_rates
 from ..operators.panel import dim_entity, latest_known, period_change, specialist_join, wide_join
-from ..operators.ranking import MAX_GROUP_ROWS, percent_ranks
+from ..operators.ranking import percent_ranks
 from ..operators.shape import role_union
 
 # Measures that each category brings into the wide panel.
@@ -92,10 +92,10 @@ def scouting_rates(panel: DataFrame, min_exposure: float = V.MIN_EXPOSURE,
 
 
 def scouting_mart(panel: DataFrame, min_exposure: float = V.MIN_EXPOSURE,
-                  reference_year: int = V.COHORT_REFERENCE_YEAR, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                  reference_year: int = V.COHORT_REFERENCE_YEAR) -> DataFrame:
     """Rates with percentile ranks among peers of the same season and position."""
     return percent_ranks(scouting_rates(panel, min_exposure, reference_year), ["season_id", "primary_position"],
-                         SCOUTING_PERCENTILES, max_group_rows)
+                         SCOUTING_PERCENTILES)
 
 
 def keeper_rates(panel: DataFrame, min_exposure: float = V.MIN_EXPOSURE,
@@ -110,10 +110,9 @@ def keeper_rates(panel: DataFrame, min_exposure: float = V.MIN_EXPOSURE,
 
 
 def keeper_mart(panel: DataFrame, min_exposure: float = V.MIN_EXPOSURE,
-                reference_year: int = V.COHORT_REFERENCE_YEAR, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                reference_year: int = V.COHORT_REFERENCE_YEAR) -> DataFrame:
     """Goalkeeper rates with percentile ranks inside the season."""
-    return percent_ranks(keeper_rates(panel, min_exposure, reference_year), ["season_id"], KEEPER_PERCENTILES,
-                         max_group_rows)
+    return percent_ranks(keeper_rates(panel, min_exposure, reference_year), ["season_id"], KEEPER_PERCENTILES)
 
 
 def combined_roles(scouting: DataFrame, keepers: DataFrame) -> DataFrame:

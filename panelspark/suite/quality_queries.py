@@ -56,19 +56,19 @@ def _two_statuses(spark, sf):
     return orders(spark, sf, "o_orderstatus = 'F'"), orders(spark, sf, "o_orderstatus = 'O'")
 
 
-@query("chk_equal_rowcount", f"WITH {_COUNTS} SELECT o_custkey, count_a, count_b, abs(count_a - count_b) AS diff_count FROM c")
+@query("chk_equal_rowcount", f"WITH {_COUNTS} SELECT o_custkey, count_a, count_b, abs(count_a - count_b) AS diff_count FROM c WHERE count_a <> count_b")
 def chk_equal_rowcount(spark, sf):
     return Q.equal_rowcount(*_two_statuses(spark, sf), ["o_custkey"])
 
 
 @query("chk_equal_rowcount_strict", f"""WITH {_COUNTS} SELECT o_custkey, coalesce(count_a, 0) AS count_a, coalesce(count_b, 0) AS count_b,
-  abs(coalesce(count_a, 0) - coalesce(count_b, 0)) AS diff_count FROM c""")
+  abs(coalesce(count_a, 0) - coalesce(count_b, 0)) AS diff_count FROM c WHERE coalesce(count_a, 0) <> coalesce(count_b, 0)""")
 def chk_equal_rowcount_strict(spark, sf):
     return Q.equal_rowcount(*_two_statuses(spark, sf), ["o_custkey"], strict=True)
 
 
 @query("chk_fewer_rows", f"""WITH {_COUNTS} SELECT o_custkey, count_a, count_b, CAST(CASE WHEN count_a > count_b THEN count_a - count_b
-  WHEN count_a = count_b THEN 1 ELSE 0 END AS BIGINT) AS row_count_delta FROM c""")
+  WHEN count_a = count_b THEN 1 ELSE 0 END AS BIGINT) AS row_count_delta FROM c WHERE count_a >= count_b""")
 def chk_fewer_rows(spark, sf):
     return Q.fewer_rows_than(*_two_statuses(spark, sf), ["o_custkey"])
 
@@ -123,8 +123,8 @@ def chk_exclusive_ranges(spark, sf):
 
 @query("chk_exclusive_ranges_split", _ranges_sql(_SHIP, "l_suppkey", "<", "<="))
 def chk_exclusive_ranges_split(spark, sf):
-    """Gaps required and empty ranges allowed, by the plan for groups too big for one task."""
-    return Q.mutually_exclusive_ranges(_ship(spark, sf), "lo", "hi", ["l_suppkey"], "required", True, max_group_rows=20)
+    """Gaps required and empty ranges allowed."""
+    return Q.mutually_exclusive_ranges(_ship(spark, sf), "lo", "hi", ["l_suppkey"], "required", True)
 
 
 @query("chk_exclusive_ranges_ungrouped", _ranges_sql(_SESSIONS, "", "=", "<="))
@@ -199,8 +199,7 @@ def chk_sequential_hours(spark, sf):
 
 @query("chk_sequential_hours_split", _HOURS)
 def chk_sequential_hours_split(spark, sf):
-    """The same by the plan for groups too big for one task."""
-    return Q.sequential_values(_hours(spark, sf), "hour", 1, "hour", max_group_rows=40)
+    return Q.sequential_values(_hours(spark, sf), "hour", 1, "hour")
 
 
 @query("chk_unique_combination", """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""")
@@ -244,7 +243,14 @@ f AS (
   UNION ALL SELECT 'expected to fail', count(*) FILTER (WHERE o_orderstatus = 'P') FROM orders
   UNION ALL SELECT 'same row counts', sum(coalesce(abs(count_a - count_b), 0)) FROM c
   UNION ALL SELECT 'same rows', count(*) + coalesce(abs(sum(CASE WHEN which_diff = 'a_minus_b' THEN 1 ELSE 0 END)
-    - sum(CASE WHEN which_diff = 'b_minus_a' THEN 1 ELSE 0 END)), 0) FROM d)
+    - sum(CASE WHEN which_diff = 'b_minus_a' THEN 1 ELSE 0 END)), 0) FROM d
+  UNION ALL SELECT 'same row counts as itself', 0
+  UNION ALL SELECT 'fewer rows', sum(CASE WHEN count_a > count_b THEN count_a - count_b WHEN count_a = count_b THEN 1 ELSE 0 END) FROM c
+  UNION ALL SELECT 'customers place orders', count(*) FROM customer WHERE c_acctbal > 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders)
+  UNION ALL SELECT 'keys follow each other', count(*) FROM (SELECT o_orderkey, lag(o_orderkey) OVER (ORDER BY o_orderkey) AS p
+    FROM orders WHERE o_orderstatus <> 'P') WHERE o_orderkey <> p + 1
+  UNION ALL SELECT 'periods exclude each other', count(*) FROM (SELECT o_orderdate + INTERVAL 30 DAY AS e,
+    lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n FROM orders) WHERE e > n)
 SELECT name, CAST(failures AS BIGINT) AS failures, CASE
   WHEN name = 'expected to fail' AND failures < 1 THEN 'error' WHEN name = 'price is below a limit' AND failures > 1000000000 THEN 'error'
   WHEN name NOT IN ('expected to fail', 'price is below a limit') AND failures > 0 THEN 'error'
@@ -259,7 +265,16 @@ def check_report(spark, sf):
               error_if="> 1000000000"),
         Check("expected to fail", Q.expression_is_true(every, "<> 'P'", "o_orderstatus"), error_if="< 1",
               warn_if="< 1"),
-        Check("same row counts", Q.equal_rowcount(first, second, ["o_custkey"]), F.sum(F.coalesce("diff_count", F.lit(0)))),
+        Check("same row counts", Q.equal_rowcount(first, second, ["o_custkey"])),
+        Check("same row counts as itself", Q.equal_rowcount(first, first, ["o_custkey"], strict=True)),
+        Check("fewer rows", Q.fewer_rows_than(first, second, ["o_custkey"])),
+        Check("customers place orders", lambda t: Q.relationships_where(t, "c_custkey", every, "o_custkey"),
+              table=table(spark, sf, "customer"), where="c_acctbal > 0"),
+        Check("keys follow each other", lambda t: Q.sequential_values(t, "o_orderkey"), table=every,
+              where="o_orderstatus <> 'P'"),
+        Check("periods exclude each other", Q.mutually_exclusive_ranges(
+            every.selectExpr("o_custkey", "o_orderdate AS b", "o_orderdate + INTERVAL 30 DAY AS e"), "b", "e",
+            ["o_custkey"])),
         Check("same rows", Q.equality(first, second, ["o_custkey", "o_orderpriority"]), Q.equality_failures()),
     ])
 

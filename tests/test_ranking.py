@@ -1,9 +1,12 @@
+import glob
+
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window, functions as F
 
 from panelspark.operators import compare, metrics, ranking, similarity
-from panelspark.session import materialize
+from panelspark.session import materialize, shared_dir
 
 
 @pytest.fixture(scope="module")
@@ -30,24 +33,49 @@ def expected(frame, column, ascending=True):
     return frame.groupby("g", dropna=False)[column].rank(pct=True, ascending=ascending)
 
 
-@pytest.mark.parametrize("limit", [10**6, 100])
-def test_tie_percentiles_match_pandas(df, frame, limit):
-    out = ranking.tie_percentiles(df, ["g"], {"pv": "v", "pw": "w"}, ["w"], limit).toPandas().sort_values("id")
+def test_tie_percentiles_match_pandas(df, frame):
+    out = ranking.tie_percentiles(df, ["g"], {"pv": "v", "pw": "w"}, ["w"]).toPandas().sort_values("id")
     np.testing.assert_allclose(out["pv"].astype(float), expected(frame, "v"))
     np.testing.assert_allclose(out["pw"].astype(float), expected(frame, "w", False))
     assert list(out.columns) == ["id", "g", "v", "w", "pv", "pw"]
 
 
-def test_split_equals_window(df):
-    whole = ranking.percent_ranks(df, ["g"], {"p": "v", "q": "w"}).toPandas().sort_values("id")
-    split = ranking.percent_ranks(df, ["g"], {"p": "v", "q": "w"}, 100).toPandas().sort_values("id")
-    np.testing.assert_array_equal(whole[["p", "q"]].to_numpy(), split[["p", "q"]].to_numpy())
+def windowed(df, column, name):
+    """PERCENT_RANK as the window function gives it."""
+    order = Window.partitionBy("g").orderBy(F.col(column).asc_nulls_last())
+    return df.withColumn(name, F.percent_rank().over(order))
+
+
+def test_ranks_equal_the_window_function(df):
+    ours = ranking.percent_ranks(df, ["g"], {"p": "v", "q": "w"}).toPandas().sort_values("id")
+    theirs = windowed(windowed(df, "v", "p"), "w", "q").toPandas().sort_values("id")
+    np.testing.assert_array_equal(ours[["p", "q"]].to_numpy(), theirs[["p", "q"]].to_numpy())
+
+
+def test_ranks_of_any_type(df):
+    """Text, dates, booleans and NaN, one hot value, in one call with numbers."""
+    typed = df.select("id", "g", F.col("v").cast("string").alias("text"), F.date_add(F.lit("2020-01-01").cast("date"),
+                      F.col("w").cast("int")).alias("day"), (F.col("w") > 3).alias("flag"),
+                      F.when(F.col("w") == 5, float("nan")).otherwise(F.col("v")).alias("odd"), "w")
+    outputs = {f"p_{c}": c for c in ("text", "day", "flag", "odd", "w")}
+    ours = ranking.percent_ranks(typed, ["g"], outputs).toPandas().sort_values("id")
+    theirs = typed
+    for name, column in outputs.items():
+        theirs = windowed(theirs, column, name)
+    theirs = theirs.toPandas().sort_values("id")
+    np.testing.assert_array_equal(ours[list(outputs)].to_numpy(), theirs[list(outputs)].to_numpy())
+
+
+def test_wide_rows_are_never_stored(spark, df):
+    before = set(glob.glob(f"{shared_dir(spark)}/panelspark/values-*"))
+    ranking.percent_ranks(df.withColumn("ballast", F.lit("x")), ["g"], {"p": "v"}).count()
+    for path in set(glob.glob(f"{shared_dir(spark)}/panelspark/values-*")) - before:
+        assert set(spark.read.parquet(path).columns) == {"__m", "g", "__v", "__ties", "__place"}
 
 
-@pytest.mark.parametrize("limit", [10**6, 100])
 @pytest.mark.parametrize("keys", [["g"], []])
-def test_quantiles(df, frame, limit, keys):
-    out = ranking.group_quantiles(df, keys, "v", {"q1": 0.25, "med": 0.5, "top": 1.0}, limit).toPandas()
+def test_quantiles(df, frame, keys):
+    out = ranking.group_quantiles(df, keys, "v", {"q1": 0.25, "med": 0.5, "top": 1.0}).toPandas()
     grouped = frame.groupby("g", dropna=False) if keys else frame.groupby(lambda _: 0)
     for q, name in ((0.25, "q1"), (0.5, "med"), (1.0, "top")):
         want = sorted(grouped["v"].quantile(q))
@@ -55,10 +83,9 @@ def test_quantiles(df, frame, limit, keys):
     assert out["n"].sum() == frame["v"].notna().sum()
 
 
-@pytest.mark.parametrize("limit", [10**6, 100])
 @pytest.mark.parametrize("keys", [["g"], []])
-def test_neighbours(df, frame, limit, keys):
-    out = ranking.value_neighbours(df, keys, "v", (), limit).toPandas()
+def test_neighbours(df, frame, keys):
+    out = ranking.value_neighbours(df, keys, "v").toPandas()
     out["g"] = out["g"].fillna("-") if keys else "all"
     groups = frame["g"].fillna("-") if keys else pd.Series("all", index=frame.index)
     for g, values in frame["v"].groupby(groups):

@@ -12,7 +12,7 @@ from panelspark.suite.registry import table
 from oracle import compare, connect
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-ROWS_ONLY = {"stamp_load"}
+ROWS_ONLY = set()
 
 
 @pytest.fixture(scope="module")
@@ -51,13 +51,13 @@ def test_deduplicate_limits_groups_before_the_shuffle(spark):
     assert text.count("WindowGroupLimit") >= 2
 
 
-def test_ungrouped_split_never_gathers_the_values(spark):
-    """Only the few bucket edges may meet in one task."""
+def test_a_group_without_keys_is_never_gathered(spark):
+    """Only the edges of the ranges may meet in one task."""
     values = table(spark, SF, "events").select("event_id")
-    text = plan(ranking.value_neighbours(values, [], "event_id", (), 100))
+    text = plan(ranking.value_neighbours(values, [], "event_id"))
     gathered = [p for p in text.split("\n\n") if "SinglePartition" in p]
-    assert len(gathered) == 1 and "__b" in gathered[0] and "event_id" not in gathered[0]
-    text = plan(quality.sequential_values(values, "event_id", max_group_rows=100))
+    assert len(gathered) == 1 and "__range" in gathered[0] and "event_id" not in gathered[0]
+    text = plan(quality.sequential_values(values, "event_id"))
     assert text.count("SinglePartition") == 1
 
 
