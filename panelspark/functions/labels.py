@@ -57,15 +57,15 @@ def without_country(competition: Column) -> Column:
 
 
 def value_estimate(attack_rate: Column, defence_rate: Column, age: Column, competition: Column) -> Column:
-    """Value in millions: performance times age factor times league factor.
+    """Value in millions: performance times age factor times league factor, rounded once.
 
-    Rounded to six places first, so that noise in the last bits does not tip the first decimal.
+    The double is scaled before it is rounded, as SQL engines round doubles; ``round(x, 1)`` works on its decimal text.
     """
     factors = F.create_map(*[F.lit(x) for x in chain.from_iterable(V.LEAGUE_FACTORS.items())])
     league = F.coalesce(F.try_element_at(factors, without_country(competition)), F.lit(V.OTHER_LEAGUE_FACTOR))
     by_age = (F.when(age < V.YOUNG_AGE, V.YOUNG_FACTOR).when(age > V.OLD_AGE, V.OLD_FACTOR).otherwise(1.0))
     base = attack_rate * V.ATTACK_WEIGHT + defence_rate * V.DEFENCE_WEIGHT
-    return F.round(F.round(base * by_age * league, 6), 1)
+    return F.round(base * by_age * league * 10) / 10
 
 
 def squad_status(exposure: Column) -> Column:

@@ -16,10 +16,14 @@ def to_double(text: Column) -> Column:
 
 
 def clean_numeric(text: Column, target: str = "int") -> Column:
-    """Drop thousands commas, then cast; whole-number targets round half away from zero."""
-    number = F.replace(text, F.lit(","), F.lit("")).try_cast("double")
+    """Drop thousands commas, then cast; whole-number targets round half away from zero.
+
+    Text of whole numbers is cast directly, since a double holds no more than 53 bits.
+    """
+    plain = F.replace(text, F.lit(","), F.lit(""))
+    number = plain.try_cast("double")
     if target in ("int", "integer", "bigint", "long", "smallint"):
-        return F.round(number).try_cast(target)
+        return F.coalesce(plain.try_cast(target), F.round(number).try_cast(target))
     return number.try_cast(target)
 
 

@@ -90,13 +90,17 @@ def comparison_table(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def season_breakdown(df: DataFrame, ids: Sequence[str], cards: Sequence[tuple[str, str, str, str, str]]) -> DataFrame:
-    """Formatted card texts per row; ``-`` for a missing column or value."""
+    """Formatted card texts per row; ``-`` for a missing column or value.
+
+    Values are rounded half up in decimals, after six places, so that noise in the last bits does not show.
+    """
     own = set(df.columns)
 
     def text(column: str, pattern: str, unit: str) -> Column:
         if column not in own:
             return F.lit("-")
-        shown = F.format_string(pattern.replace("%%", "%"), F.col(column).cast("double"))
+        value = F.round(F.round(F.col(column).cast("double"), 6), int(pattern[2])) + F.lit(0.0)
+        shown = F.format_string(pattern.replace("%%", "%"), value)
         return F.when(F.col(column).isNotNull(), F.concat(shown, F.lit(unit))).otherwise("-")
 
     entries = F.explode(F.array(*[

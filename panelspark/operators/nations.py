@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as V
 from ..functions.text import nation_code
@@ -14,6 +14,16 @@ def _looked_up(code: Column, names: dict[str, str]) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for x in chain.from_iterable(names.items())]), code)
 
 
+def iso_countries(spark: SparkSession) -> DataFrame:
+    """(code, name, alpha_2) of all ISO countries, from the locale data of the Java runtime."""
+    locale = spark._jvm.java.util.Locale
+    rows = []
+    for alpha_2 in locale.getISOCountries():
+        place = locale("", alpha_2)
+        rows.append((place.getISO3Country(), place.getDisplayCountry(locale.ENGLISH), alpha_2))
+    return spark.createDataFrame(rows, "code string, name string, alpha_2 string")
+
+
 def display_nation(df: DataFrame, iso_names: DataFrame, nation: str = "nation") -> DataFrame:
     """Add ``nation_code`` and ``display_nation``: exceptions first, then an ISO (code, name) table, else the code.
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-_STEP = {"hour": "HOUR", "day": "DAY", "week": "WEEK", "month": "MONTH", "quarter": "MONTH", "year": "YEAR"}
+_STEP = {"second": "SECOND", "minute": "MINUTE", "hour": "HOUR", "day": "DAY", "week": "WEEK", "month": "MONTH", "quarter": "MONTH", "year": "YEAR"}
 _TIMES = {"quarter": 3}
+STRETCH = 65_536  # steps that one row of the spine's plan unfolds
 
 
 def generate_series(spark: SparkSession, upper_bound: int) -> DataFrame:
@@ -23,8 +24,8 @@ def intervals_between(start: Column, end: Column, datepart: str) -> Column:
         return F.datediff(end, start).cast("bigint")
     if datepart == "week":
         return (F.datediff(end, start) / 7).cast("bigint")
-    if datepart == "hour":
-        return F.timestamp_diff("HOUR", F.date_trunc("hour", start), F.date_trunc("hour", end))
+    if datepart in ("second", "minute", "hour"):
+        return F.timestamp_diff(_STEP[datepart], F.date_trunc(datepart, start), F.date_trunc(datepart, end))
     months = (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start)
     if datepart == "month":
         return months.cast("bigint")
@@ -36,12 +37,15 @@ def intervals_between(start: Column, end: Column, datepart: str) -> Column:
 def date_spine(bounds: DataFrame, datepart: str, start: str = "start", end: str = "end") -> DataFrame:
     """One row ``date_<datepart>`` per step from start up to, but without, end.
 
-    ``bounds`` holds one row with the two limits, so they may come from an aggregate.
+    ``bounds`` holds one row with the two limits, so they may come from an aggregate. Steps are made in stretches of
+    bounded size, so that a spine of seconds over years is spread over tasks.
     """
     steps = intervals_between(F.col(start), F.col(end), datepart)
     origin = F.col(start).cast("timestamp_ntz")
-    index = F.explode(F.sequence(F.lit(0).cast("bigint"), steps - 1))
+    stretch = F.explode(F.sequence(F.lit(0).cast("bigint"), steps - 1, F.lit(STRETCH).cast("bigint")))
+    stretches = (bounds.where(steps > 0).select(origin.alias("__o"), (steps - 1).alias("__last"), stretch.alias("__from"))
+                 .hint("rebalance"))
+    index = F.explode(F.sequence(F.col("__from"), F.least(F.col("__last"), F.col("__from") + (STRETCH - 1))))
     step = F.expr(f"INTERVAL 1 {_STEP[datepart]}") * (F.col("__i") * _TIMES.get(datepart, 1)).cast("int")
-    return (bounds.where(steps > 0)
-            .select(origin.alias("__o"), index.alias("__i"))
+    return (stretches.select("__o", index.alias("__i"))
             .select((F.col("__o") + step).alias(f"date_{datepart}")))

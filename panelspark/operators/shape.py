@@ -121,6 +121,11 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def tag_period(df: DataFrame, period: Column, period_column: str = "source_season_id") -> DataFrame:
+    """Rows of all periods of one table in a single scan, each tagged with its period."""
+    return df.withColumn(period_column, period.cast("string"))
+
+
 def union_periods(frames: Mapping[str, DataFrame], period_column: str = "source_season_id") -> DataFrame:
     """Stack equally shaped frames of several periods and tag each row with its period."""
     return reduce(DataFrame.unionByName, [df.withColumn(period_column, F.lit(p)) for p, df in frames.items()])
@@ -150,20 +155,30 @@ def column_values(df: DataFrame | None, column: str, order_by: Sequence[Column]
     return ordered if max_records is None else ordered.limit(max_records)
 
 
-def column_value_list(df: DataFrame | None, column: str, default: list | None = None, max_values: int = 10_000,
-                      **options) -> list | None:
+def pivot_map(df: DataFrame, keys: Sequence[str | Column], column: str, aggregate: Column | None = None) -> DataFrame:
+    """Per group a map from every value of ``column`` that occurs to its aggregate (row count if not given).
+
+    The pivot over values that nobody listed: they become map keys, not columns, so no list of them is needed.
+    """
+    keys = [F.col(k) if isinstance(k, str) else k for k in keys]
+    cells = df.groupBy(*keys, F.col(column).alias("__key")).agg(
+        (F.count(F.lit(1)) if aggregate is None else aggregate).alias("__value"))
+    names = [c for c in cells.columns if c not in ("__key", "__value")]
+    entries = F.array_sort(F.collect_list(F.struct("__key", "__value")))
+    return cells.where(F.col("__key").isNotNull()).groupBy(*names).agg(F.map_from_entries(entries).alias(column))
+
+
+def column_value_list(df: DataFrame | None, column: str, default: list | None = None, **options) -> list | None:
     """``column_values`` as a Python list, e.g. for a pivot; ``default`` when there is nothing to read.
 
-    Raises rather than pull more than ``max_values`` values to the driver.
+    For columns whose values make column names; ``max_records`` keeps the most frequent ones. For all others there is
+    ``pivot_map``.
     """
     if df is None:
         if default is None:
             raise ValueError("the relation does not exist and no default was given")
         return default
-    rows = column_values(df, column, **options).limit(max_values + 1).collect()
-    if len(rows) > max_values:
-        raise ValueError(f"{column} has more than {max_values} distinct values")
-    return [r["value"] for r in rows] or default
+    return [r["value"] for r in column_values(df, column, **options).collect()] or default
 
 
 def single_value(df: DataFrame, default=None):
@@ -172,11 +187,9 @@ def single_value(df: DataFrame, default=None):
     return default if row is None else row[0]
 
 
-def results_as_dict(df: DataFrame, max_rows: int = 100_000) -> dict[str, list]:
-    """Column name to list of values. Raises when the result is too large for the driver."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"result has more than {max_rows} rows")
+def results_as_dict(df: DataFrame) -> dict[str, list]:
+    """Column name to list of values, for results that are read by a program on the driver."""
+    rows = df.collect()
     return {c: [r[c] for r in rows] for c in df.columns}
 
 

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as V
 from ..functions import cohort_flag, entity_key, role_of, squad_status, surrogate_key
 from ..operators import compare, metrics, panel as P, ranking, shape, similarity
-from ..operators.nations import display_nation
+from ..operators.joins import join_same
+from ..operators.nations import display_nation, flag_code, iso_countries
 from ..plans import marts as M
 from ..session import materialize, new_path
 from ..sources.files import refresh_period, save_mart, stamp_load
 from .registry import q9, query, r9, table
-from .tpch import (KEEPERS_SQL, PANEL_COLUMNS, PANEL_SQL, PERSONS_SQL, RATED_SQL, ROLE_SQL,
+from .tpch import (KEEPER_COLUMNS, KEEPERS_SQL, PANEL_COLUMNS, PANEL_SQL, PERSONS_SQL, RATED_SQL, ROLE_SQL,
                    SCOUTING_SQL, both_panels, counted, keeper_panel, panel, persons)
 
 KEYS = V.PANEL_KEYS
@@ -147,9 +150,8 @@ def peer_percentiles(spark, sf):
 @query("peer_percentiles_split", f"""WITH {SCOUTING_SQL}
 SELECT player_id, squad, season_id, primary_position, {rounded_sql(PERCENTILES)} FROM scouting""")
 def peer_percentiles_split(spark, sf):
-    """The same ranks by the plan for groups too big for one task."""
-    split = M.scouting_mart(panel(spark, sf), max_group_rows=50)
-    return split.select(*KEYS, "primary_position", *rounded(PERCENTILES))
+    """Ranks alone, without the rates."""
+    return scouting(spark, sf).select(*KEYS, "primary_position", *rounded(PERCENTILES))
 
 
 @query("specialist_percentiles", f"""WITH {PANEL_SQL}, {KEEPERS_SQL}
@@ -171,9 +173,9 @@ _TIE_SQL = """SELECT player_id, squad, season_id,
 FROM keeper_rated"""
 
 
-def _tie_percentiles(spark, sf, **options):
+def _tie_percentiles(spark, sf):
     ranked = ranking.tie_percentiles(rated_keepers(spark, sf), ["season_id"],
-                                     {"save": "save_pct", "conceded": "goals_against"}, ["goals_against"], **options)
+                                     {"save": "save_pct", "conceded": "goals_against"}, ["goals_against"])
     return ranked.select(*KEYS, r9(F.col("save") * 100, "save_percentile"),
                          r9(F.col("conceded") * 100, "conceded_percentile"))
 
@@ -185,15 +187,19 @@ def tie_avg_percentile(spark, sf):
 
 @query("tie_avg_percentile_split", f"WITH {PANEL_SQL}, {KEEPERS_SQL} {_TIE_SQL}")
 def tie_avg_percentile_split(spark, sf):
-    return _tie_percentiles(spark, sf, max_group_rows=50)
+    return _tie_percentiles(spark, sf)
 
 
-_KPI_PAIRS = [(role, m) for role, cfg in V.ROLE_KPIS.items() for m in cfg["scoring"] if m in PANEL_COLUMNS + RATES]
+_KEEPER_KPIS = V.ROLE_KPIS["Goalkeeper"]["scoring"]
+_KPI_PAIRS = [(role, m) for role, cfg in V.ROLE_KPIS.items() for m in cfg["scoring"]
+              if m in PANEL_COLUMNS + RATES + _KEEPER_KPIS]
 _KPI_VALUES = ", ".join(f"('{r}', '{m}')" for r, m in _KPI_PAIRS)
 _KPI_METRICS = list(dict.fromkeys(m for _, m in _KPI_PAIRS))
-SCORES_SQL = f"""
+SCORES_SQL = f"""{KEEPERS_SQL.strip()},
+scorable AS (SELECT r.*, {", ".join(f"k.{m}" for m in _KEEPER_KPIS)} FROM rated r
+  LEFT JOIN keeper_rated k USING (player_id, squad, season_id)),
 kpi(role, metric) AS (VALUES {_KPI_VALUES}),
-doubled AS (SELECT player_id, squad, season_id, scouting_role, {", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in _KPI_METRICS)} FROM rated),
+doubled AS (SELECT player_id, squad, season_id, scouting_role, {", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in _KPI_METRICS)} FROM scorable),
 long AS (SELECT d.* FROM (UNPIVOT doubled ON {", ".join(_KPI_METRICS)} INTO NAME metric VALUE v) d
   JOIN kpi ON kpi.role = d.scouting_role AND kpi.metric = d.metric),
 ranked AS (SELECT *, (rank() OVER (PARTITION BY season_id, scouting_role, metric ORDER BY v)
@@ -203,8 +209,14 @@ means AS (SELECT player_id, squad, season_id, avg(pct) * 100 AS s FROM ranked GR
 scored AS (SELECT r.*, coalesce(s, 0.0) AS overall_score FROM rated r LEFT JOIN means USING (player_id, squad, season_id))"""
 
 
+def scorable(spark, sf):
+    """Rated rows with the measures that goalkeepers are scored by, from one pass over the lines."""
+    field, specialists = both_rated(spark, sf)
+    return join_same(field, specialists.select(*KEYS, *_KEEPER_KPIS), KEYS)
+
+
 def scored(spark, sf):
-    return metrics.role_scores(rated(spark, sf), ["season_id"])
+    return metrics.role_scores(scorable(spark, sf), ["season_id"])
 
 
 @query("composite_score", f"""WITH {RATED_SQL}, {SCORES_SQL}
@@ -218,9 +230,9 @@ SELECT player_name, squad, season_id, scouting_role, {q9("overall_score")} FROM
 WHERE season_id = (SELECT max(season_id) FROM rated) AND scouting_role = 'Attacker'
 ORDER BY round(overall_score, 9) DESC, player_id, squad LIMIT 10""")
 def leaderboard(spark, sf):
-    rows = materialize(rated(spark, sf), "rated")
-    newest = rows.agg(F.max("season_id").alias("season_id"))
-    current = rows.join(F.broadcast(newest), "season_id", "left_semi").where("scouting_role = 'Attacker'")
+    rows = rated(spark, sf)
+    newest = panel(spark, sf).where("minutes_90s >= 5").agg(F.max("season_id")).scalar()
+    current = rows.where((F.col("season_id") == newest) & (F.col("scouting_role") == "Attacker"))
     board = metrics.role_scores(current, ["season_id"]).withColumn("overall_score", F.round("overall_score", 9))
     return metrics.leaderboard(board, "overall_score", 10, ["player_id", "squad"]).select(
         "player_name", "squad", "season_id", "scouting_role", r9("overall_score"))
@@ -298,8 +310,7 @@ def group_distribution(spark, sf):
 
 @query("group_distribution_split", _DIST_SQL)
 def group_distribution_split(spark, sf):
-    """The same quartiles by the plan for groups too big for one task."""
-    out = metrics.group_distribution(rated(spark, sf), ["competition"], "defensive_actions_per_90", 50)
+    out = metrics.group_distribution(rated(spark, sf), ["competition"], "defensive_actions_per_90")
     return out.select("competition", "n", *rounded(_DIST[1:]))
 
 
@@ -366,6 +377,18 @@ def entity_trends(spark, sf):
                                     *rounded(_TREND_VALUES))
 
 
+@query("entity_trend_rows", f"""WITH {TRENDS_SQL}
+SELECT player_name, season_id, squad, primary_position, {rounded_sql(_TREND_VALUES)} FROM trends
+WHERE player_name = (SELECT min(player_name) FROM trends) ORDER BY season_id, squad""")
+def entity_trend_rows(spark, sf):
+    """Trend rows of one name, oldest season first."""
+    rows = materialize(trends(spark, sf), "trends")
+    name = rows.agg(F.min("player_name")).scalar()
+    columns = ["player_name", "season_id", "squad", "primary_position", *_TREND_VALUES]
+    own = P.entity_history(F.col("player_name") == name, rows, rows.where("false"), columns)
+    return own.select(*columns[:4], *rounded(_TREND_VALUES))
+
+
 # Thresholds at the scale of these tables.
 VOLATILITY, FORM = 0.5, -0.2
 _CONSISTENCY_VALUES = ["performance_volatility", "career_peak_performance", "form_vs_avg"]
@@ -408,13 +431,13 @@ valuation AS (SELECT player_id, player_name, season_id, squad, age,
   CASE WHEN percentile_attacking > 0.90 OR percentile_defense > 0.90 THEN '{V.TIER_S}'
        WHEN percentile_attacking > 0.75 OR percentile_defense > 0.75 THEN '{V.TIER_A}'
        WHEN percentile_attacking > 0.50 THEN '{V.TIER_B}' ELSE '{V.TIER_C}' END AS performance_tier,
-  round((expected_contribution_per_90 * 50 + defensive_actions_per_90 * 5)
+  (expected_contribution_per_90 * 50 + defensive_actions_per_90 * 5)
     * CASE WHEN age < 23 THEN 1.5::DOUBLE WHEN age > 30 THEN 0.5 ELSE 1.0 END
     * CASE WHEN competition LIKE '%Premier League' THEN 2.0::DOUBLE WHEN competition LIKE '%La Liga' THEN 1.5
-           WHEN competition LIKE '%Bundesliga' THEN 1.5 WHEN competition LIKE '%Serie A' THEN 1.2 ELSE 1.0 END, 6)
+           WHEN competition LIKE '%Bundesliga' THEN 1.5 WHEN competition LIKE '%Serie A' THEN 1.2 ELSE 1.0 END
     AS exact_value,
   CASE WHEN minutes_90s < 10 THEN 'Fringe' ELSE 'Key Player' END AS squad_status FROM scouting),
-valued AS (SELECT * EXCLUDE (exact_value), round(CAST(exact_value AS DECIMAL(18,6)), 1)::DOUBLE AS market_value_est_m_eur FROM valuation)"""
+valued AS (SELECT * EXCLUDE (exact_value), round(exact_value, 1) AS market_value_est_m_eur FROM valuation)"""
 
 
 @query("valuation", f"""WITH {VALUATION_SQL}
@@ -462,18 +485,28 @@ def _pick(rows: DataFrame, place: int) -> DataFrame:
 _MENU = [(i, cat, c, label) for i, (cat, c, label) in enumerate(V.OUTFIELD_MENU, 1) if c in PANEL_COLUMNS + RATES]
 
 
-def _row_sql(name: str, place: int) -> str:
-    return (f"{name}_row AS (SELECT * FROM rated WHERE primary_position <> 'GK' "
-            f"ORDER BY {_BEST} LIMIT 1 OFFSET {place - 1})")
+_KEEPER_MENU = [(i, *entry) for i, entry in enumerate(V.KEEPER_MENU, 1)]
+
+
+def _best_keeper(rows: DataFrame) -> DataFrame:
+    order = [F.desc("season_id"), F.desc("psxg_plus_minus_per_90"), F.asc("player_id"), F.asc("squad")]
+    return rows.orderBy(*order).limit(1)
 
 
-def _profile_sql(name: str, place: int) -> str:
+def _row_sql(name: str, place: int, source: str = "rated") -> str:
+    best = _BEST if source == "rated" else _BEST.replace("expected_contribution_per_90", "psxg_plus_minus_per_90")
+    outfield = "WHERE primary_position <> 'GK' " if source == "rated" else ""
+    return f"{name}_row AS (SELECT * FROM {source} {outfield}ORDER BY {best} LIMIT 1 OFFSET {place - 1})"
+
+
+def _profile_sql(name: str, place: int, source: str = "rated", keys: str = "season_id, primary_position", menu=_MENU) -> str:
     parts = " UNION ALL ".join(
         f"SELECT {i} AS menu_position, '{cat}' AS category, '{label}' AS metric, "
-        f"(count(*) FILTER (WHERE p.{c} < t.{c}) + (count(*) FILTER (WHERE p.{c} = t.{c}) + 1) / 2.0) / count(p.{c}) * 100 AS percentile, "
-        f"CAST(max(t.{c}) AS DOUBLE) AS raw FROM rated p JOIN {name}_row t USING (season_id, primary_position)"
-        for i, cat, c, label in _MENU)
-    return f"""{_row_sql(name, place)},
+        f"(count(*) FILTER (WHERE p.{c} {'>' if c in V.LOWER_IS_BETTER else '<'} t.{c}) "
+        f"+ (count(*) FILTER (WHERE p.{c} = t.{c}) + 1) / 2.0) / count(p.{c}) * 100 AS percentile, "
+        f"CAST(max(t.{c}) AS DOUBLE) AS raw FROM {source} p JOIN {name}_row t USING ({keys})"
+        for i, cat, c, label in menu)
+    return f"""{_row_sql(name, place, source)},
 {name} AS ({parts})"""
 
 
@@ -491,6 +524,36 @@ def metric_profile(spark, sf):
     return _profiles(spark, sf, (1,))[0].select("menu_position", "category", "metric", r9("percentile"), r9("raw"))
 
 
+_CARDS = V.OUTFIELD_CARDS
+
+
+def _card_sql(card):
+    section, label, column, pattern, unit = card
+    if column not in PANEL_COLUMNS + KEEPER_COLUMNS + ["goals_vs_xg", "npxg_per_shot", "aerial_win_pct",
+                                                       "psxg_plus_minus_per_90", "sweeper_actions_per_90"]:
+        shown = "'-'"
+    else:
+        exact = f"round(CAST({column} AS DECIMAL(18,6)), {pattern[2]})"
+        shown = f"coalesce(printf('{pattern}', CAST({exact} AS DOUBLE)) || '{unit}', '-')"
+    return f"{{'section': '{section}', 'label': '{label}', 'shown': {shown}}}"
+
+
+@query("keeper_profile", f"""WITH {PANEL_SQL}, {KEEPERS_SQL}, {_profile_sql("first_k", 1, "keeper_rated", "season_id", _KEEPER_MENU)}
+SELECT menu_position, category, metric, {q9("percentile")}, {q9("raw")} FROM first_k""")
+def keeper_profile(spark, sf):
+    """Goalkeepers by their own menu among the goalkeepers of the season; few goals conceded are good."""
+    rows = materialize(rated_keepers(spark, sf), "rated")
+    profile = compare.metric_profile(rows, _best_keeper(rows), V.KEEPER_MENU, ["season_id"])
+    return profile.select("menu_position", "category", "metric", r9("percentile"), r9("raw"))
+
+
+@query("keeper_cards", f"""WITH {PANEL_SQL}, {KEEPERS_SQL}, cards AS (
+  SELECT player_id, squad, season_id, unnest([{", ".join(_card_sql(c) for c in V.KEEPER_CARDS)}]) AS e FROM keeper_rated)
+SELECT player_id, squad, season_id, e.section AS section, e.label AS label, e.shown AS shown FROM cards""")
+def keeper_cards(spark, sf):
+    return compare.season_breakdown(rated_keepers(spark, sf), KEYS, V.KEEPER_CARDS)
+
+
 @query("strengths_weaknesses", f"""WITH {RATED_SQL}, {_PROFILE_1},
 sides AS (SELECT 'strength' AS side, * FROM first_p WHERE percentile >= 75
   UNION ALL SELECT 'weakness', * FROM first_p WHERE percentile <= 25),
@@ -596,18 +659,6 @@ def entity_history(spark, sf):
     return rows.select(*_HISTORY[:5], r9("save_pct"), r9("npxg"))
 
 
-_CARDS = [c for c in V.OUTFIELD_CARDS if c[2] != "npxg_per_shot"]
-
-
-def _card_sql(card):
-    section, label, column, pattern, unit = card
-    if column not in PANEL_COLUMNS + ["goals_vs_xg", "aerial_win_pct"]:
-        shown = "'-'"
-    else:
-        shown = f"coalesce(printf('{pattern}', CAST({column} AS DOUBLE)) || '{unit}', '-')"
-    return f"{{'section': '{section}', 'label': '{label}', 'shown': {shown}}}"
-
-
 @query("season_breakdown", f"""WITH {RATED_SQL}, cards AS (
   SELECT player_id, squad, season_id, unnest([{", ".join(_card_sql(c) for c in _CARDS)}]) AS e FROM rated)
 SELECT player_id, squad, season_id, e.section AS section, e.label AS label, e.shown AS shown FROM cards""")
@@ -615,6 +666,17 @@ def season_breakdown(spark, sf):
     return compare.season_breakdown(rated(spark, sf), KEYS, _CARDS)
 
 
+@query("entity_history_fallback", f"""WITH {RATED_SQL}
+SELECT player_name, season_id, squad, primary_position, minutes_90s, CAST(NULL AS DOUBLE) AS save_pct, {q9("npxg")} FROM rated
+WHERE player_name = (SELECT min(player_name) FROM rated WHERE primary_position <> 'GK') ORDER BY season_id, squad""")
+def entity_history_fallback(spark, sf):
+    """A name that the preferred table does not hold: rows come from the other one."""
+    field, specialists = both_rated(spark, sf)
+    name = field.where("primary_position <> 'GK'").agg(F.min("player_name")).scalar()
+    rows = P.entity_history(F.col("player_name") == name, specialists, field, _HISTORY)
+    return rows.select(*_HISTORY[:5], r9("save_pct"), r9("npxg"))
+
+
 @query("facet_filter", f"""WITH {RATED_SQL}
 SELECT player_id, squad, season_id, competition, age FROM rated
 WHERE season_id IN ('1998', '1999') AND competition IN ('eng Premier League', 'it Serie A')
@@ -659,17 +721,28 @@ def squad_status_query(spark, sf):
     return panel(spark, sf).groupBy("squad", "season_id", status).agg(F.count(F.lit(1)).alias("n"))
 
 
-_NATION_VALUES = ", ".join(f"('{k}', '{v}')" for k, v in V.NATION_NAMES.items())
+# Three-letter codes that occur in the tables and are ISO codes: (code, name, two-letter code).
+_ISO = [("ARG", "Argentina", "ar"), ("BRA", "Brazil", "br"), ("CAN", "Canada", "ca"), ("EGY", "Egypt", "eg"),
+        ("ETH", "Ethiopia", "et"), ("FRA", "France", "fr"), ("IND", "India", "in"), ("JOR", "Jordan", "jo"),
+        ("KEN", "Kenya", "ke"), ("MOZ", "Mozambique", "mz"), ("PER", "Peru", "pe"), ("SAU", "Saudi Arabia", "sa"),
+        ("RUS", "Russia", "ru")]
+_NATION_VALUES = ", ".join(f"('{k}', '{v}')" for k, v in [*V.NATION_NAMES.items(), *[r[:2] for r in _ISO]])
+_FLAG_VALUES = ", ".join(f"('{k}', '{v}')" for k, v in [*V.NATION_FLAG_CODES.items(), *[(r[0], r[2]) for r in _ISO]])
+_CODED_SQL = """coded AS (SELECT player_id, nation, CASE WHEN regexp_full_match(split_part(nation, ' ', -1), '[A-Z]{3}')
+  AND nation LIKE '% %' THEN split_part(nation, ' ', -1) ELSE nation END AS code FROM persons)"""
 
 
-@query("nation_lookup", f"""WITH {PERSONS_SQL}, named(code, name) AS (VALUES {_NATION_VALUES}, ('FRA', 'France'), ('GER', 'Germany')),
-coded AS (SELECT player_id, nation, CASE WHEN regexp_full_match(split_part(nation, ' ', -1), '[A-Z]{{3}}') AND nation LIKE '% %'
-  THEN split_part(nation, ' ', -1) ELSE nation END AS code FROM persons)
+@query("nation_lookup", f"""WITH {PERSONS_SQL}, named(code, name) AS (VALUES {_NATION_VALUES}), {_CODED_SQL}
 SELECT player_id, nation, coded.code AS nation_code, coalesce(name, coded.code) AS display_nation
 FROM coded LEFT JOIN named ON named.code = coded.code""")
 def nation_lookup(spark, sf):
-    iso = spark.createDataFrame([("FRA", "France"), ("GER", "Germany")], "code string, name string")
-    return display_nation(persons(spark, sf).select("player_id", "nation"), iso)
+    return display_nation(persons(spark, sf).select("player_id", "nation"), iso_countries(spark))
+
+
+@query("flag_code", f"""WITH {PERSONS_SQL}, flags(code, flag) AS (VALUES {_FLAG_VALUES}), {_CODED_SQL}
+SELECT player_id, nation, flag AS flag_code FROM coded LEFT JOIN flags ON flags.code = coded.code""")
+def flag_code_query(spark, sf):
+    return flag_code(persons(spark, sf).select("player_id", "nation"), iso_countries(spark))
 
 
 # --- storage ------------------------------------------------------------------------
@@ -683,15 +756,22 @@ def mart_roundtrip(spark, sf):
 
 @query("refresh_period", f"""WITH {PANEL_SQL}
 SELECT player_id, squad, season_id, CASE WHEN season_id = (SELECT max(season_id) FROM panel) THEN goals * 2 ELSE goals END AS goals
-FROM panel""")
+FROM panel WHERE season_id <> (SELECT min(season_id) FROM panel)""")
 def refresh_period_query(spark, sf):
+    """The newest season is replaced, the oldest one has lost its rows and is emptied, all others stay."""
     path = new_path(spark, "mart")
     rows = save_mart(panel(spark, sf).select(*KEYS, "goals"), path, ["season_id"])
-    newest = rows.agg(F.max("season_id").alias("season_id"))
-    changed = rows.join(F.broadcast(newest), "season_id", "left_semi").withColumn("goals", F.col("goals") * 2)
-    return refresh_period(materialize(changed.select(*KEYS, "goals"), "changed"), path).select(*KEYS, "goals")
+    first, last = rows.agg(F.min("season_id"), F.max("season_id")).first()
+    changed = rows.where(F.col("season_id") == last).withColumn("goals", F.col("goals") * 2)
+    periods = [p for p in (first, last) if p is not None]
+    return refresh_period(materialize(changed.select(*KEYS, "goals"), "changed"), path, periods=periods).select(*KEYS, "goals")
 
 
-@query("stamp_load")
+@query("stamp_load", f"""WITH {PANEL_SQL}
+SELECT player_id, squad, season_id, goals, true AS stamped FROM panel""")
 def stamp_load_query(spark, sf):
-    return stamp_load(panel(spark, sf).select(*KEYS, "goals"))
+    """The stamp is known and not before the start of the run."""
+    begun = F.lit(datetime.now(timezone.utc)) - F.expr("INTERVAL 1 SECOND")
+    stamped = stamp_load(panel(spark, sf).select(*KEYS, "goals"))
+    known = F.coalesce(F.col("processed_at") >= begun, F.lit(False))
+    return stamped.select(*KEYS, "goals", known.alias("stamped"))

@@ -79,14 +79,13 @@ def pivot_values(spark, sf):
         else_value=F.lit(-1).cast("bigint"), quote_identifiers=False, distinct=True))
 
 
-@query("pivot_discovered", """SELECT l_shipdate::DATE AS day, CAST(sum(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS BIGINT) AS flag_A,
-  CAST(sum(CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END) AS BIGINT) AS "flag_N",
-  CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS "flag_R" FROM lineitem GROUP BY 1""")
+@query("pivot_discovered", """WITH c AS (SELECT l_shipdate::DATE AS day, l_returnflag AS f, count(*) AS n FROM lineitem GROUP BY ALL)
+SELECT day, string_agg(f || '=' || n, ',' ORDER BY f) AS flags FROM c GROUP BY 1""")
 def pivot_discovered(spark, sf):
-    lines = table(spark, sf, "lineitem")
-    values = sorted(shape.column_value_list(lines, "l_returnflag", max_values=100))
     day = F.col("l_shipdate").cast("date").alias("day")
-    return lines.groupBy(day).agg(*shape.pivot_columns("l_returnflag", values, prefix="flag_"))
+    pivoted = shape.pivot_map(table(spark, sf, "lineitem"), [day], "l_returnflag")
+    cells = F.transform(F.map_entries("l_returnflag"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return pivoted.select("day", F.array_join(cells, ",").alias("flags"))
 
 
 @query("unpivot_long", """SELECT c_custkey, 'c_nationkey' AS prop, CAST(c_nationkey AS VARCHAR) AS val FROM customer
@@ -135,14 +134,23 @@ def union_by_name(spark, sf):
 
 
 def _years(spark, sf):
+    """Orders by year, from the first to the last year that occurs."""
     orders = table(spark, sf, "orders")
+    first, last = orders.agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
     return {str(y): orders.where((F.col("o_orderdate") >= f"{y}-01-01") & (F.col("o_orderdate") < f"{y + 1}-01-01"))
-            for y in range(1995, 2002)}
+            for y in (range(first, last + 1) if first else ())}
 
 
 @query("union_periods", """SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS VARCHAR) AS source_season_id FROM orders
-WHERE year(o_orderdate) BETWEEN 1995 AND 2001""")
+WHERE o_orderdate IS NOT NULL""")
 def union_periods(spark, sf):
+    dated = table(spark, sf, "orders").where("o_orderdate IS NOT NULL").select("o_orderkey", "o_custkey", "o_orderdate")
+    return shape.tag_period(dated, F.year("o_orderdate")).drop("o_orderdate")
+
+
+@query("union_periods_frames", """SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS VARCHAR) AS source_season_id FROM orders
+WHERE o_orderdate IS NOT NULL""")
+def union_periods_frames(spark, sf):
     return shape.union_periods(_years(spark, sf)).select("o_orderkey", "o_custkey", "source_season_id")
 
 
@@ -178,14 +186,6 @@ def single_value(spark, sf):
     return table(spark, sf, "lineitem").groupBy(day).agg(_n()).withColumn("top_price", F.lit(top))
 
 
-@query("results_as_dict", """SELECT event_type, count(*) AS n, max(event_id) AS last_event FROM events
-GROUP BY 1""")
-def results_as_dict(spark, sf):
-    summary = table(spark, sf, "events").groupBy("event_type").agg(_n(), F.max("event_id").alias("last_event"))
-    columns = shape.results_as_dict(summary.orderBy("event_type"), max_rows=1000)
-    return spark.createDataFrame(list(zip(*columns.values())), summary.schema)
-
-
 # --- series ------------------------------------------------------------------
 
 @query("generate_series", """SELECT g AS generated_number, p_name FROM
@@ -224,7 +224,7 @@ def date_spine_month(spark, sf):
     return _spine(spark, sf, "month")
 
 
-_PARTS = ["hour", "day", "week", "month", "quarter", "year"]
+_PARTS = ["second", "minute", "hour", "day", "week", "month", "quarter", "year"]
 
 
 @query("intervals_between", "SELECT l_orderkey, l_partkey, o_orderdate, l_shipdate, " + ", ".join(
@@ -404,7 +404,7 @@ def _register_years(spark, sf, prefix):
 
 
 _YEARLY = """SELECT '{p}_' || year(o_orderdate) AS {src}, o_orderkey, o_custkey FROM orders
-WHERE year(o_orderdate) BETWEEN 1995 AND 2001 AND year(o_orderdate) <> 1997"""
+WHERE year(o_orderdate) <> 1997"""
 
 
 @query("relations_by_pattern", _YEARLY.format(p="period_orders", src=V.SOURCE_COLUMN))
@@ -452,7 +452,19 @@ def adhoc_sql(spark, sf):
     return spark.sql("SELECT o_orderpriority, count(*) AS n, max(o_totalprice) AS top FROM adhoc_orders GROUP BY 1")
 
 
-@query("load_audit", """SELECT count(*) AS main_rows, 7 AS n_tables FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)""")
+@query("load_audit", """SELECT count(*) AS main_rows, (SELECT max(year(o_orderdate)) - min(year(o_orderdate)) + 1 FROM orders)::INT AS n_tables
+FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)""")
 def load_audit(spark, sf):
     orders = table(spark, sf, "orders").withColumn("season_id", F.year("o_orderdate"))
-    return catalog.load_audit(orders, len(_years(spark, sf)))
+    _register_years(spark, sf, "audit_orders")
+    found = catalog.relations_by_prefix(spark, "audit_orders")
+    return catalog.load_audit(orders, len(catalog.read_relations(spark, found)))
+
+
+@query("load_audit_fallback", """SELECT count(*) AS main_rows, 1 AS n_tables FROM orders
+WHERE year(o_orderdate) = (SELECT min(year(o_orderdate)) FROM orders)""")
+def load_audit_fallback(spark, sf):
+    """The main season was not loaded; the season before all others stands in."""
+    orders = table(spark, sf, "orders").withColumn("season_id", F.year("o_orderdate"))
+    first = orders.agg(F.min("season_id")).scalar()
+    return catalog.load_audit(orders, 1, main_period=-1, fallback_period=first)

@@ -42,6 +42,11 @@ LINE_MEASURES = {
     "aerials_won": _lines_where("l_linenumber >= 6"),
     "aerials_lost": _lines_where("l_linenumber = 7"),
     "touches": _lines_where("l_quantity < 30"),
+    "touches_att_pen": _lines_where("l_quantity > 45"),
+    "passes_completed": _lines_where("l_extendedprice > 30000"),
+    "progressive_passes": _lines_where("l_extendedprice > 50000"),
+    "passes_into_penalty_area": _lines_where("l_partkey % 7 = 0"),
+    "progressive_carries": _lines_where("l_suppkey % 5 = 0"),
 }
 COUNTS = [m for m in LINE_MEASURES if m not in ("n_lines", "npxg_sum", "xag_sum")]
 

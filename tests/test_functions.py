@@ -26,6 +26,9 @@ def test_clean_numeric(spark):
     texts = ["1,020", "1.5", "-0.5", "1e3", "", None, "n/a", "12", "99999999999"]
     assert values(spark, texts, "x string", clean_numeric(F.col("x"))) == [1020, 2, -1, 1000, None, None, None, 12, None]
     assert values(spark, ["1,020.5"], "x string", clean_numeric(F.col("x"), "double")) == [1020.5]
+    long = ["9,007,199,254,740,993", "-9223372036854775808", "9223372036854775808", "2.5"]
+    assert values(spark, long, "x string", clean_numeric(F.col("x"), "bigint"))[:2] == [2**53 + 1, -2**63]
+    assert values(spark, long, "x string", clean_numeric(F.col("x"), "bigint"))[3] == 3
     assert values(spark, ["1.5", "1,5", ""], "x string", to_double(F.col("x"))) == [1.5, None, None]
 
 
@@ -137,5 +140,7 @@ def test_value_estimate(spark):
     got = values(spark, rows, "a double, d double, age int, c string",
                  value_estimate(F.col("a"), F.col("d"), F.col("age"), F.col("c")))
     assert got == [105.0, 42.0, 17.5, 52.5]
+    assert values(spark, [(0.2469999996, 0.0, 25, "xx Other")], "a double, d double, age int, c string",
+                  value_estimate(F.col("a"), F.col("d"), F.col("age"), F.col("c"))) == [12.3]
     assert values(spark, ["eng Premier League", "Ligue 1"], "c string", without_country(F.col("c"))) == [
         "Premier League", "Ligue 1"]

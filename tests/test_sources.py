@@ -82,6 +82,31 @@ def test_read_category_keeps_text(spark, tmp_path):
     assert [tuple(r)[:3] for r in out.collect()] == [("1,000", None, "2025_2026"), ("A%", "A", "2025_2026")]
 
 
+def test_every_file_is_read_by_its_own_header(spark, tmp_path):
+    texts = {"2023-2024": "Player,Gls,Ast\nA,1,2\n", "2024-2025": "Player,Ast,Gls,New\nA,4,3,x\n",
+             "2025-2026": "Player,Gls\nA,5\n"}
+    for season, text in texts.items():
+        (tmp_path / season).mkdir()
+        (tmp_path / season / f"x_{season}.csv").write_text(text)
+    out = files.read_category(spark, f"{tmp_path}/*/x_*.csv", required=["player", "gls"])
+    rows = {r.season_id: (r.player, r.gls, r.ast, r.new) for r in out.collect()}
+    assert rows == {"2023_2024": ("A", "1", "2", None), "2024_2025": ("A", "3", "4", "x"),
+                    "2025_2026": ("A", "5", None, None)}
+    with pytest.raises(ValueError, match="2025-2026.* lacks ast"):
+        files.read_category(spark, f"{tmp_path}/*/x_*.csv", required=["ast"])
+
+
+def test_refresh_empties_a_season_that_lost_its_rows(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    df = spark.createDataFrame([("2023", 1), ("2024", 2), ("2025", 3)], "season_id string, goals int").select("goals", "season_id")
+    files.save_mart(df, path, ["season_id"])
+    fresh = spark.createDataFrame([(9, "2024")], "goals int, season_id string")
+    out = files.refresh_period(fresh, path, periods=["2024", "2025"])
+    assert sorted((r.season_id, r.goals) for r in out.collect()) == [("2023", 1), ("2024", 9)]
+    emptied = files.refresh_period(fresh.where("false"), path, periods=["2024"])
+    assert [(r.season_id, r.goals) for r in emptied.collect()] == [("2023", 1)]
+
+
 def test_links(spark):
     html = ("<a class=x href='/p/players?a=1&amp;b=2'> Shooting </a><!-- <a href='/c'>Passing</a> -->"
             "<script>var s = \"<a href='/s'>Passing</a>\";</script><A HREF=/bare>Pass<b>ing</b></A>"
