@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_run_dirs: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,8 +29,21 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def run_dir(spark: SparkSession) -> str:
+    """Folder of this application inside the shared one; it goes when the application ends, others are not touched."""
+    app = spark.sparkContext.applicationId
+    folder = f"{shared_dir(spark)}/panelspark/{app}"
+    if app not in _run_dirs:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _run_dirs.add(app)
+    return folder
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/panelspark/{label}-{uuid.uuid4().hex}"
+    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:

@@ -16,7 +16,7 @@ from ..session import materialize, new_path
 from ..sources.files import refresh_period, save_mart, stamp_load
 from .registry import q9, query, r9, table
 from .tpch import (KEEPER_COLUMNS, KEEPERS_SQL, PANEL_COLUMNS, PANEL_SQL, PERSONS_SQL, RATED_SQL, ROLE_SQL,
-                   SCOUTING_SQL, both_panels, counted, keeper_panel, panel, persons)
+                   SCOUTING_SQL, both_panels, counted_parts, keeper_panel, panel, persons)
 
 KEYS = V.PANEL_KEYS
 RATES = list(M.SCOUTING_RATES)
@@ -24,16 +24,25 @@ PERCENTILES = list(M.SCOUTING_PERCENTILES)
 KEEPER_PERCENTILES = list(M.KEEPER_PERCENTILES)
 
 
+def stored_panel(spark, sf):
+    """The panel, computed once for plans that read it more than once."""
+    return materialize(panel(spark, sf), "panel")
+
+
 def scouting(spark, sf):
-    return M.scouting_mart(panel(spark, sf))
+    return M.scouting_mart(stored_panel(spark, sf))
 
 
 def rated(spark, sf):
     return M.scouting_rates(panel(spark, sf))
 
 
+def stored_rated(spark, sf):
+    return M.scouting_rates(stored_panel(spark, sf))
+
+
 def keepers(spark, sf):
-    return M.keeper_mart(keeper_panel(spark, sf))
+    return M.keeper_mart(materialize(keeper_panel(spark, sf), "keepers"))
 
 
 def rated_keepers(spark, sf):
@@ -99,10 +108,9 @@ SELECT o_custkey, squad, season_id, n_lines, goals, coalesce(shots_total, 0) AS
 FROM base LEFT JOIN shooting USING (o_custkey, squad, season_id) LEFT JOIN defence USING (o_custkey, squad, season_id)
 LEFT JOIN aerial USING (o_custkey, squad, season_id)""")
 def wide_panel(spark, sf):
-    base = counted(spark, sf, ("n_lines", "goals"))
-    shooting = counted(spark, sf, ("shots_total", "shots_on_target"), "l_quantity > 25")
-    defence = counted(spark, sf, ("tackles_won",), "l_tax >= 0.04")
-    aerial = counted(spark, sf, ("aerials_won", "aerials_lost"), "l_linenumber >= 6")
+    base, shooting, defence, aerial = counted_parts(spark, sf, [
+        (("n_lines", "goals"), "true"), (("shots_total", "shots_on_target"), "l_quantity > 25"),
+        (("tackles_won",), "l_tax >= 0.04"), (("aerials_won", "aerials_lost"), "l_linenumber >= 6")])
     return P.wide_join(base, [shooting, defence, aerial], _GRAIN, ["shots_total", "shots_on_target", "tackles_won"])
 
 
@@ -110,9 +118,9 @@ def wide_panel(spark, sf):
 SELECT o_custkey, squad, season_id, goals, shots_total, shots_on_target, aerials_won, aerials_lost
 FROM base JOIN shooting USING (o_custkey, squad, season_id) LEFT JOIN aerial USING (o_custkey, squad, season_id)""")
 def specialist_panel(spark, sf):
-    base = counted(spark, sf, ("goals",))
-    shooting = counted(spark, sf, ("shots_total", "shots_on_target"), "l_quantity > 25")
-    aerial = counted(spark, sf, ("aerials_won", "aerials_lost"), "l_linenumber >= 6")
+    base, shooting, aerial = counted_parts(spark, sf, [
+        (("goals",), "true"), (("shots_total", "shots_on_target"), "l_quantity > 25"),
+        (("aerials_won", "aerials_lost"), "l_linenumber >= 6")])
     return P.specialist_join(base, shooting, [aerial], _GRAIN)
 
 
@@ -174,7 +182,8 @@ FROM keeper_rated"""
 
 
 def _tie_percentiles(spark, sf):
-    ranked = ranking.tie_percentiles(rated_keepers(spark, sf), ["season_id"],
+    rows = M.keeper_rates(materialize(keeper_panel(spark, sf), "keepers"))
+    ranked = ranking.tie_percentiles(rows, ["season_id"],
                                      {"save": "save_pct", "conceded": "goals_against"}, ["goals_against"])
     return ranked.select(*KEYS, r9(F.col("save") * 100, "save_percentile"),
                          r9(F.col("conceded") * 100, "conceded_percentile"))
@@ -248,7 +257,7 @@ FROM rated JOIN ref_lines USING (season_id, scouting_role)"""
 
 
 def _quadrants(spark, sf, baseline):
-    out = metrics.quadrants(rated(spark, sf), ["season_id", "scouting_role"], "expected_contribution_per_90",
+    out = metrics.quadrants(stored_rated(spark, sf), ["season_id", "scouting_role"], "expected_contribution_per_90",
                             "goal_contribution_per_90", baseline)
     return out.select(*KEYS, "scouting_role", r9("x_line"), r9("y_line"), "quadrant")
 
@@ -280,7 +289,7 @@ SELECT player_id, squad, season_id, scouting_role, {q9("kpi_x")}, {q9("kpi_y")},
        WHEN kpi_x < x_line AND kpi_y >= y_line THEN 'Efficient' WHEN kpi_x < x_line AND kpi_y < y_line THEN 'Developing' END AS quadrant
 FROM axes JOIN ref_lines USING (season_id, scouting_role)""")
 def role_quadrants(spark, sf):
-    charted = metrics.role_axes(rated(spark, sf))
+    charted = metrics.role_axes(stored_rated(spark, sf))
     out = metrics.quadrants(charted, ["season_id", "scouting_role"], "kpi_x", "kpi_y")
     return out.select(*KEYS, "scouting_role", r9("kpi_x"), r9("kpi_y"), r9("kpi_size"), "quadrant")
 
@@ -597,7 +606,7 @@ SELECT player_id, squad, season_id, {", ".join(
     for f in _STYLE)}
 FROM rated WINDOW w AS (PARTITION BY season_id, primary_position)""")
 def zscore_features(spark, sf):
-    out = similarity.zscores(rated(spark, sf), ["season_id", "primary_position"], _STYLE)
+    out = similarity.zscores(stored_rated(spark, sf), ["season_id", "primary_position"], _STYLE)
     return out.select(*KEYS, *rounded([f"z_{f}" for f in _STYLE]))
 
 
@@ -694,7 +703,7 @@ SELECT 'season' AS facet, v AS value FROM seasons UNION ALL SELECT 'league', v F
 UNION ALL SELECT 'min_age', CAST(coalesce(min(age), 15) AS VARCHAR) FROM panel
 UNION ALL SELECT 'max_age', CAST(coalesce(max(age), 45) AS VARCHAR) FROM panel""")
 def facet_values(spark, sf):
-    return P.facet_values(panel(spark, sf), ["es La Liga"])
+    return P.facet_values(stored_panel(spark, sf).select("season_id", "competition", "squad", "age"), ["es La Liga"])
 
 
 @query("cohort_flag", f"""WITH {PERSONS_SQL}

@@ -7,6 +7,8 @@ depends on the order of addition. The fragments below are plain SQL that both en
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import materialize
@@ -174,6 +176,25 @@ def counted(spark: SparkSession, sf_dir: str, measures=tuple(LINE_MEASURES), whe
                      lineitem=table(spark, sf_dir, "lineitem"), orders=table(spark, sf_dir, "orders"))
 
 
+def counted_parts(spark: SparkSession, sf_dir: str, parts: Sequence[tuple[Sequence[str], str]]) -> list[DataFrame]:
+    """One table of measures per (measures, condition on lines), all from a single pass over the lines, stored."""
+    sums, totals = [], []
+    for i, (measures, where) in enumerate(parts):
+        sums.append(f"count(*) FILTER (WHERE {where}) AS lines{i}")
+        sums += [f"{LINE_MEASURES[m]} FILTER (WHERE {where}) AS part{i}_{m}" for m in measures]
+        totals += [f"lines{i}", *[f"part{i}_{m}" for m in measures]]
+    stored = materialize(spark.sql(f"""
+        WITH line_sums AS (SELECT l_orderkey, {", ".join(sums)} FROM {{lineitem}} GROUP BY l_orderkey)
+        SELECT o_custkey, o_orderpriority AS squad, CAST(year(o_orderdate) AS STRING) AS season_id,
+               {", ".join(f"sum({t}) AS {t}" for t in totals)}
+        FROM {{orders}} JOIN line_sums ON o_orderkey = l_orderkey
+        GROUP BY o_custkey, o_orderpriority, year(o_orderdate)""",
+        lineitem=table(spark, sf_dir, "lineitem"), orders=table(spark, sf_dir, "orders")), "parts")
+    return [stored.where(f"lines{i} > 0").select("o_custkey", "squad", "season_id",
+                                                 *[F.col(f"part{i}_{m}").alias(m) for m in measures])
+            for i, (measures, _) in enumerate(parts)]
+
+
 def _panel_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = counted(spark, sf_dir).join(persons(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
     return rows.selectExpr("*", *[f"{e} AS {n}" for n, e in {**EXPOSED, **KEEPER}.items()])
@@ -185,6 +206,10 @@ def both_panels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return rows.select(*PANEL_COLUMNS), rows.where("primary_position = 'GK'").select(*KEEPER_COLUMNS)
 
 
+def panel_with_keepers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _panel_all(spark, sf_dir).select(*PANEL_COLUMNS, *KEEPER)
+
+
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _panel_all(spark, sf_dir).select(*PANEL_COLUMNS)
 

@@ -63,3 +63,11 @@ def test_a_group_without_keys_is_never_gathered(spark):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_the_lines_are_read_once(spark):
+    """Plans that need the panel twice store it; what is left to run reads no line."""
+    for name in ("wide_panel", "specialist_panel", "zscore_features", "quadrants", "quadrants_median", "facet_values",
+                 "peer_percentiles"):
+        text = plan(QUERIES[name](spark, SF))
+        assert "lineitem" not in text, name
