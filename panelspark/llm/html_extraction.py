@@ -39,7 +39,7 @@ HINT = re.compile(
 TOP = re.compile(r"(?:^|[\s_-])(?:masthead|site-?header|page-?header|top-?bar)(?:$|[\s_-])", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。，！？]")
 SMOOTH = (0.25, 0.5, 0.25)
-THRESHOLD = 0.4  # of the largest fused ratio
+THRESHOLD = 0.5  # of the largest fused ratio
 
 
 class Nodes(HTMLParser):
@@ -62,7 +62,9 @@ class Nodes(HTMLParser):
             return
         named = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
         inside = any(t in MAIN for t, _, _ in self.open)
+        given = dict(attrs)
         skip = tag in OUTSIDE or tag not in ROOTS and bool(HINT.search(named))
+        skip = skip or "hidden" in given or "display:none" in (given.get("style") or "").replace(" ", "")
         skip = skip or not inside and (tag == "header" or tag not in ROOTS and bool(TOP.search(named)))
         label = tag + "." + named.split()[0] if named else tag
         self.open.append((tag, label, skip or bool(self.open) and self.open[-1][2]))
@@ -103,8 +105,8 @@ def container(path: tuple[str, ...]) -> tuple[str, ...]:
     return path[:max(0, end - 1)]
 
 
-def content_paths(nodes: list[tuple[tuple[str, ...], int, str]]) -> set[tuple[str, ...]]:
-    """Paths whose fused ratio reaches the threshold."""
+def content_paths(nodes: list[tuple[tuple[str, ...], int, str]]) -> tuple[set, set]:
+    """Paths whose fused ratio reaches the threshold, and those whose own ratio does."""
     length: dict[tuple, int] = {}
     marks: dict[tuple, int] = {}
     count: dict[tuple, int] = {}
@@ -115,7 +117,7 @@ def content_paths(nodes: list[tuple[tuple[str, ...], int, str]]) -> set[tuple[st
             marks[path] = marks.get(path, 0) + len(PUNCTUATION.findall(plain))
             count[path] = count.get(path, 0) + 1
     if not length:
-        return set()
+        return set(), set()
     paths = list(length)  # in page order of their first node
     ratio = [math.log1p(length[p] / count[p]) * (1 + math.log1p(marks[p] / count[p])) for p in paths]
     padded = [ratio[0], *ratio, ratio[-1]]
@@ -127,7 +129,7 @@ def content_paths(nodes: list[tuple[tuple[str, ...], int, str]]) -> set[tuple[st
         best[container(path)] = max(best.get(container(path), 0.0), value)
     fused = {p: max(v for c, v in best.items() if related(container(p), c)) for p in paths}
     least = THRESHOLD * max(fused.values())
-    return {p for p, v in fused.items() if v >= least}
+    return {p for p, v in fused.items() if v >= least}, {p for p, v in zip(paths, ratio) if v >= least}
 
 
 def related(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
@@ -139,12 +141,16 @@ def main_text(html: str) -> str:
     parser = Nodes()
     parser.feed(html)
     parser.close()
-    chosen = content_paths(parser.nodes)
+    chosen, by_itself = content_paths(parser.nodes)
     blocks: dict[int, list[str]] = {}
+    sure: set[int] = set()  # blocks that are more than a link which only stands near the text, such as a menu entry
     for path, block, text in parser.nodes:
         if path in chosen:
             blocks.setdefault(block, []).append(text)
-    joined = (" ".join("".join(parts).split()) for _, parts in sorted(blocks.items()))
+            labels = [label.split(".")[0] for label in path]
+            if text.strip() and ("a" not in labels or path in by_itself or MAIN.intersection(labels)):
+                sure.add(block)
+    joined = (" ".join("".join(parts).split()) for block, parts in sorted(blocks.items()) if block in sure)
     return "\n".join(t for t in joined if t)
 
 

@@ -22,6 +22,9 @@ PAGES = {
     "<article><p>One <b>bold</b>,\n two&nbsp;&#233;<br>three<p>four &lt;b&gt;<script>var t='</p>';</script></article>":
         "One bold, two é three\nfour <b>",
     "<article><h1>A &copy; B</h1><!-- note --><p>c</article><footer>&copy; site</footer>": "A © B\nc",
+    "<body><div class='wrap'><ul><li><a href='/a'>Home</a></li><li><a href='/b'>News</a></li></ul><p>A first paragraph, "
+    "with a <a href='/c'>link</a> in it. It goes on.</p><div hidden>not, shown. Never.</div></div></body>":
+        "A first paragraph, with a link in it. It goes on.",
     "<nav><a href='/'>Home</a></nav>": "", "": "", "<": "<", "no markup at all": "no markup at all",
 }
 
