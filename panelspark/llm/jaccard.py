@@ -284,7 +284,7 @@ def link_large(sets: DataFrame, percent: int, block_sets: int, block_tokens: int
     other = boxes.select("family", *[F.col(c).alias(c + "2") for c in boxes.columns if c != "family"])
     pure = (F.col("first") == F.col("last")) & (F.col("first2") == F.col("last2")) & (F.col("first") == F.col("first2"))
     sized = ((F.col("large") * 100 >= percent * F.col("small2")) & (F.col("large2") * 100 >= percent * F.col("small")))
-    bound = F.aggregate(F.zip_with("high", "high2", F.least), F.lit(0).cast("bigint"), lambda s, x: s + x)
+    bound = F.aggregate(F.zip_with("high", "high2", lambda x, y: F.least(x, y)), F.lit(0).cast("bigint"), lambda s, x: s + x)
     enough = bound * (100 + percent) >= percent * (F.col("small") + F.col("small2"))
     pairs = boxes.join(other, "family").where((F.col("leaf") <= F.col("leaf2")) & ~pure & sized & enough)
     pairs = materialize(pairs.select("family", "leaf", "leaf2"), "pairs")

@@ -75,4 +75,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = F.array_join(F.transform("__ld_stay", lambda p: F.get(F.col("__ld_parts"), p)), "\n")
     out = joined.withColumn(text_col, F.when(gone.isNull(), text).otherwise(kept))
     extra = [c for c in ("n_lines", "n_dropped") if c not in docs.columns]
-    return out.select(*docs.columns, *extra)
+    return out.select(*[F.col(f"`{c}`") for c in [*docs.columns, *extra]])
