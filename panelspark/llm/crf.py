@@ -41,7 +41,7 @@ def fit(features: np.ndarray, states: np.ndarray, real: np.ndarray, rounds: int
     n, length, k = features.shape
     params = np.zeros(2 * k + 4)
     first, second = np.zeros_like(params), np.zeros_like(params)
-    gold = np.stack([states == 0, states == 1], axis=2) & real[..., None]
+    gold = (np.stack([states == 0, states == 1], axis=2) & real[..., None]).astype(float)
     pair = real[:, 1:] & real[:, :-1]
     gold_emit = np.einsum("nls,nlk->sk", gold, features)
     gold_move = np.einsum("nls,nlt,nl->st", gold[:, :-1], gold[:, 1:], pair)
