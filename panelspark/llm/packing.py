@@ -17,37 +17,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
 from .arrow import as_bytes, extend, map_rows
-from .token_counts import encode_words
+from .token_counts import packed, word_encoder
 
 LIMIT = 2048
 GROUP_ROWS = 16_384  # pieces that one task packs together
 TRIES = 8            # emptiest bins in a row without an exchange that end the search
-CACHE_WORDS = 300_000
-MISSES = 4_096
-
-
-class WordIds:
-    """Token ids of words as little-endian unsigned 32-bit bytes, remembered up to a bounded number."""
-
-    def __init__(self, path: str):
-        self.path, self.known = path, {}
-
-    def add(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known = {}
-        missing = [w for w in words if w not in self.known]
-        for start in range(0, len(missing), MISSES):
-            part = missing[start:start + MISSES]
-            for word, ids in zip(part, encode_words(self.path, part)):
-                self.known[word] = np.array(ids, "<u4").tobytes()
-
-    def of(self, text: bytes) -> bytes:
-        words = text.split()
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            self.add(set(words))
-            return b"".join(map(self.known.__getitem__, words))
 
 
 def pieces_of(docs: DataFrame, path: str, keep: Sequence[str], text_col: str, limit: int, end_id: int,
@@ -56,10 +30,9 @@ def pieces_of(docs: DataFrame, path: str, keep: Sequence[str], text_col: str, li
     keep = list(keep)
 
     def cut(rows: Iterator[dict]) -> Iterator[tuple]:
-        encoder = WordIds(path)
-        end = np.array([end_id], "<u4").tobytes()
+        encoder, end = word_encoder(path), packed([end_id])
         for row in rows:
-            ids = encoder.of(row["__bp_text"]) + end
+            ids = encoder.encode(row["__bp_text"]) + end
             for piece, at in enumerate(range(0, len(ids), 4 * limit)):
                 part = ids[at:at + 4 * limit]
                 out = (*(row[c] for c in keep), piece, at // 4, len(part) // 4, zlib.crc32(part))

@@ -7,8 +7,11 @@ exactly the pieces of its pre-tokens. The tokenizer itself counts them, special
 
 from __future__ import annotations
 
+import os
+import re
+import struct
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, functions as F
@@ -20,20 +23,81 @@ from .arrow import as_bytes, extend, map_rows
 FLUSH = 200_000     # distinct pre-tokens that a task holds before it passes its counts on
 HEAD_ROWS = 100_000  # most frequent pre-tokens that every task knows ...
 HEAD_BYTES = 64      # ... of at most this many bytes each: a bound of 6.4 MB
-BATCH = 1_000
+KNOWN_PARTS = 250_000  # plain parts whose ids a worker remembers, and as many older ones
+KNOWN_WORDS = 350_000  # the same for words
 
 
 @lru_cache(maxsize=2)
 def load(path: str) -> Tokenizer:
+    """A tokenizer without padding and truncation, in one thread: Spark runs a task per core already."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_padding()
     tokenizer.no_truncation()
     return tokenizer
 
 
-def encode_words(path: str, words: list[bytes]) -> list[list[int]]:
-    texts = [w.decode("utf-8", "replace") for w in words]
-    return [e.ids for e in load(path).encode_batch_fast(texts, add_special_tokens=False)]
+# Letters of ASCII and Latin-1, then ASCII punctuation other than the apostrophe. The normaliser only lower-cases such a
+# word, and the splitter cuts it in two right there.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)\Z")
+# The byte-level alphabet writes these bytes as characters from 256 on, all others as themselves.
+MOVED = [*range(33), *range(127, 161), 173]
+ALPHABET = {byte: 256 + place for place, byte in enumerate(MOVED)}
+
+
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit bytes."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class Remembered(dict):
+    """Values computed by ``make`` on first use. Beyond ``bound`` entries the older half is asked before it goes."""
+
+    def __init__(self, make: Callable, bound: int):
+        super().__init__()
+        self.make, self.bound, self.older = make, bound, {}
+
+    def __missing__(self, key):
+        if len(self) >= self.bound:
+            self.older = dict(self)
+            self.clear()
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+
+class WordEncoder:
+    """Packed token ids of words; plain words go straight to the tokenizer's model, which is several times faster."""
+
+    def __init__(self, path: str):
+        self.tokenizer = load(path)
+        self.model = self.tokenizer.model
+        self.parts = Remembered(self._part, KNOWN_PARTS)
+        self.words = Remembered(self.word, KNOWN_WORDS)
+
+    def _part(self, text: str) -> bytes:
+        """Ids of a piece of text that the tokenizer would not split further."""
+        spelled = text if text.isascii() else text.encode().decode("latin-1").translate(ALPHABET)
+        return packed([t.id for t in self.model.tokenize(spelled)])
+
+    def word(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        if match := PLAIN.match(text):
+            letters, marks = match.groups()
+            return (self.parts[letters.lower()] if letters else b"") + (self.parts[marks] if marks else b"")
+        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def encode(self, text: bytes) -> bytes:
+        """Packed ids of a whole text."""
+        return b"".join(map(self.words.__getitem__, text.split()))
+
+
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks of a worker process, so that words stay known between them."""
+    return WordEncoder(path)
 
 
 def word_frequencies(rows: Iterator[dict]) -> Iterator[tuple]:
@@ -52,17 +116,9 @@ def piece_table(docs: DataFrame, text_col: str, path: str) -> DataFrame:
                    .groupBy("word").agg(F.sum("n").alias("n")))
 
     def count_pieces(rows: Iterator[dict]) -> Iterator[tuple]:
-        held: list[dict] = []
+        encoder = word_encoder(path)
         for row in rows:
-            held.append(row)
-            if len(held) == BATCH:
-                yield from counted(held)
-                held = []
-        yield from counted(held)
-
-    def counted(held: list[dict]) -> Iterator[tuple]:
-        for row, ids in zip(held, encode_words(path, [r["word"] for r in held])):
-            yield row["word"], row["n"], len(ids)
+            yield row["word"], row["n"], len(encoder.word(row["word"])) // 4
 
     return materialize(map_rows(frequencies, "word binary, n bigint, pieces bigint", count_pieces), "pieces")
 

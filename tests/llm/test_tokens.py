@@ -8,9 +8,9 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from tokenizers import Tokenizer
 
 from panelspark.llm import bpe, packing, token_counts
+from panelspark.llm.token_counts import load
 
 from cases import edge_docs, edge_rows, empty_docs, pairs
 
@@ -19,7 +19,7 @@ BYTE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def library(path, text):
-    return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids
+    return load(path).encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("head", [0, 3, 100_000])
@@ -33,7 +33,28 @@ def test_counts_equal_the_library(spark, head):
 def test_every_ascii_space_splits_like_the_library():
     for space in " \t\n\x0b\f\r":
         text = f"Ab{space}c'd{space}{space}<|endoftext|>{space}9"
-        assert sum(token_counts.encode_words(WORD, text.encode().split()), []) == library(WORD, text)
+        assert token_counts.WordEncoder(WORD).encode(text.encode()) == token_counts.packed(library(WORD, text))
+
+
+def test_plain_words_equal_the_library():
+    rng = random.Random(6)
+    letters = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(192, 215), *range(216, 247), *range(248, 256))]
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    encoder = token_counts.WordEncoder(WORD)
+    for _ in range(3000):
+        word = "".join(rng.choices(letters, k=rng.randint(0, 12))) + "".join(rng.choices(marks, k=rng.randint(0, 4)))
+        word = rng.choice([word, word + rng.choice(letters), rng.choice(marks) + word, word + "7", word + "\u0301"])
+        if word:
+            assert encoder.word(word.encode()) == token_counts.packed(library(WORD, word)), word
+
+
+def test_remembered_values_are_bounded_and_kept_while_used():
+    made = []
+    known = token_counts.Remembered(lambda k: made.append(k) or k * 2, 3)
+    for key in (1, 2, 3, 1, 4, 1, 5, 1, 6, 1, 2):
+        assert known[key] == key * 2
+        assert len(known) <= 3 and len(known.older) <= 3
+    assert made == [1, 2, 3, 4, 5, 6, 2]
 
 
 @pytest.mark.parametrize("group_rows", [4, 10_000])
@@ -110,7 +131,7 @@ def test_bpe_round_trip_equals_the_library(spark):
     wanted = Counter()
     for i, t in pairs(edge_rows()):
         ids = library(BYTE, t)
-        decoded = Tokenizer.from_file(BYTE).decode(ids, skip_special_tokens=False)
+        decoded = load(BYTE).decode(ids, skip_special_tokens=False)
         wanted[i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
                hashlib.sha256(decoded.encode()).hexdigest(), tuple(ids)] += 1
     assert Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256, tuple(np.frombuffer(r.ids, "<u4").tolist()))
