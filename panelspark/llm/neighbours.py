@@ -144,7 +144,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     queries = clean.where("asks").select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
                                          "asks", "id", "v")
     # Points of a block come first, then its queries; both stream through the task in bounded batches.
-    dealt = (points.unionByName(queries).repartition(blocks, "block")
+    dealt = (points.unionByName(queries).repartitionByRange(blocks, "block")
              .sortWithinPartitions("block", "asks", "id"))
     result = StructType.fromDDL("query_id bigint, id bigint, score double")
 
