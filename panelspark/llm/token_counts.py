@@ -20,9 +20,9 @@ from tokenizers import Tokenizer
 from ..session import materialize
 from .arrow import as_bytes, extend, map_rows
 
-FLUSH = 200_000     # distinct pre-tokens that a task holds before it passes its counts on
-HEAD_ROWS = 100_000  # most frequent pre-tokens that every task knows ...
-HEAD_BYTES = 64      # ... of at most this many bytes each: a bound of 6.4 MB
+FLUSH = 500_000     # distinct pre-tokens that a task holds before it passes its counts on
+HEAD_ROWS = 200_000  # most frequent pre-tokens that every task knows ...
+HEAD_BYTES = 64      # ... of at most this many bytes each: a bound of 12.8 MB
 KNOWN_PARTS = 250_000  # plain parts whose ids a worker remembers, and as many older ones
 KNOWN_WORDS = 350_000  # the same for words
 

@@ -23,7 +23,7 @@ MIN_DOCS = 5          # sampled documents that must hold a term
 MIN_Z = 4.0           # standard errors by which a term's rates under the two labels must differ
 FACTORS = 8
 PREFIXES = (4, 5, 6)
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 THRESHOLD = 0.3
 
 WORD = re.compile(r"\w+")
