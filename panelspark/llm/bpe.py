@@ -8,6 +8,7 @@ around them.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -18,13 +19,14 @@ from tokenizers import Tokenizer
 
 from ..session import materialize
 from .arrow import as_bytes, extend, map_rows
-from .token_counts import load
+from .token_counts import ALPHABET, Remembered, load
 
 WINDOW = 32          # bytes that the rolling hash sees
 CUT_BITS = 9         # a cut after every 512 bytes on average
 FILTER_BITS = 26     # bits of the filter that knows the chunks seen more than once: 8 MB at any data size
 BITMAP_BYTES = 4096  # bytes of one bitmap of Spark's bitmap functions
 BATCH_CHUNKS = 512
+KNOWN_PIECES = 300_000  # pieces whose ids a worker remembers, and as many older ones
 PASSED = 200_000     # chunks that a task remembers having passed on
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -56,10 +58,40 @@ def chunk_hash(chunk: bytes) -> tuple[int, int]:
     return (value >> 64) - 2 ** 63, (value & (2 ** 64 - 1)) - 2 ** 63
 
 
+# Text of these characters without "<|" is split by the pattern below just as the tokenizer splits it.
+PLAIN = re.compile(r"(?:[\t\n\r -;=-~À-ÖØ-öø-ÿ]|<(?!\|))*\Z")
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ÿ]+|\s+(?!\S)|\s+")
+
+
+class ChunkEncoder:
+    """Ids of texts as packed little-endian numbers; pieces of plain text are remembered, others go to the tokenizer."""
+
+    def __init__(self, path: str):
+        self.tokenizer = load(path)
+        self.model = self.tokenizer.model
+        self.kind = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 2 ** 16 else "<u4"
+        self.pieces = Remembered(self._piece, KNOWN_PIECES)
+
+    def _piece(self, text: str) -> bytes:
+        spelled = text.encode().decode("latin-1").translate(ALPHABET)
+        return np.array([t.id for t in self.model.tokenize(spelled)], self.kind).tobytes()
+
+    def encode(self, chunk: bytes) -> bytes:
+        text = chunk.decode("utf-8", "replace")
+        if PLAIN.match(text):
+            return b"".join(map(self.pieces.__getitem__, PIECES.findall(text)))
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+
+@lru_cache(maxsize=1)
+def chunk_encoder(path: str) -> ChunkEncoder:
+    """One encoder for all tasks of a worker process."""
+    return ChunkEncoder(path)
+
+
 def encode_chunks(path: str, chunks: list[bytes]) -> list[bytes]:
-    """Ids of each chunk by itself as little-endian unsigned 32-bit bytes."""
-    found = load(path).encode_batch_fast([c.decode("utf-8", "replace") for c in chunks], add_special_tokens=False)
-    return [np.array(e.ids, "<u4").tobytes() for e in found]
+    """Packed ids of each chunk by itself."""
+    return [chunk_encoder(path).encode(c) for c in chunks]
 
 
 @lru_cache(maxsize=2)
@@ -90,12 +122,12 @@ def repair(path: str, parts: Sequence[bytes]) -> np.ndarray:
     Around each join, tokens back to the last and on to the next safe split are decoded and encoded again; with no
     safe split in a chunk the stretch grows into the next one, so the result agrees with encoding the whole text.
     """
-    table = token_bytes(path)
+    table, encoder = token_bytes(path), chunk_encoder(path)
     done: list[np.ndarray] = []
     open_ids = np.zeros(0, np.uint32)  # ids after the last safe split so far: the next join may change them
     first = True
     for part in parts:
-        ids = np.frombuffer(part, "<u4")
+        ids = np.frombuffer(part, encoder.kind)
         if first:
             settled, open_ids = split_last(ids, table)
             done.append(settled)
@@ -103,8 +135,7 @@ def repair(path: str, parts: Sequence[bytes]) -> np.ndarray:
             continue
         at = next((i for i in range(1, len(ids)) if joins_here(table[ids[i - 1]], table[ids[i]])), None)
         head = ids if at is None else ids[:at]
-        text = b"".join(table[i] for i in (*open_ids, *head)).decode("utf-8", "replace")
-        again = np.array(load(path).encode(text, add_special_tokens=False).ids, np.uint32)
+        again = np.frombuffer(encoder.encode(b"".join(table[i] for i in (*open_ids, *head))), encoder.kind)
         if at is None:
             settled, open_ids = split_last(again, table)
             done.append(settled)
@@ -113,7 +144,7 @@ def repair(path: str, parts: Sequence[bytes]) -> np.ndarray:
             settled, open_ids = split_last(ids[at:], table)
             done.append(settled)
     done.append(open_ids)
-    return np.concatenate(done) if done else np.zeros(0, np.uint32)
+    return np.concatenate(done).astype(np.uint32)
 
 
 def split_last(ids: np.ndarray, table: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

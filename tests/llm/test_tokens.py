@@ -160,3 +160,13 @@ def test_equal_passages_give_equal_chunks():
     assert len(set(first) & set(second)) >= len(first) - 3
     assert bpe.cut(b"") == [] and bpe.cut(b"abc") == [b"abc"]
     assert "".join(c.decode() for c in bpe.cut(("東京é" * 2000).encode())) == "東京é" * 2000
+
+
+def test_plain_text_is_encoded_like_the_library():
+    rng = random.Random(7)
+    bits = [" ", "  ", "\n", "\r\n", "\t", " \n ", "a", "The", "été", "Straße", "'s", "'", "'ll", "'LL", "12", "3.5", "<", "<b>",
+            "!!", "%%%", "_", "~", "|", "|>", "endoftext", "é", "ÿ", "×", "«", "<|endoftext|>"]
+    encoder = bpe.ChunkEncoder(BYTE)
+    for _ in range(3000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(1, 25)))
+        assert np.frombuffer(encoder.encode(text.encode()), encoder.kind).tolist() == library(BYTE, text), text
