@@ -1,7 +1,8 @@
 """Toxicity scores of a factorization machine over hashed terms.
 
-Terms are words and their beginnings, hashed. The machine learns a weight for each chosen term and a small vector whose
-inner products weigh pairs of terms that stand in one text, which weights that only add up cannot.
+Terms are words and their beginnings, hashed. The machine learns a weight for each term and a small vector whose inner
+products weigh pairs of terms that stand in one text, which weights that only add up cannot. No term is tested against
+the labels by itself, for it may tell only beside another one; shrinkage in the fit takes the useless ones to nothing.
 """
 
 from __future__ import annotations
@@ -18,10 +19,9 @@ from .arrow import as_bytes, extend, map_rows
 
 SAMPLE_DOCS = 6_000   # labelled rows of either label that the machine is fitted on
 HASH_BITS = 24
-TERMS = 2_048         # hashed terms that get a weight at most: those that tell the labels apart best
-MIN_DOCS = 5          # sampled documents that must hold a term
-MIN_Z = 4.0           # standard errors by which a term's rates under the two labels must differ
+MIN_DOCS = 5          # sampled documents that must hold a term; every such term gets a weight and a vector
 FACTORS = 8
+PAIR_TERMS = 32       # from so many terms on, the pairs of a text weigh less each, for they grow with the square
 PREFIXES = (4, 5, 6)
 CACHE_WORDS = 150_000
 THRESHOLD = 0.3
@@ -42,8 +42,15 @@ def words_of(text: bytes) -> set[str]:
     return set(WORD.findall(text.decode("utf-8", "replace").lower()))
 
 
+def pair_share(n):
+    return np.minimum(1.0, PAIR_TERMS / np.maximum(n, 1))
+
+
 class Machine:
-    """score = sigmoid(bias + sum of weights + pairwise inner products of the vectors of a text's terms)."""
+    """score = sigmoid(bias + sum of weights + pairwise inner products of the vectors of a text's terms).
+
+    In a text of n > PAIR_TERMS terms the pairs count PAIR_TERMS / n each.
+    """
 
     def __init__(self, terms: np.ndarray, bias: float, weights: np.ndarray, vectors: np.ndarray):
         self.bias, self.weights, self.vectors = bias, weights, vectors
@@ -53,47 +60,72 @@ class Machine:
         total = self.bias
         if len(at):
             v = self.vectors[at]
-            total += self.weights[at].sum() + 0.5 * (v.sum(axis=0) ** 2 - (v ** 2).sum(axis=0)).sum()
+            total += self.weights[at].sum() + pair_share(len(at)) * 0.5 * (v.sum(axis=0) ** 2 - (v ** 2).sum(axis=0)).sum()
         return float(1 / (1 + np.exp(-np.clip(total, -500, 500))))
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, importance: np.ndarray, terms: np.ndarray, steps: int = 1_200,
-        batch: int = 256, step: float = 0.05, decay: float = 1e-4, seed: int = 7) -> Machine:
-    """Logistic loss, ``steps`` mini-batches of Adagrad. ``rows`` hold places in ``terms``."""
+def fit(rows: list[np.ndarray], labels: np.ndarray, importance: np.ndarray, terms: np.ndarray, steps: int = 600,
+        batch: int = 256, step: float = 0.05, shrink: float = 1e-3, decay: float = 1e-3, seed: int = 7) -> Machine:
+    """Logistic loss, ``steps`` mini-batches of Adagrad. ``rows`` hold places in ``terms``, each once and in order.
+
+    Weights are drawn to zero by ``shrink`` (the sum of their sizes), vectors by ``decay`` (the sum of squares). A batch
+    touches only the terms it holds.
+    """
     rng = np.random.default_rng(seed)
     k = len(terms)
-    weights, vectors = np.zeros(k), rng.normal(0, 0.01, (k, FACTORS))
+    table = np.zeros((k, 1 + FACTORS), np.float32)  # the weight, then the vector
+    table[:, 1:] = rng.normal(0, 0.01, (k, FACTORS))
+    # Vectors start slowly: only pairs that go on pulling the same way outgrow the decay.
+    grown = np.full((k, 1 + FACTORS), 0.01, np.float32)
+    grown[:, 0] = 1e-6
+    drawn = np.array([0.0] + [decay] * FACTORS, np.float32)
     share = float((labels * importance).sum() / importance.sum())
-    bias = float(np.log(share / (1 - share)))
-    grown = [1e-6, np.full(k, 1e-6), np.full((k, FACTORS), 1e-6)]
+    bias, bias_grown = float(np.log(share / (1 - share))), 1e-6
     waiting = np.zeros(0, np.int64)
     for _ in range(steps):
         if len(waiting) == 0:
             waiting = rng.permutation(len(rows))
         part, waiting = waiting[:batch], waiting[batch:]
-        x = np.zeros((len(part), k), np.float32)
-        for at, r in enumerate(part):
-            x[at, rows[r]] = 1.0
-        summed = x @ vectors
-        total = bias + x @ weights + 0.5 * (summed ** 2 - x @ vectors ** 2).sum(axis=1)
+        sizes = np.array([len(rows[r]) for r in part])
+        held = np.concatenate([rows[r] for r in part])
+        text = np.repeat(np.arange(len(part)), sizes)
+        order = np.argsort(held, kind="stable")
+        first = np.flatnonzero(np.diff(held[order], prepend=-1))
+        touched = held[order][first]
+        x = table[held]
+        summed, squares = np.zeros((len(part), 1 + FACTORS), np.float32), np.zeros((len(part), FACTORS), np.float32)
+        if len(held):
+            starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+            summed[sizes > 0] = np.add.reduceat(x, starts, axis=0)
+            squares[sizes > 0] = np.add.reduceat(x[:, 1:] ** 2, starts, axis=0)
+        pairs = pair_share(sizes)
+        total = bias + summed[:, 0] + 0.5 * pairs * (summed[:, 1:] ** 2 - squares).sum(axis=1)
         error = (1 / (1 + np.exp(-np.clip(total, -30, 30))) - labels[part]) * importance[part] / len(part)
+        bias_grown += error.sum() ** 2
+        bias -= step * error.sum() / np.sqrt(bias_grown)
+        if not len(held):
+            continue
         # Each text holds a term once, so the pair gradient of a term is the sum of the others' vectors.
-        slopes = [error.sum(), x.T @ error + decay * weights,
-                  x.T @ (error[:, None] * summed) - (x.T @ error)[:, None] * vectors + decay * vectors]
-        for i, slope in enumerate(slopes):
-            grown[i] = grown[i] + slope ** 2
-        bias -= step * slopes[0] / np.sqrt(grown[0])
-        weights -= step * slopes[1] / np.sqrt(grown[1])
-        vectors -= step * slopes[2] / np.sqrt(grown[2])
-    return Machine(terms, bias, weights, vectors)
+        pulls = np.column_stack([error, (error * pairs)[:, None] * summed[:, 1:], error * pairs]).astype(np.float32)
+        pulls = np.add.reduceat(pulls[text[order]], first, axis=0)
+        own = table[touched]
+        slope = pulls[:, :-1] + drawn * own
+        slope[:, 1:] -= pulls[:, -1:] * own[:, 1:]
+        grown[touched] += slope ** 2
+        rate = step / np.sqrt(grown[touched])
+        own -= rate * slope
+        own[:, 0] = np.sign(own[:, 0]) * np.maximum(np.abs(own[:, 0]) - shrink * rate[:, 0], 0)
+        table[touched] = own
+    return Machine(terms, bias, table[:, 0], table[:, 1:])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          sample_docs: int = SAMPLE_DOCS) -> Machine | None:
+          sample_docs: int = SAMPLE_DOCS, min_docs: int = MIN_DOCS) -> Machine | None:
     """Fit on at most ``sample_docs`` rows of either label, drawn by hash of the id, whose crc32(id) mod 4 is not 2.
 
     An id counts as toxic if any of its labels says so. Rows of the rarer label are not weighed up: each label counts
-    with its share among all usable labelled rows. None if one of the labels does not occur.
+    with its share among all usable labelled rows. Every term that stands in ``min_docs`` sampled rows takes part, however
+    its rates under the labels compare. None if one of the labels does not occur.
     """
     known = (labels.where("toxic IS NOT NULL").groupBy(F.col(id_col).alias("__tx_id"))
              .agg(F.max("toxic").cast("int").alias("y")).where(F.crc32(F.col("__tx_id").cast("string")) % 4 != 2))
@@ -116,26 +148,20 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = docs.join(drawn, F.col(id_col) == F.col("__tx_id")).select("y", as_bytes(text_col).alias("t"))
     sample = materialize(map_rows(rows, "y int, terms array<int>", hashes), "terms")
     sizes = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
-    # How far the rates of a term under the two labels lie apart, in standard errors.
-    toxic, clean = F.col("toxic") / sizes[1], F.col("clean") / sizes[0]
-    rate = (F.col("toxic") + F.col("clean")) / (sizes[0] + sizes[1])
-    z = F.abs(toxic - clean) / F.sqrt((rate * (1 - rate) + 1e-9) * (1 / sizes[0] + 1 / sizes[1]))
-    best = (sample.select("y", F.explode("terms").alias("term")).groupBy("term")
-            .agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean"))
-            .where((F.col("toxic") + F.col("clean") >= MIN_DOCS) & (z >= MIN_Z))
-            .orderBy(z.desc(), "term").limit(TERMS).select("term").toArrow())
-    terms = np.sort(np.array(best["term"].to_pylist(), np.int64))
-    place = {int(t): i for i, t in enumerate(terms)}
-
-    def chosen(incoming: Iterator[dict]) -> Iterator[tuple]:
+    often = (sample.select(F.explode("terms").alias("term")).groupBy("term").count()
+             .where(F.col("count") >= min_docs).select("term").toArrow())
+    terms = np.sort(often["term"].to_numpy().astype(np.int64))
+
+    def places(incoming: Iterator[dict]) -> Iterator[tuple]:
         for row in incoming:
-            yield row["y"], [place[t] for t in row["terms"] if t in place]
+            found = np.intersect1d(np.array(row["terms"], np.int64), terms, assume_unique=True)
+            yield row["y"], np.searchsorted(terms, found).astype(np.int32).tobytes()
 
-    data = map_rows(sample, "y int, at array<int>", chosen).toArrow().to_pylist()
+    data = map_rows(sample, "y int, at binary", places).toArrow().to_pylist()
     data.sort(key=lambda r: (r["y"], r["at"]))  # the same model whatever the order of partitions
     labels_ = np.array([r["y"] for r in data], float)
     importance = np.array([totals[r["y"]] / sizes[r["y"]] for r in data])
-    return fit([np.array(r["at"], np.int64) for r in data], labels_, importance / importance.mean(), terms)
+    return fit([np.frombuffer(r["at"], np.int32) for r in data], labels_, importance / importance.mean(), terms)
 
 
 def score(docs: DataFrame, model: Machine | None, keep: Sequence[str] = ("doc_id",), text_col: str = "text",

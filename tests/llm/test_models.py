@@ -1,5 +1,6 @@
 """Toxicity and quality rules: held-out accuracy, exact counts, edge rows."""
 
+import random
 import re
 import zlib
 from collections import Counter
@@ -49,6 +50,25 @@ def test_pairs_of_terms_are_learnt():
     assert np.mean(right) > 0.95
 
 
+def labelled(spark, rows):
+    """Documents and labels tables of (text, toxic) rows."""
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id bigint, text string")
+    return docs, spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id bigint, toxic int")
+
+
+def test_pairs_of_terms_are_learnt_from_documents(spark):
+    """Each of two words is as common in toxic as in clean texts: training must not pass over them."""
+    rng, rows = random.Random(5), []
+    for _ in range(3000):
+        has = rng.random() < 0.5, rng.random() < 0.5
+        words = rng.sample([f"w{i:03d}" for i in range(300)], 20) + ["lantern"] * has[0] + ["marble"] * has[1]
+        rows.append((" ".join(words), int(has[0] == has[1])))
+    docs, toxic = labelled(spark, rows)
+    found = toxicity.score(docs, toxicity.train(docs, toxic), threshold=0.5).collect()
+    test = [r for r in found if held_out(r.doc_id)]
+    assert len(test) > 500 and np.mean([r.predicted == rows[r.doc_id][1] for r in test]) > 0.95
+
+
 def test_score_is_the_sum_over_pairs():
     rng = np.random.default_rng(1)
     model = toxicity.Machine(np.arange(5), 0.1, rng.normal(size=5), rng.normal(size=(5, 3)))
