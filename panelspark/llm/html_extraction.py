@@ -21,7 +21,7 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code"
           "sup", "time", "tt", "u", "var", "wbr"}
 # Elements that never hold article text.
 OUTSIDE = {"head", "title", "script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "audio",
-           "video", "nav", "footer", "aside", "menu", "dialog", "form", "button", "select", "textarea", "input"}
+           "video", "nav", "footer", "aside", "menu", "dialog", "button", "select", "textarea", "input"}
 MAIN = {"article", "main"}
 ROOTS = {"html", "body"} | MAIN
 # An open element of the first kind ends when one of the second kind starts.
@@ -47,8 +47,10 @@ class Nodes(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, str, bool]] = []  # tag, label in the path, whether text inside is passed over
-        self.block, self.nodes = 0, []
+        # Tag, label in the path, whether text inside is passed over, and the doubtful elements down to here: forms and
+        # elements named like surroundings, each as its number and whether it is a form.
+        self.open: list[tuple[str, str, bool, tuple]] = []
+        self.block, self.doubtful, self.found = 0, 0, []
 
     def handle_starttag(self, tag, attrs):
         for kind, starters in CLOSED_BY.items():
@@ -61,13 +63,16 @@ class Nodes(HTMLParser):
         if tag in VOID:
             return
         named = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
-        inside = any(t in MAIN for t, _, _ in self.open)
+        inside = any(t in MAIN for t, _, _, _ in self.open)
         given = dict(attrs)
-        skip = tag in OUTSIDE or tag not in ROOTS and bool(HINT.search(named))
-        skip = skip or "hidden" in given or "display:none" in (given.get("style") or "").replace(" ", "")
-        skip = skip or not inside and (tag == "header" or tag not in ROOTS and bool(TOP.search(named)))
+        skip = tag in OUTSIDE or "hidden" in given or "display:none" in (given.get("style") or "").replace(" ", "")
+        skip = skip or not inside and tag == "header"
+        around = self.open[-1][3] if self.open else ()
+        if tag == "form" or tag not in ROOTS and (HINT.search(named) or not inside and TOP.search(named)):
+            self.doubtful += 1
+            around += ((self.doubtful, tag == "form"),)
         label = tag + "." + named.split()[0] if named else tag
-        self.open.append((tag, label, skip or bool(self.open) and self.open[-1][2]))
+        self.open.append((tag, label, skip or bool(self.open) and self.open[-1][2], around))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -82,7 +87,7 @@ class Nodes(HTMLParser):
     def _end(self, tag, fence):
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag:
-                if any(t not in INLINE for t, _, _ in self.open[at:]):
+                if any(t not in INLINE for t, _, _, _ in self.open[at:]):
                     self.block += 1
                 del self.open[at:]
                 return
@@ -91,7 +96,26 @@ class Nodes(HTMLParser):
 
     def handle_data(self, data):
         if not (self.open and self.open[-1][2]):
-            self.nodes.append((tuple(label for _, label, _ in self.open), self.block, data))
+            around = self.open[-1][3] if self.open else ()
+            self.found.append((tuple(label for _, label, _, _ in self.open), self.block, data, around))
+
+    def nodes(self) -> list[tuple[tuple[str, ...], int, str]]:
+        """Text outside doubtful elements, and inside those that hold the body of the page.
+
+        An element holds it if the text in it, without links and deeper doubtful elements, is the largest such part and
+        more than twice the text outside. If an article or main element has text, only text in such elements counts;
+        if some of that stands outside doubtful elements, only forms can hold the body.
+        """
+        inside = [bool(MAIN.intersection(label.split(".")[0] for label in path)) for path, _, _, _ in self.found]
+        only = any(i and text.strip() for i, (_, _, text, _) in zip(inside, self.found))
+        size: dict[tuple, int] = {(): 0}
+        for i, (path, _, text, around) in zip(inside, self.found):
+            if i >= only and not any(label.split(".")[0] == "a" for label in path):
+                size[around] = size.get(around, 0) + len("".join(text.split()))
+        parts = [p for p in size if p and (not (only and size[()]) or all(form for _, form in p))]
+        body = max(parts, key=size.get, default=())
+        kept = set(body if size[body] > 2 * size[()] else ())
+        return [(path, block, text) for path, block, text, around in self.found if kept.issuperset(around)]
 
 
 def container(path: tuple[str, ...]) -> tuple[str, ...]:
@@ -141,10 +165,11 @@ def main_text(html: str) -> str:
     parser = Nodes()
     parser.feed(html)
     parser.close()
-    chosen, by_itself = content_paths(parser.nodes)
+    nodes = parser.nodes()
+    chosen, by_itself = content_paths(nodes)
     blocks: dict[int, list[str]] = {}
     sure: set[int] = set()  # blocks that are more than a link which only stands near the text, such as a menu entry
-    for path, block, text in parser.nodes:
+    for path, block, text in nodes:
         if path in chosen:
             blocks.setdefault(block, []).append(text)
             labels = [label.split(".")[0] for label in path]
@@ -158,7 +183,8 @@ def extract(pages: DataFrame, keep: Sequence[str] = ("page_id", "url"), html_col
     """The ``keep`` columns of every page with ``text``, its main text: blocks in page order, one per line.
 
     White space inside a block is one space, character references are decoded. Menus, headers, footers, sidebars,
-    notices, adverts, forms, scripts, styles, comments and markup are left out. Within the rest nothing is cut.
+    notices, adverts, forms, scripts, styles, comments and markup are left out; a form, or an element that is only named
+    like one of these, stays if it holds the body of the page (see ``Nodes.nodes``). Within the rest nothing is cut.
 
     Null or empty html, and pages without article text, give the empty string. Unclosed and crossing tags are closed
     as browsers do for paragraphs, items and cells. Rows that repeat an id or a page are read each; null ids stay.

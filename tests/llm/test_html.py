@@ -29,6 +29,19 @@ PAGES = {
 }
 
 
+WRAPPED = [
+    "<div class='site has-sidebar'><article>{}</article><div class='sidebar'>links</div></div>",
+    "<body class='x'><div class='layout-sidebar-right'><div class='post no-comments'>{}</div></div></body>",
+    "<body><form id='aspnet'><h1></h1><div>{}</div><div class='comments'>No.</div></form></body>",
+    "<main><form>{}</form></main>", "<section class='related-work'>{}</section>",
+    "<article>{}</article><div class='comments'><article>" + "I disagree, strongly. " * 50 + "</article></div>"]
+
+
+@pytest.mark.parametrize("page", WRAPPED)
+def test_names_and_forms_around_the_body_do_not_drop_it(page):
+    assert html_extraction.main_text(page.format("<p>Some words, here. More of them.</p>")) == "Some words, here. More of them."
+
+
 @pytest.mark.parametrize("page", list(PAGES))
 def test_main_text(page):
     assert html_extraction.main_text(page) == PAGES[page]
