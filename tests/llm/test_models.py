@@ -69,6 +69,23 @@ def test_pairs_of_terms_are_learnt_from_documents(spark):
     assert len(test) > 500 and np.mean([r.predicted == rows[r.doc_id][1] for r in test]) > 0.95
 
 
+def test_copies_of_a_long_text_do_not_push_terms_out(spark):
+    """A copied text has more terms than were kept before, all of them further apart between the labels than the insult."""
+    rng = random.Random(6)
+    copied = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(800))
+    rows = []
+    for i in range(1200):
+        words = " ".join(rng.sample([f"w{n:03d}" for n in range(300)], 20))
+        rows.append((copied, 0) if i % 4 == 0 else (words + " grubbit" * (i % 8 == 1), int(i % 2 == 1)))
+    docs, toxic = labelled(spark, rows)
+    model = toxicity.train(docs, toxic)
+    assert {toxicity.hashed("=grubbit"), *(h for w in copied.split() for h in toxicity.terms_of_word(w))} <= set(model.place)
+    plain = " ".join(f"w{n:03d}" for n in range(20))
+    pair = spark.createDataFrame([(1, plain), (2, plain + " grubbit")], "doc_id bigint, text string")
+    found = {r.doc_id: r.score for r in toxicity.score(pair, model).collect()}
+    assert found[2] > found[1]
+
+
 def test_score_is_the_sum_over_pairs():
     rng = np.random.default_rng(1)
     model = toxicity.Machine(np.arange(5), 0.1, rng.normal(size=5), rng.normal(size=(5, 3)))
