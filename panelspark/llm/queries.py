@@ -5,8 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import materialize
 from ..suite.registry import table
-from . import bpe, html_extraction, jaccard, line_dedup, neighbours, packing, quality, sharding, sql, token_counts, toxicity
+from . import (bpe, collocations, html_extraction, jaccard, lexical_search, line_dedup, neighbours, packing, quality, sharding,
+               simhash, sql, token_counts, toxicity)
 
 SHARDS = 24
 MAX_TOKENS = 2048
@@ -72,7 +74,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = materialize(simhash.compare_with_next(table(spark, sf_dir, "documents")), "fingerprints")
+    near = simhash.within_radius(compared.select("hi", "lo")).select("hi", "lo", "n_near")
+    return compared.join(near, ["hi", "lo"]).select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+        (F.col("n_near") - 1).alias("n_near"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_packing, op3_neighbours, op4_toxicity, op5_bpe,
-    op6_jaccard_join, op7_line_dedup, op8_html_extraction, op9_hilbert_sharding, op10_quality_rules)}
-ORACLES = {"op7_line_dedup": sql.LINE_DEDUP, "op9_hilbert_sharding": sql.hilbert_sharding(SHARDS)}
+    op6_jaccard_join, op7_line_dedup, op8_html_extraction, op9_hilbert_sharding, op10_quality_rules,
+    op11_collocations, op12_lexical_search, op13_fingerprints)}
+ORACLES = {"op7_line_dedup": sql.LINE_DEDUP, "op9_hilbert_sharding": sql.hilbert_sharding(SHARDS),
+           "op11_collocations": sql.collocations(), "op12_lexical_search": sql.lexical_search()}

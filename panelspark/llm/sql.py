@@ -73,3 +73,50 @@ cut AS (SELECT *, place * {shards} // n AS s FROM placed)
 SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(s AS INTEGER) AS shard,
        place - (s * n + {shards - 1}) // {shards} AS slot, CAST(NULL AS INTEGER) AS grown_shard, curve
 FROM cut"""
+
+
+def collocations(source: str = "documents", min_count: int = 100, top: int = 2000) -> str:
+    """Phrases by plain enumeration of every start in every piece."""
+    return f"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+                       unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                                 '[.,;:!?\\x0A-\\x0D]')) AS piece FROM {source}),
+cut AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM pieces),
+starts AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS s FROM cut),
+grams AS (SELECT lang, k, array_to_string(words[s:s + k - 1], ' ') AS phrase
+          FROM starts, range(1, 6) AS sizes(k) WHERE s + k - 1 <= len(words)),
+totals AS (SELECT lang, count(*) AS n FROM starts GROUP BY lang),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= {min_count}),
+cuts AS (SELECT *, unnest(range(1, k)) AS c FROM counts WHERE k >= 2),
+sides AS (SELECT *, array_to_string(string_split(phrase, ' ')[:c], ' ') AS first,
+                 array_to_string(string_split(phrase, ' ')[c + 1:], ' ') AS rest FROM cuts),
+scored AS (SELECT s.lang, s.k, s.phrase, s.f AS a, s.c, p.f AS l, q.f AS r, t.n,
+                  CAST((1000::HUGEINT * s.f * t.n) // (p.f::HUGEINT * q.f) AS BIGINT) AS score
+           FROM sides s JOIN counts p ON p.lang = s.lang AND p.phrase = s.first
+           JOIN counts q ON q.lang = s.lang AND q.phrase = s.rest JOIN totals t ON t.lang = s.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+kept AS (SELECT b.* FROM best b WHERE NOT EXISTS (
+             SELECT 1 FROM counts o WHERE o.lang = b.lang AND o.k > b.k AND 100 * o.f >= 100 * b.a
+             AND contains(' ' || o.phrase || ' ', ' ' || b.phrase || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= {top}"""
+
+
+def lexical_search(docs: str = "documents", items: str = "benchmark", size: int = 10) -> str:
+    """Every document scored for every item that shares a term with it."""
+    found = ("regexp_extract_all(translate(coalesce(text, ''), '{0}', '{1}'), "
+             "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')").format(UPPER, LOWER)
+    return f"""
+WITH cut AS (SELECT doc_id, {found} AS terms FROM {docs}),
+sized AS (SELECT row_number() OVER () AS d, doc_id, terms, len(terms) AS n FROM cut WHERE len(terms) > 0),
+corpus AS (SELECT count(*) AS total, CAST(sum(n) AS BIGINT) AS length FROM sized),
+postings AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(terms) AS term FROM sized) GROUP BY d, term),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(total) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE)))
+                   AS BIGINT) AS w FROM postings, corpus GROUP BY term),
+asked AS (SELECT DISTINCT item_id, unnest({found}) AS term FROM {items}),
+impacts AS (SELECT term, s.doc_id, s.d, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * total) // length))) AS i
+            FROM postings JOIN weights USING (term) JOIN sized s USING (d), corpus),
+scored AS (SELECT item_id, d, any_value(doc_id) AS doc_id, CAST(sum(i) AS BIGINT) AS score
+           FROM asked JOIN impacts USING (term) GROUP BY item_id, d HAVING sum(i) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored QUALIFY rank <= {size}"""
