@@ -13,58 +13,102 @@ let too many through but never too few; the phrases that remain are counted once
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
 
 from ..session import materialize
-from .arrow import as_bytes, map_rows
+from .arrow import as_bytes
 
 MAX_WORDS = 5
 OVERLAP = MAX_WORDS - 1  # words of a trigger window
-PERIOD = np.uint64(8)  # one window in so many triggers
+PERIOD = np.uint64(16)  # one window in so many triggers
 TABLE_BITS = 26  # a bit table takes 8 MB
-HELD_CHUNKS = 100_000  # distinct chunks a task sums before it passes them on ...
-HELD_BYTES = 16 << 20  # ... or so many bytes of them
 HELD_GRAMS = 1 << 20  # distinct phrases a task sums before it passes them on
-CACHED_BYTES = 16 << 20
-CACHED_WORD = 64
+PORTION = 1 << 20  # bytes of texts that are laid out at a time, at least one text
+BLOCK = 1 << 18  # bytes of words that are hashed at a time, at least one word
 NO_LANG = "und"
 
-CUT = re.compile(rb"[.,;:!?\x0a-\x0d]")
+WORD, BLANK, CUT = 0, 1, 2
+KINDS = np.zeros(256, np.uint8)
+KINDS[list(b" \t")] = BLANK
+KINDS[list(b".,;:!?\n\x0b\x0c\r")] = CUT
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 MIX, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
-class Hashes(dict):
-    """Word -> 64-bit hash, remembered up to a number of bytes."""
+def mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(32))) * MIX
+    return values ^ (values >> np.uint64(29))
 
-    free = CACHED_BYTES
 
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh64_intdigest(word)
-        if len(word) <= CACHED_WORD:
-            self.free -= len(word) + 150
-            if self.free < 0:
-                self.clear()
-                self.free = CACHED_BYTES
-            self[word] = value
-        return value
+def factor(place: np.ndarray) -> np.ndarray:
+    """A fixed odd factor per place in a word."""
+    return mixed(mixed((place.astype(np.uint64) + np.uint64(1)) * STEP)) | np.uint64(1)
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
+LETTERS = mixed(mixed(np.arange(1, 257, dtype=np.uint64) * MIX))
+FACTORS = factor(np.arange(1024))
+
+
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of the runs that begin at ``starts``, one run after the other."""
+    first = np.cumsum(sizes) - sizes
+    return np.arange(sizes.sum()) + np.repeat(starts - first, sizes)
+
+
+def blocks(sizes: np.ndarray, bound: int) -> Iterator[tuple[int, int]]:
+    """Cuts runs into blocks of about ``bound`` in all, at least one run each."""
+    if len(sizes):
+        group = np.cumsum(sizes) // bound
+        edges = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(sizes)]
+        yield from zip(edges, edges[1:])
+
+
+def hashes_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words: the sum of letter times factor of the place, mixed with the length."""
+    sizes, out = ends - starts, np.zeros(len(starts), np.uint64)
+    for low, high in blocks(sizes, BLOCK):
+        own = sizes[low:high]
+        place = ragged(np.zeros(len(own), np.int64), own)
+        factors = FACTORS[place] if own.max() <= len(FACTORS) else factor(place)
+        letters = LETTERS[data[ragged(starts[low:high], own)]]
+        out[low:high] = np.add.reduceat(letters * factors, np.cumsum(own) - own)
+    return mixed(out + sizes.astype(np.uint64) * STEP)
 
-def mixed(values: np.ndarray) -> np.ndarray:
-    values = (values ^ (values >> np.uint64(32))) * MIX
-    return values ^ (values >> np.uint64(29))
+
+def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a column of texts without nulls, and the edges of its rows."""
+    _, offsets, data = column.buffers()
+    edges = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(data or b"", np.uint8)[edges[0]:edges[-1]], edges - edges[0]
+
+
+class Words:
+    """Words of rows of texts: where they begin and end, their rows, hashes, and ends of their pieces (as words)."""
+
+    def __init__(self, data: np.ndarray, edges: np.ndarray):
+        self.data = LOWER[data]
+        kinds = KINDS[data]
+        inside = kinds == WORD
+        before, after = np.append(False, inside[:-1]), np.append(inside[1:], False)
+        filled = np.flatnonzero(edges[1:] > edges[:-1])
+        before[edges[filled]] = False
+        after[edges[filled + 1] - 1] = False
+        self.starts = np.flatnonzero(inside & ~before)
+        self.ends = np.flatnonzero(inside & ~after) + 1
+        self.rows = np.searchsorted(edges, self.starts, side="right") - 1
+        piece = np.searchsorted(np.flatnonzero(kinds == CUT), self.starts)
+        new = (np.diff(piece, prepend=-1) != 0) | (np.diff(self.rows, prepend=-1) != 0)
+        self.pieces = np.flatnonzero(new)
+        sizes = np.diff(np.append(self.pieces, len(new)))
+        self.piece_ends = np.repeat(self.pieces + sizes, sizes)
+        self.hashes = hashes_of(self.data, self.starts, self.ends)
 
 
 def longer(grams: np.ndarray, words: np.ndarray, n: int) -> np.ndarray:
@@ -74,25 +118,34 @@ def longer(grams: np.ndarray, words: np.ndarray, n: int) -> np.ndarray:
     return mixed(grams * STEP + np.roll(words, 1 - n))
 
 
-def chunks_of(text: bytes, hashes: Hashes) -> Iterator[tuple[bytes, int]]:
-    """Chunks of a text as (words joined by spaces, number of phrase starts that belong to it)."""
-    pieces = [words for piece in CUT.split(text.lower()) if (words := piece.split())]
-    words = list(chain.from_iterable(pieces))
-    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    piece_ends = np.cumsum(sizes)
-    ends = np.repeat(piece_ends, sizes)
-    windows = own = hashes.of(words)
+def cut_chunks(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and past-last word of every chunk, and the number of phrase starts that belong to it."""
+    count = len(words.starts)
+    windows = words.hashes
     for size in range(2, OVERLAP + 1):
-        windows = longer(windows, own, size)
-    opens = (windows % PERIOD == 0) & (np.arange(len(words)) + OVERLAP <= ends)
-    opens[piece_ends - sizes] = True
+        windows = longer(windows, words.hashes, size)
+    opens = (windows % PERIOD == 0) & (np.arange(count) + OVERLAP <= words.piece_ends)
+    opens[words.pieces] = True
     starts = np.flatnonzero(opens)
-    ends = ends[starts]
-    following = np.append(starts[1:], len(words))
-    cores = np.minimum(following, ends) - starts
-    ends = np.where(following < ends, following + OVERLAP, ends)
-    for start, end, core in zip(starts.tolist(), ends.tolist(), cores.tolist()):
-        yield b" ".join(words[start:end]), core
+    ends = words.piece_ends[starts]
+    following = np.append(starts, count)[1:]
+    return starts, np.where(following < ends, following + OVERLAP, ends), np.minimum(following, ends) - starts
+
+
+def joined(words: Words, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int, pa.Array]]:
+    """Texts of chunks (words joined by spaces) in blocks: from which to which chunk, and their texts."""
+    for low, high in blocks(words.ends[ends - 1] - words.starts[starts], PORTION):
+        sizes = ends[low:high] - starts[low:high]
+        at = ragged(starts[low:high], sizes)
+        last = np.zeros(len(at), bool)
+        last[np.cumsum(sizes) - 1] = True
+        lengths = words.ends[at] - words.starts[at] + ~last
+        places = ragged(words.starts[at], lengths)
+        data = words.data[np.minimum(places, len(words.data) - 1)]
+        edges = np.cumsum(lengths)
+        data[edges[~last] - 1] = 32
+        offsets = np.append(0, edges[last]).astype(np.int32)
+        yield low, high, pa.StringArray.from_buffers(high - low, pa.py_buffer(offsets), pa.py_buffer(data))
 
 
 def dictionary(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -100,24 +153,20 @@ def dictionary(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG)).alias("lang"),
                        as_bytes(text_col).alias("text"))
 
-    def parse(found: Iterator[dict]) -> Iterator[tuple]:
-        hashes, held, size = Hashes(), {}, 0
-        for row in found:
-            for chunk, starts in chunks_of(row["text"], hashes):
-                key = (row["lang"], chunk, starts)
-                if key in held:
-                    held[key] += 1
-                    continue
-                held[key] = 1
-                size += len(chunk) + 100
-                if len(held) >= HELD_CHUNKS or size >= HELD_BYTES:
-                    yield from ((*k, n) for k, n in held.items())
-                    held, size = {}, 0
-        yield from ((*k, n) for k, n in held.items())
-
-    parsed = map_rows(rows, "lang string, chunk string, starts int, n bigint",
-                      lambda found: ((lang, chunk.decode(), starts, n) for lang, chunk, starts, n in parse(found)))
-    return materialize(parsed.groupBy("lang", "chunk", "starts").agg(F.sum("n").alias("n")), "chunks")
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, edges = bytes_of(batch["text"])
+            for low, high in blocks(np.diff(edges), PORTION):
+                words = Words(data[edges[low]:edges[high]], edges[low:high + 1] - edges[low])
+                starts, ends, cores = cut_chunks(words)
+                langs = batch["lang"].slice(low, high - low)
+                for a, b, texts in joined(words, starts, ends):
+                    yield pa.RecordBatch.from_arrays(
+                        [langs.take(pa.array(words.rows[starts[a:b]])), texts, pa.array(cores[a:b].astype(np.int32))],
+                        names=["lang", "chunk", "starts"])
+
+    parsed = rows.mapInArrow(parse, "lang string, chunk string, starts int")
+    return materialize(parsed.groupBy("lang", "chunk", "starts").agg(F.count("*").alias("n")), "chunks")
 
 
 def bit_table(spark: SparkSession, hashes: DataFrame) -> Broadcast:
@@ -168,39 +217,65 @@ def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return ranked[starts], sums, order[starts]
 
 
+class Phrases:
+    """Phrases of a task with their sums, found by hash."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.sums, self.texts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, object)
+
+    def add(self, keys: np.ndarray, sums: np.ndarray, name) -> None:
+        """Add sums of distinct keys in rising order; ``name`` gives the phrases at places that are new here."""
+        place = np.searchsorted(self.keys, keys)
+        old = np.zeros(len(keys), bool)
+        near = place < len(self.keys)
+        old[near] = self.keys[place[near]] == keys[near]
+        self.sums[place[old]] += sums[old]
+        new = np.flatnonzero(~old)
+        if len(new):
+            texts = np.empty(len(new), object)
+            texts[:] = name(new)
+            self.keys = np.insert(self.keys, place[new], keys[new])
+            self.sums = np.insert(self.sums, place[new], sums[new])
+            self.texts = np.insert(self.texts, place[new], texts)
+
+    def handed_out(self) -> Iterator[pa.RecordBatch]:
+        for s in range(0, len(self.keys), 1 << 14):
+            langs, ks, phrases = zip(*self.texts[s:s + (1 << 14)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(langs), pa.array(ks, pa.int32()), pa.array([p.decode() for p in phrases]),
+                 pa.array(self.sums[s:s + (1 << 14)])], names=["lang", "k", "phrase", "f"])
+        self.clear()
+
+
 def sum_batches(df: DataFrame, work) -> DataFrame:
     """Sum the (keys, values) that ``work`` finds in each batch, per task first, then over all: ``h``, ``f``."""
-    schema = StructType.fromDDL("h bigint, f bigint")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, fields = Sums(), to_arrow_schema(schema)
+        sums = Sums()
 
         def out(keys: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
             for s in range(0, len(keys), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(keys[s:s + (1 << 16)].view(np.int64)),
-                                                  pa.array(values[s:s + (1 << 16)])], schema=fields)
+                                                  pa.array(values[s:s + (1 << 16)])], names=["h", "f"])
 
         for keys, values in work(batches):
             for full in sums.add(keys, values):
                 yield from out(*full)
         yield from out(*sums.folded())
 
-    return df.mapInArrow(run, schema).groupBy("h").agg(F.sum("f").alias("f"))
+    return df.mapInArrow(run, "h bigint, f bigint").groupBy("h").agg(F.sum("f").alias("f"))
 
 
-def word_rows(batch: pa.RecordBatch, hashes: Hashes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+def word_rows(batch: pa.RecordBatch) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
     """All words of a batch of chunks, their hashes in their language, and the first and the past-last word of each."""
-    words: list[bytes] = []
-    ends = np.zeros(batch.num_rows, np.int64)
-    langs = []
-    known: dict[str, int] = {}
-    for i, (lang, chunk) in enumerate(zip(batch["lang"].to_pylist(), batch["chunk"].cast(pa.binary()).to_pylist())):
-        words += chunk.split(b" ")
-        ends[i] = len(words)
-        langs.append(known.get(lang) or known.setdefault(lang, xxhash.xxh64_intdigest(lang.encode(), seed=1)))
-    starts = np.append(0, ends[:-1]).astype(np.int64) if len(ends) else ends
-    own = hashes.of(words)
-    return words, mixed(own ^ np.repeat(np.array(langs, np.uint64), ends - starts)), starts, ends
+    words = Words(*bytes_of(batch["chunk"]))
+    langs = batch["lang"].dictionary_encode()
+    seeds = np.array([xxhash.xxh64_intdigest(lang.encode(), seed=1) for lang in langs.dictionary.to_pylist()], np.uint64)
+    own = mixed(words.hashes ^ seeds[langs.indices.to_numpy()][words.rows])
+    return words, own, words.pieces, np.append(words.pieces[1:], len(own))
 
 
 def reach(starts: np.ndarray, ends: np.ndarray, counted: np.ndarray, weights: np.ndarray):
@@ -223,9 +298,8 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     totals = chunks.groupBy("lang").agg(F.sum(F.col("starts") * F.col("n")).alias("n"))
 
     def singles(batches: Iterator[pa.RecordBatch]):
-        hashes = Hashes()
         for batch in batches:
-            _, own, starts, ends = word_rows(batch, hashes)
+            _, own, starts, ends = word_rows(batch)
             counts, _, weights = reach(starts, ends, batch["starts"].to_numpy(), batch["n"].to_numpy())
             yield summed(own[counts], weights[counts])[:2]
 
@@ -234,9 +308,8 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
 
     # Hashes of the words, 0 for words that are too rare: what the following rounds read instead of the texts.
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
         for batch in batches:
-            _, own, starts, ends = word_rows(batch, hashes)
+            _, own, starts, ends = word_rows(batch)
             own = np.where(passes(tables[0].value, own), own | np.uint64(1), np.uint64(0))
             lists = pa.LargeListArray.from_arrays(pa.array(np.append(starts, ends[-1:])), pa.array(own.view(np.int64)))
             yield pa.RecordBatch.from_arrays([lists.cast(pa.list_(pa.int64())), batch["starts"], batch["n"]],
@@ -269,41 +342,30 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
         tables.append(bit_table(spark, materialize(counted.where(F.col("f") >= min_count).select("h"), "phrases")))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, fields = Hashes(), to_arrow_schema(schema)
-        held: dict[tuple[str, int, bytes], int] = {}
-
-        def out() -> Iterator[pa.RecordBatch]:
-            if held:
-                langs, ks, phrases = zip(*held)
-                yield pa.RecordBatch.from_arrays([pa.array(langs), pa.array(ks, pa.int32()),
-                                                  pa.array([p.decode() for p in phrases]),
-                                                  pa.array(list(held.values()))], schema=fields)
-                held.clear()
-
+        held = Phrases()
         for batch in batches:
-            found, own, starts, ends = word_rows(batch, hashes)
-            langs = batch["lang"].to_pylist()
+            words, own, starts, ends = word_rows(batch)
+            odd = own | np.uint64(1)
+            raw, langs = words.data.tobytes(), batch["lang"].to_pylist()
             counts, left, weights = reach(starts, ends, batch["starts"].to_numpy(), batch["n"].to_numpy())
-            grams_, odd = own, own | np.uint64(1)
-            known = passes(tables[0].value, own)
+            frequent = passes(tables[0].value, own)
+            known, grams_ = frequent, own
             for k in range(1, MAX_WORDS + 1):
                 if k > 1:
                     grams_ = longer(odd if k == 2 else grams_, odd, k)
-                    known = known & np.roll(passes(tables[0].value, own), 1 - k)
+                    known = known & np.roll(frequent, 1 - k)
                 good = counts & (left >= k) & known & passes(tables[k - 1].value, grams_)
-                keys, sums, first = summed(grams_[good], weights[good])
-                places = np.flatnonzero(good)[first]
-                rows = np.searchsorted(ends, places, side="right")
-                for row, at, f in zip(rows.tolist(), places.tolist(), sums.tolist()):
-                    key = (langs[row], k, b" ".join(found[at:at + k]))
-                    held[key] = held.get(key, 0) + f
-            if len(held) >= HELD_CHUNKS:
-                yield from out()
-        yield from out()
-
-    schema = StructType.fromDDL("lang string, k int, phrase string, f bigint")
-    exact = (chunks.mapInArrow(texts, schema).groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))
-             .where(F.col("f") >= min_count))
+                keys, sums, first = summed(grams_[good] ^ np.uint64(k), weights[good])
+                at = np.flatnonzero(good)[first]
+                held.add(keys, sums, lambda new: [
+                    (langs[row], k, raw[s:e]) for row, s, e in zip(
+                        words.rows[at[new]].tolist(), words.starts[at[new]].tolist(), words.ends[at[new] + k - 1].tolist())])
+            if len(held.keys) >= HELD_GRAMS:
+                yield from held.handed_out()
+        yield from held.handed_out()
+
+    exact = (chunks.mapInArrow(texts, "lang string, k int, phrase string, f bigint")
+             .groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count))
     return materialize(exact, "phrases"), materialize(totals, "words")
 
 
