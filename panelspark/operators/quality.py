@@ -22,13 +22,17 @@ def _violates(condition: Column) -> Column:
     return ~F.coalesce(condition, F.lit(True))
 
 
-def accepted_range(df: DataFrame, column: str, min_value=None, max_value=None, inclusive: bool = True) -> DataFrame:
+def _out_of_range(column: str, min_value=None, max_value=None, inclusive: bool = True) -> Column:
     c, conditions = F.col(column), []
     if min_value is not None:
         conditions.append(c >= min_value if inclusive else c > min_value)
     if max_value is not None:
         conditions.append(c <= max_value if inclusive else c < max_value)
-    return df.where(_violates(reduce(lambda a, b: a & b, conditions, F.lit(True))))
+    return _violates(reduce(lambda a, b: a & b, conditions, F.lit(True)))
+
+
+def accepted_range(df: DataFrame, column: str, min_value=None, max_value=None, inclusive: bool = True) -> DataFrame:
+    return df.where(_out_of_range(column, min_value, max_value, inclusive))
 
 
 def at_least_one(df: DataFrame, column: str, group_by: Sequence[str] = ()) -> DataFrame:
@@ -86,8 +90,12 @@ def equality_failures() -> Column:
     return F.count(F.lit(1)) + F.coalesce(F.abs(F.sum(way)), F.lit(0))
 
 
+def _is_not_true(expression: str, column: str | None = None) -> Column:
+    return _violates(F.expr(expression if column is None else f"`{column}` {expression}"))
+
+
 def expression_is_true(df: DataFrame, expression: str, column: str | None = None) -> DataFrame:
-    return df.where(_violates(F.expr(expression if column is None else f"`{column}` {expression}")))
+    return df.where(_is_not_true(expression, column))
 
 
 _GAP = {"not_allowed": lambda upper, following: upper == following,
@@ -135,9 +143,12 @@ def not_constant(df: DataFrame, column: str, group_by: Sequence[str] = ()) -> Da
     return distinct.where("__lo = __hi").select(*group_by, F.lit(1).cast("bigint").alias("n_distinct"))
 
 
+def _is_empty(column: str, trim_whitespace: bool = True) -> Column:
+    return (F.trim(F.col(column)) if trim_whitespace else F.col(column)) == ""
+
+
 def not_empty_string(df: DataFrame, column: str, trim_whitespace: bool = True) -> DataFrame:
-    text = F.trim(F.col(column)) if trim_whitespace else F.col(column)
-    return df.where(text == "")
+    return df.where(_is_empty(column, trim_whitespace))
 
 
 def not_null_proportion(df: DataFrame, column: str, at_least: float, at_most: float = 1.0,
@@ -233,18 +244,121 @@ def freshness(df: DataFrame, stamp: str, as_of: Column | None = None, warn_hours
     return latest.withColumn("status", status)
 
 
+@dataclass(frozen=True)
+class Rule:
+    """A check that needs nothing but sums over its table or over groups of it, so that many can share one scan.
+
+    ``rows`` gives the violating rows, as the function of the same name does. ``sums`` gives named aggregates over the
+    rows for which its argument holds, and ``failures`` counts the failures of a group from them. ``fails`` is the
+    condition of rules on single rows. A table without groups has one group; ``empty`` is its count without rows.
+    """
+
+    rows: Callable[[DataFrame], DataFrame]
+    sums: Callable[[Column], dict[str, Column]]
+    failures: Callable[[dict[str, Column]], Column]
+    group_by: tuple[str, ...] = ()
+    fails: Column | None = None
+    empty: int = 0
+
+
+def _row_rule(rows: Callable[[DataFrame], DataFrame], fails: Column) -> Rule:
+    return Rule(rows, lambda keep: {"n": F.count_if(keep & fails)}, lambda found: found["n"], fails=fails)
+
+
+def _when(found: Column) -> Column:
+    return F.when(found, 1).otherwise(0)
+
+
+class rules:
+    """Rules by the names and arguments of the checks they stand for, without the table."""
+
+    @staticmethod
+    def accepted_range(column: str, min_value=None, max_value=None, inclusive: bool = True) -> Rule:
+        return _row_rule(lambda t: accepted_range(t, column, min_value, max_value, inclusive),
+                         _out_of_range(column, min_value, max_value, inclusive))
+
+    @staticmethod
+    def expression_is_true(expression: str, column: str | None = None) -> Rule:
+        return _row_rule(lambda t: expression_is_true(t, expression, column), _is_not_true(expression, column))
+
+    @staticmethod
+    def not_empty_string(column: str, trim_whitespace: bool = True) -> Rule:
+        return _row_rule(lambda t: not_empty_string(t, column, trim_whitespace), _is_empty(column, trim_whitespace))
+
+    @staticmethod
+    def not_null(column: str) -> Rule:
+        return _row_rule(lambda t: not_null(t, column), F.col(column).isNull())
+
+    @staticmethod
+    def assert_equal(actual: str, expected: str) -> Rule:
+        return _row_rule(lambda t: assert_equal(t, actual, expected), _violates(F.col(actual) == F.col(expected)))
+
+    @staticmethod
+    def accepted_values(column: str, values: Sequence) -> Rule:
+        return _row_rule(lambda t: accepted_values(t, column, values),
+                         F.col(column).isNotNull() & ~F.col(column).isin(list(values)))
+
+    @staticmethod
+    def not_accepted_values(column: str, values: Sequence) -> Rule:
+        """Counts the forbidden values that occur, not their rows."""
+        listed = list(dict.fromkeys(values))
+        return Rule(lambda t: not_accepted_values(t, column, listed),
+                    lambda keep: {f"v{i}": F.count_if(keep & (F.col(column) == v)) for i, v in enumerate(listed)},
+                    lambda found: reduce(lambda a, b: a + b, [_when(n > 0) for n in found.values()]))
+
+    @staticmethod
+    def at_least_one(column: str, group_by: Sequence[str] = ()) -> Rule:
+        return Rule(lambda t: at_least_one(t, column, group_by),
+                    lambda keep: {"known": F.count(F.when(keep, F.col(column)))},
+                    lambda found: _when(found["known"] == 0), tuple(group_by), empty=1)
+
+    @staticmethod
+    def not_constant(column: str, group_by: Sequence[str] = ()) -> Rule:
+        value = F.col(column)
+        return Rule(lambda t: not_constant(t, column, group_by),
+                    lambda keep: {"lo": F.min(F.when(keep, value)), "hi": F.max(F.when(keep, value))},
+                    lambda found: _when(found["lo"] == found["hi"]), tuple(group_by))
+
+    @staticmethod
+    def not_null_proportion(column: str, at_least: float, at_most: float = 1.0, group_by: Sequence[str] = ()) -> Rule:
+        return Rule(lambda t: not_null_proportion(t, column, at_least, at_most, group_by),
+                    lambda keep: {"share": F.avg(F.when(keep, F.col(column).isNotNull().cast("int")))},
+                    lambda found: _when(~found["share"].between(at_least, at_most)), tuple(group_by))
+
+    @staticmethod
+    def recency(column: str, datepart: str, interval: int, as_of: Column | None = None,
+                ignore_time_component: bool = False, group_by: Sequence[str] = ()) -> Rule:
+        kind = "date" if ignore_time_component else "timestamp_ntz"
+        limit = F.timestamp_add(datepart.upper(), F.lit(-interval), F.current_timestamp() if as_of is None else as_of)
+        return Rule(lambda t: recency(t, column, datepart, interval, as_of, ignore_time_component, group_by),
+                    lambda keep: {"newest": F.max(F.when(keep, F.col(column))).cast(kind)},
+                    lambda found: _when(found["newest"] < limit.cast(kind)), tuple(group_by))
+
+    @staticmethod
+    def unique_combination(columns: Sequence[str]) -> Rule:
+        """Counts the rows of the repeated combinations."""
+        return Rule(lambda t: unique_combination(t, columns), lambda keep: {"n": F.count_if(keep)},
+                    lambda found: F.when(found["n"] > 1, found["n"]).otherwise(0), tuple(columns))
+
+    @staticmethod
+    def unique(column: str) -> Rule:
+        return Rule(lambda t: unique(t, column), lambda keep: {"n": F.count_if(keep & F.col(column).isNotNull())},
+                    lambda found: F.when(found["n"] > 1, found["n"]).otherwise(0), (column,))
+
+
 @dataclass
 class Check:
     """A named check: its violating rows, how to count failures, and when they matter.
 
-    ``rows`` is the frame of violations, or a function from ``table`` to it; ``where`` then restricts the table first.
+    ``rows`` is the frame of violations, or a rule on ``table``, or a function from ``table`` to the violations; ``where``
+    then restricts the table first. Rules on the same table are counted in one scan of it.
     Failures are rows of the table unless ``failures`` says otherwise: a check that returns equal violations once
     counts them by ``n_rows``, a check of row counts by the difference. ``error_if`` and ``warn_if`` compare the
     failure count, e.g. ``"> 0"`` or ``"< 1"``.
     """
 
     name: str
-    rows: DataFrame | Callable[[DataFrame], DataFrame]
+    rows: DataFrame | Rule | Callable[[DataFrame], DataFrame]
     failures: Column | None = None
     error_if: str = "> 0"
     warn_if: str = "> 0"
@@ -252,11 +366,25 @@ class Check:
     where: str | None = None
 
     def violations(self) -> DataFrame:
-        if not callable(self.rows):
+        if isinstance(self.rows, DataFrame):
             if self.where:
                 raise ValueError(f"{self.name}: where needs a table and a function of it")
             return self.rows
-        return self.rows(self.table.where(self.where) if self.where else self.table)
+        found = self.rows.rows if isinstance(self.rows, Rule) else self.rows
+        return found(self.table.where(self.where) if self.where else self.table)
+
+    @property
+    def kept(self) -> Column:
+        """Whether a row of the table is looked at."""
+        return F.coalesce(F.expr(self.where), F.lit(False)) if self.where else F.lit(True)
+
+    def status(self, failures: str) -> Column:
+        return (F.when(F.expr(f"{failures} {self.error_if}"), "error")
+                .when(F.expr(f"{failures} {self.warn_if}"), "warn").otherwise("pass"))
+
+    @property
+    def is_sum(self) -> bool:
+        return isinstance(self.rows, Rule) and self.failures is None
 
 
 def failure_count(violations: DataFrame) -> Column:
@@ -267,13 +395,64 @@ def failure_count(violations: DataFrame) -> Column:
     return F.count(F.lit(1))
 
 
+def _by_table(checks: Sequence[Check]) -> list[list[Check]]:
+    """Checks whose tables have the same plan."""
+    groups: list[list[Check]] = []
+    for check in checks:
+        same = next((g for g in groups if g[0].table.sameSemantics(check.table)), None)
+        groups.append([check]) if same is None else same.append(check)
+    return groups
+
+
+def sum_failures(checks: Sequence[Check]) -> DataFrame:
+    """(name, failures, status) of rules on one table, from one scan of it.
+
+    Rules on single rows and on the whole table are plain conditional sums. With grouped rules the groupings are
+    aggregated together as grouping sets, combined before the shuffle; a group without rows that a rule looks at does
+    not count for it.
+    """
+    table = checks[0].table
+    groupings = list(dict.fromkeys([(), *[c.rows.group_by for c in checks]]))
+    columns = list(dict.fromkeys(k for g in groupings for k in g))
+    sums, place = [], []
+    for i, check in enumerate(checks):
+        own = {"rows": F.count_if(check.kept)} | check.rows.sums(check.kept)
+        sums += [c.alias(f"__{i}_{name}") for name, c in own.items()]
+        place.append({name: F.col(f"__{i}_{name}") for name in own if name != "rows"})
+    if columns:
+        grouped = table.groupingSets([list(g) for g in groupings], *columns).agg(F.grouping_id().alias("__set"), *sums)
+    else:
+        grouped = table.agg(F.lit(0).cast("bigint").alias("__set"), *sums)
+    totals = []
+    for i, check in enumerate(checks):
+        number = sum(1 << len(columns) - 1 - at for at, c in enumerate(columns) if c not in check.rows.group_by)
+        inside = (F.col("__set") == number) & (F.col(f"__{i}_rows") > 0)
+        count = F.sum(F.when(inside, check.rows.failures(place[i])))
+        missing = check.rows.empty if not check.rows.group_by else 0
+        totals.append(F.coalesce(count, F.lit(missing)).cast("bigint").alias(f"__total_{i}"))
+    cells = [F.struct(F.lit(c.name).alias("name"), F.col(f"__total_{i}").alias("failures"),
+                      c.status(f"__total_{i}").alias("status")) for i, c in enumerate(checks)]
+    return grouped.agg(*totals).select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+
+
+def failing_rows(checks: Sequence[Check], out: str = "failed_checks") -> DataFrame:
+    """Rows of one table that break rules on single rows, with the names of those rules, from one scan."""
+    if len(_by_table(checks)) > 1 or any(not isinstance(c.rows, Rule) or c.rows.fails is None for c in checks):
+        raise ValueError("failing_rows takes rules on single rows of one table")
+    names = F.array_compact(F.array(*[F.when(c.kept & c.rows.fails, F.lit(c.name)) for c in checks]))
+    return checks[0].table.withColumn(out, names).where(F.size(out) > 0)
+
+
 def run_checks(checks: Sequence[Check]) -> DataFrame:
-    """(name, failures, status) of all checks; each is one aggregation, run together."""
-    def report(check: Check) -> DataFrame:
+    """(name, failures, status) of all checks, run together.
+
+    Rules share one scan of their table; checks on order, on two relations and on sets are one aggregation each.
+    """
+    def count(check: Check) -> DataFrame:
         found = check.violations()
-        count = failure_count(found) if check.failures is None else check.failures
-        counted = found.agg(F.coalesce(count, F.lit(0)).cast("bigint").alias("failures"))
-        status = (F.when(F.expr(f"failures {check.error_if}"), "error")
-                  .when(F.expr(f"failures {check.warn_if}"), "warn").otherwise("pass"))
-        return counted.select(F.lit(check.name).alias("name"), "failures", status.alias("status"))
-    return reduce(DataFrame.unionByName, [report(c) for c in checks])
+        failures = failure_count(found) if check.failures is None else check.failures
+        return found.agg(F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures")).select(
+            F.lit(check.name).alias("name"), "failures", check.status("failures").alias("status"))
+
+    shared = [sum_failures(g) for g in _by_table([c for c in checks if c.is_sum])]
+    return reduce(DataFrame.unionByName, [*shared, *[count(c) for c in checks if not c.is_sum]])

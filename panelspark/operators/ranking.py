@@ -2,14 +2,19 @@
 
 Rows collapse to distinct values with counts, all measures in one partial aggregation. The values are range-partitioned
 in the order (measure, group, value), so a huge group is spread over as many tasks as its values ask for, and a hot value
-is one row. The partition number is stored with the rows, which pins the cut. Places are summed inside the ranges, the
-totals of earlier ranges are added, and the result is joined back by group and value. Nothing but these narrow tables is
-stored.
+is one row. The partition number is stored with the rows, which pins the cut. Places are summed inside the ranges and the
+totals of earlier ranges are added.
+
+Ranks travel back in long form. Rows with equal groups and measures are one profile, counted once and numbered. The cells
+of the profiles (number, measure, group, value) meet the ranked values in one join per data type, one regroup by number
+makes a narrow row of them, and the wide rows join that row by group and measures: they are shuffled once, however many
+measures there are, and only narrow tables are stored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -34,74 +39,95 @@ def _by_type(df: DataFrame, measures: Sequence[str]) -> list[list[str]]:
     return list(kinds.values())
 
 
-def value_ranks(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+def _cells(df: DataFrame, keep: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """A row per row and measure: ``__m`` (number of the measure), the ``keep`` columns, ``__v``."""
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("__m"), F.col(m).alias("__v")) for i, m in enumerate(measures)]))
+    return df.select(*keep, cells.alias("__c")).select("__c.__m", *keep, "__c.__v")
+
+
+def value_ranks(df: DataFrame, keys: Sequence[str], measures: Sequence[str], weight: str | None = None) -> DataFrame:
     """Distinct values (NULL too) of measures of one type, per group.
 
     Columns: ``__m`` (number of the measure), the keys, ``__v``, ``__ties`` (rows with the value), ``__below`` (rows
     with a smaller known value; all known rows for NULL), ``__valid`` (known rows of the group), ``__all`` (its rows).
+    A row counts as many as the column ``weight`` says.
     """
-    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("__m"), F.col(m).alias("__v")) for i, m in enumerate(measures)]))
-    values = (df.select(*keys, cells.alias("__c")).select("__c.__m", *keys, "__c.__v")
-              .groupBy("__m", *keys, "__v").agg(F.count(F.lit(1)).alias("__ties")))
+    kept = [*keys, weight] if weight else keys
+    values = _cells(df, kept, measures).groupBy("__m", *keys, "__v").agg(
+        (F.sum(weight) if weight else F.count(F.lit(1))).alias("__ties"))
     stored = in_ranges(values, ["__m", *keys, "__v"], "values")
-    group = ["__m", *keys]
+    # As a struct the keys compare with NULL equal to NULL, so windows and the join share one exchange.
+    stored = stored.withColumn("__group", F.struct("__m", *keys))
     known = F.when(F.col("__v").isNotNull(), F.col("__ties")).otherwise(0)
-    parts = stored.groupBy("__range", *group).agg(F.sum(known).alias("__known"), F.sum("__ties").alias("__rows"))
-    across = Window.partitionBy(*group)
+    parts = stored.groupBy("__range", "__group").agg(F.sum(known).alias("__known"), F.sum("__ties").alias("__rows"))
+    across = Window.partitionBy("__group")
     earlier = across.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("__range", *group, F.coalesce(F.sum("__known").over(earlier), F.lit(0)).alias("__offset"),
+    parts = parts.select("__range", "__group", F.coalesce(F.sum("__known").over(earlier), F.lit(0)).alias("__offset"),
                          F.sum("__known").over(across).alias("__valid"), F.sum("__rows").over(across).alias("__all"))
-    inside = Window.partitionBy("__range", *group).orderBy("__place").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("__range", "__group").orderBy("__place").rowsBetween(Window.unboundedPreceding, -1)
     local = stored.withColumn("__local", F.coalesce(F.sum(known).over(inside), F.lit(0)))
     below = F.when(F.col("__v").isNull(), F.col("__valid")).otherwise(F.col("__offset") + F.col("__local"))
-    joined = join_same(local, parts, ["__range", *group], "inner")
-    return joined.select(*group, "__v", "__ties", below.alias("__below"), "__valid", "__all")
-
+    joined = local.join(parts, ["__range", "__group"])
+    return joined.select("__m", *keys, "__v", "__ties", below.alias("__below"), "__valid", "__all")
 
-def with_rank_counts(df: DataFrame, keys: Sequence[str], measures: Sequence[str], descending: Sequence[str] = ()
-                     ) -> DataFrame:
-    """Add per measure ``__below_m``, ``__ties_m``, ``__valid_m`` and ``__all_m``; NULL sorts last."""
-    out = df
-    for kind in _by_type(df, measures):
-        ranks = value_ranks(df, keys, kind)
-        for i, m in enumerate(kind):
-            below = F.col("__below")
-            if m in descending:
-                below = F.when(F.col("__v").isNull(), below).otherwise(F.col("__valid") - below - F.col("__ties"))
-            own = ranks.where(F.col("__m") == i).select(
-                *keys, F.col("__v").alias(m), below.alias(f"__below_{m}"),
-                *[F.col(f"__{c}").alias(f"__{c}_{m}") for c in ("ties", "valid", "all")])
-            out = join_same(out, own, [*keys, m])
-    return out
 
+def with_shares(df: DataFrame, keys: Sequence[str], outputs: Mapping[str, str], share: Callable[[Column], Column],
+                descending: Sequence[str] = (), unknown: bool = True) -> DataFrame:
+    """Add a number per row and measure that depends on the value's rank in its group; ``outputs`` maps new name to measure.
 
-def _drop_counts(df: DataFrame, measures: Sequence[str]) -> DataFrame:
-    return df.drop(*[f"__{p}_{m}" for p in ("below", "ties", "valid", "all") for m in measures])
+    ``share`` gets the rows below the value (NULL sorts last; above it for ``descending`` measures) and may use ``__v``,
+    ``__ties``, ``__valid`` and ``__all``. Cells that are NULL get NULL without being looked up unless ``unknown``.
+    ``df`` is read twice.
+    """
+    measures = list(dict.fromkeys(outputs.values()))
+    profiles = materialize(df.groupBy(*keys, *[m for m in measures if m not in keys]).agg(F.count(F.lit(1)).alias("__n"))
+                           .withColumn("__row", F.monotonically_increasing_id()), "profiles")
+    narrow: DataFrame | None = None
+    kinds = _by_type(df, measures)
+    skip = not unknown and len(kinds) == 1  # then a profile without known cells need not come back at all
+    for kind in kinds:
+        below = F.col("__below")
+        turned = [i for i, m in enumerate(kind) if m in descending]
+        if turned:
+            above = F.when(F.col("__v").isNull(), below).otherwise(F.col("__valid") - below - F.col("__ties"))
+            below = F.when(F.col("__m").isin(turned), above).otherwise(below)
+        ranks = value_ranks(profiles, keys, kind, "__n").select("__m", *keys, "__v", (
+            share(below) if unknown else F.when(F.col("__v").isNotNull(), share(below))).alias("__share"))
+        cells = _cells(profiles, ["__row", *keys], kind)
+        if skip:
+            cells, ranks = cells.where(F.col("__v").isNotNull()), ranks.where(F.col("__v").isNotNull())
+        ranked = join_same(cells, ranks, ["__m", *keys, "__v"], "inner")
+
+        def cell(column: str, i: int) -> Column:
+            return F.max(F.when(F.col("__m") == i, F.col(column)))  # a profile has one cell per measure
+        found = ranked.groupBy("__row").agg(
+            *[F.first(k).alias(f"__key_{k}") for k in keys],
+            *[cell("__v", i).alias(f"__own_{m}") for i, m in enumerate(kind)],
+            *[cell("__share", i).alias(f"__share_{m}") for i, m in enumerate(kind)])
+        if narrow is not None:
+            found = narrow.join(found.drop(*[f"__key_{k}" for k in keys]), "__row")
+        narrow = found
+    match = [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys]
+    match += [F.col(m).eqNullSafe(F.col(f"__own_{m}")) for m in measures if m not in keys]
+    joined = df.join(narrow.drop("__row"), reduce(lambda a, b: a & b, match), "left")
+    return joined.withColumns({out: F.col(f"__share_{m}") for out, m in outputs.items()}).select(
+        *df.columns, *[out for out in outputs if out not in df.columns])
 
 
 def percent_ranks(df: DataFrame, keys: Sequence[str], outputs: Mapping[str, str]) -> DataFrame:
     """SQL ``PERCENT_RANK`` (ascending, NULL last) of several measures; ``outputs`` maps new name to measure."""
-    measures = list(dict.fromkeys(outputs.values()))
-    counted = with_rank_counts(df, keys, measures)
-
-    def share(m: str) -> Column:
-        rest = F.col(f"__all_{m}") - 1
-        return F.when(rest > 0, F.col(f"__below_{m}") / rest).otherwise(F.lit(0.0))
-
-    return _drop_counts(counted.withColumns({out: share(m) for out, m in outputs.items()}), measures)
+    def share(below: Column) -> Column:
+        rest = F.col("__all") - 1
+        return F.when(rest > 0, below / rest).otherwise(F.lit(0.0))
+    return with_shares(df, keys, outputs, share)
 
 
 def tie_percentiles(df: DataFrame, keys: Sequence[str], outputs: Mapping[str, str], descending: Sequence[str] = ()
                     ) -> DataFrame:
     """Average rank of ties over the number of known values, 0 to 1; NULL stays NULL."""
-    measures = list(dict.fromkeys(outputs.values()))
-    counted = with_rank_counts(df, keys, measures, descending)
-
-    def share(m: str) -> Column:
-        middle = F.col(f"__below_{m}") + (F.col(f"__ties_{m}") + 1) / 2
-        return F.when(F.col(m).isNotNull(), middle / F.col(f"__valid_{m}"))
-
-    return _drop_counts(counted.withColumns({out: share(m) for out, m in outputs.items()}), measures)
+    def share(below: Column) -> Column:
+        return (below + (F.col("__ties") + 1) / 2) / F.col("__valid")
+    return with_shares(df, keys, outputs, share, descending, unknown=False)
 
 
 def quantile_table(df: DataFrame, keys: Sequence[str], measures: Sequence[str], quantiles: Mapping[str, float]

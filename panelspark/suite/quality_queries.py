@@ -260,10 +260,10 @@ def check_report(spark, sf):
     every = orders(spark, sf)
     first, second = _two_statuses(spark, sf)
     return Q.run_checks([
-        Check("price is positive", Q.expression_is_true(every, "o_totalprice > 0")),
-        Check("price is below a limit", Q.accepted_range(every, "o_totalprice", max_value=300000),
+        Check("price is positive", Q.rules.expression_is_true("o_totalprice > 0"), table=every),
+        Check("price is below a limit", Q.rules.accepted_range("o_totalprice", max_value=300000), table=every,
               error_if="> 1000000000"),
-        Check("expected to fail", Q.expression_is_true(every, "<> 'P'", "o_orderstatus"), error_if="< 1",
+        Check("expected to fail", Q.rules.expression_is_true("<> 'P'", "o_orderstatus"), table=every, error_if="< 1",
               warn_if="< 1"),
         Check("same row counts", Q.equal_rowcount(first, second, ["o_custkey"])),
         Check("same row counts as itself", Q.equal_rowcount(first, first, ["o_custkey"], strict=True)),

@@ -173,3 +173,58 @@ def test_failures_are_rows_of_the_table(spark):
         "orphans": 5, "orphans of late rows": 2, "sequence": 6, "counts of itself": 0, "counts": 7, "fewer": 1, "reversed": 5}
     with pytest.raises(ValueError):
         Q.run_checks([Q.Check("no table", orders, where="id > 2")])
+
+
+RULES = {
+    "range": lambda: Q.rules.accepted_range("v", 0, 6), "open range": lambda: Q.rules.accepted_range("v", 0, 6, False),
+    "expression": lambda: Q.rules.expression_is_true("v + 1 < 8"), "column expression": lambda: Q.rules.expression_is_true("> 1", "v"),
+    "empty text": lambda: Q.rules.not_empty_string("t"), "empty text as it is": lambda: Q.rules.not_empty_string("t", False),
+    "not null": lambda: Q.rules.not_null("v"), "equal": lambda: Q.rules.assert_equal("v", "w"),
+    "accepted": lambda: Q.rules.accepted_values("v", [1, 2, 3]), "forbidden": lambda: Q.rules.not_accepted_values("v", [1, 2, 99]),
+    "known": lambda: Q.rules.at_least_one("v"), "known by group": lambda: Q.rules.at_least_one("v", ["g"]),
+    "constant": lambda: Q.rules.not_constant("v"), "constant by group": lambda: Q.rules.not_constant("v", ["g", "h"]),
+    "share": lambda: Q.rules.not_null_proportion("v", 0.9), "share by group": lambda: Q.rules.not_null_proportion("v", 0.6, 0.9, ["g"]),
+    "recent": lambda: Q.rules.recency("d", "day", 3, F.lit(dt.datetime(2024, 1, 9)).cast("timestamp_ntz")),
+    "recent by group": lambda: Q.rules.recency("d", "day", 3, F.lit(dt.datetime(2024, 1, 9)).cast("timestamp_ntz"), group_by=["h"]),
+    "combination": lambda: Q.rules.unique_combination(["g", "v"]), "unique": lambda: Q.rules.unique("v"),
+}
+
+
+def mixed_table(spark, n):
+    rows = [(i % 5 if i % 7 else None, "ab"[i % 2], None if i % 4 == 0 else i % 9, i % 3, ["", "  ", "x", None][i % 4],
+             dt.datetime(2024, 1, 1 + i % 9)) for i in range(n)]
+    return frame(spark, "g int, h string, v int, w int, t string, d timestamp_ntz", *rows).repartition(3)
+
+
+@pytest.mark.parametrize("n,where", [(0, None), (40, None), (40, "g IS NOT NULL AND v IS NULL"), (1, "w > 100")])
+def test_shared_scan_counts_what_each_check_returns(spark, n, where):
+    df = mixed_table(spark, n)
+    rules = {name: make() for name, make in RULES.items()}
+    report = Q.run_checks([Q.Check(name, rule, table=df, where=where) for name, rule in rules.items()])
+    got = {r["name"]: r["failures"] for r in report.collect()}
+    rows = df.where(where) if where else df
+    want = {}
+    for name, rule in rules.items():
+        found = rule.rows(rows)
+        want[name] = found.agg(F.coalesce(Q.failure_count(found), F.lit(0))).first()[0]
+    assert got == want
+
+
+def test_rules_on_one_table_scan_it_once(spark, tmp_path):
+    """Row rules, table rules and two groupings: one scan; another table and a check on order stay apart."""
+    mixed_table(spark, 50).write.parquet(str(tmp_path / "t"))
+    df, other = spark.read.parquet(str(tmp_path / "t")), frame(spark, "g int", 1, 1, 2)
+    names = ["range", "empty text", "known by group", "constant by group", "combination", "not null", "share"]
+    shared = [Q.Check(n, RULES[n](), table=spark.read.parquet(str(tmp_path / "t"))) for n in names]
+    report = Q.run_checks([*shared, Q.Check("other", Q.rules.unique("g"), table=other, warn_if="> 0", error_if="> 5")])
+    text = report._sc._jvm.PythonSQLUtils.explainString(report._jdf.queryExecution(), "formatted").split("\n\n")[0]
+    assert text.count("Scan parquet") == 1 and text.count("Exchange") <= 5
+    assert {r["name"]: r["status"] for r in report.collect()}["other"] == "warn"
+    kept = Q.failing_rows([Q.Check(n, RULES[n](), table=df, where=w) for n, w in (
+        ("range", None), ("not null", "h = 'a'"), ("empty text", None))]).collect()
+    plain = df.collect()
+    assert len(kept) == sum(bool((r["v"] or 0) > 6 or (r["v"] is None and r["h"] == "a") or (r["t"] or "x").strip() == "")
+                            for r in plain)
+    assert all(r["failed_checks"] for r in kept)
+    with pytest.raises(ValueError):
+        Q.failing_rows([Q.Check("known", Q.rules.at_least_one("v"), table=df)])

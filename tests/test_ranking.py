@@ -73,6 +73,39 @@ def test_wide_rows_are_never_stored(spark, df):
         assert set(spark.read.parquet(path).columns) == {"__m", "g", "__v", "__ties", "__place"}
 
 
+def test_a_value_that_holds_half_the_rows(spark):
+    """Half the rows share a value, some share all of them: one cell each, and the ranks of a window."""
+    rows = [(i, None if i % 11 == 0 else i % 3, 0.0 if i % 2 else float(i % 50), 7 if i % 2 else i % 20,
+             None if i % 5 == 0 else i % 4) for i in range(4000)]
+    typed = spark.createDataFrame(rows, "id int, g int, v double, w int, x bigint")
+    outputs = {f"p_{c}": c for c in "vwx"}
+    before = set(glob.glob(f"{shared_dir(spark)}/panelspark/*/profiles-*"))
+    ranked = ranking.tie_percentiles(typed, ["g"], outputs, ["w"]).toPandas().sort_values("id")
+    stored = set(glob.glob(f"{shared_dir(spark)}/panelspark/*/profiles-*")) - before
+    assert [spark.read.parquet(p).count() < 2000 for p in stored] == [True]
+    frame = typed.toPandas().sort_values("id")
+    for c in "vwx":
+        theirs = frame.groupby("g", dropna=False)[c].rank(pct=True, ascending=c != "w")
+        np.testing.assert_allclose(ranked[f"p_{c}"].to_numpy(float), theirs.to_numpy(float), equal_nan=True)
+
+
+def test_ranks_are_joined_back_once(spark, df):
+    """One join per data type in long form, one regroup, one join of the wide rows, however many measures."""
+    wide = materialize(df.withColumns({f"m{i}": F.col("v") + i for i in range(12)}).withColumn("ballast", F.lit("x")))
+
+    def exchanges(measures):
+        out = ranking.percent_ranks(wide, ["g"], {f"p_{m}": m for m in measures})
+        text = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+        tree = text.split("\n\n")[0]
+        return tree.count("Exchange ("), tree.count("Join")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few, many = exchanges(["v"]), exchanges([f"m{i}" for i in range(12)])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert few == many and many[0] <= 9 and many[1] == 3
+
+
 @pytest.mark.parametrize("keys", [["g"], []])
 def test_quantiles(df, frame, keys):
     out = ranking.group_quantiles(df, keys, "v", {"q1": 0.25, "med": 0.5, "top": 1.0}).toPandas()
