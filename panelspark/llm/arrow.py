@@ -10,6 +10,50 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 ROWS = 512  # rows of a result batch
+LONGEST = 64  # bytes of the longest key that is remembered
+ENTRY = 200   # bytes that an entry takes besides key and value
+
+_kept: dict[tuple, object] = {}
+
+
+def kept(owner: tuple, make: Callable):
+    """What ``make`` gives, kept by the worker process for later tasks of the same owner; a task of another owner drops it.
+
+    Workers are used again by the next stage, so what one stage remembers must not stay beside what the next one does.
+    """
+    if owner not in _kept:
+        _kept.clear()
+        _kept[owner] = make()
+    return _kept[owner]
+
+
+class Remembered(dict):
+    """Values computed by ``make`` on first use, up to ``bound`` bytes; the older half is asked before it goes.
+
+    Keys longer than ``LONGEST`` are computed each time.
+    """
+
+    def __init__(self, make: Callable, bound: int):
+        super().__init__()
+        self.make, self.half, self.size, self.older = make, bound // 2, 0, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= LONGEST:
+            self.size += len(key) + cost(value) + ENTRY
+            if self.size > self.half:
+                self.older = dict(self)
+                self.clear()
+                self.size = len(key) + cost(value) + ENTRY
+            self[key] = value
+        return value
+
+
+def cost(value) -> int:
+    """Bytes of a value: bytes as they are, numbers of a tuple 40 each."""
+    return len(value) * (1 if isinstance(value, bytes) else 40)
 
 
 def as_bytes(column: str) -> Column:

@@ -18,15 +18,15 @@ from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 from ..session import materialize
-from .arrow import as_bytes, extend, map_rows
-from .token_counts import ALPHABET, Remembered, load
+from .arrow import Remembered, as_bytes, extend, kept, map_rows
+from .token_counts import ALPHABET, load
 
 WINDOW = 32          # bytes that the rolling hash sees
 CUT_BITS = 9         # a cut after every 512 bytes on average
 FILTER_BITS = 26     # bits of the filter that knows the chunks seen more than once: 8 MB at any data size
 BITMAP_BYTES = 4096  # bytes of one bitmap of Spark's bitmap functions
 BATCH_CHUNKS = 512
-KNOWN_PIECES = 300_000  # pieces whose ids a worker remembers, and as many older ones
+KNOWN_PIECES = 128 << 20  # bytes of pieces and their ids that a worker remembers
 PASSED = 200_000     # chunks that a task remembers having passed on
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -83,10 +83,9 @@ class ChunkEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
 
-@lru_cache(maxsize=1)
 def chunk_encoder(path: str) -> ChunkEncoder:
     """One encoder for all tasks of a worker process."""
-    return ChunkEncoder(path)
+    return kept(("pieces", path), lambda: ChunkEncoder(path))
 
 
 def encode_chunks(path: str, chunks: list[bytes]) -> list[bytes]:

@@ -9,12 +9,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
-from .arrow import as_bytes, extend, map_rows
+from .arrow import as_bytes, extend, kept, map_rows
 from .crf import LineCrf, fit
 
 SAMPLE_DOCS = 1_500  # labelled documents of either quality that the line model is fitted on
 LINE_WINDOW = 64     # training sequences are cut to windows of so many lines
-SAMPLE_WINDOWS = 4   # at most so many of them from one document
+SAMPLE_WINDOWS = 12_000  # windows of these documents that it is fitted on, drawn by hash from all of their lines
 MIN_SHARE = 0.5
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
@@ -80,11 +80,13 @@ def line_table(text: bytes) -> tuple[list[list[bool]], list[int], int]:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          sample_docs: int = SAMPLE_DOCS) -> LineCrf | None:
+          sample_docs: int = SAMPLE_DOCS, sample_windows: int = SAMPLE_WINDOWS) -> LineCrf | None:
     """Fit the line model on at most ``sample_docs`` documents of either quality, drawn by hash of the id.
 
     Every line of a document carries the document's label. Rows whose crc32(id) mod 4 is 2 are left out, for testing.
-    Of a document at most SAMPLE_WINDOWS windows of LINE_WINDOW lines are used. None without both labels.
+    Whole documents are cut into windows of LINE_WINDOW lines, of which at most ``sample_windows`` are drawn by hash
+    wherever they stand, which bounds what reaches the driver. Of the rows that repeat an id the smallest text is taken.
+    None without both labels.
     """
     known = (labels.where("quality IS NOT NULL").groupBy(F.col(id_col).alias("__qr_id"))
              .agg(F.max("quality").alias("q")).where(F.crc32(F.col("__qr_id").cast("string")) % 4 != 2))
@@ -94,16 +96,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         part = present.where(F.col("q") == quality).orderBy(F.xxhash64("__qr_id"), "__qr_id").limit(sample_docs)
         drawn = part if drawn is None else drawn.unionByName(part)
     drawn = materialize(drawn, "sample")
-    rows = docs.join(drawn, F.col(id_col) == F.col("__qr_id")).select("q", as_bytes(text_col).alias("t"))
+    rows = (docs.join(drawn, F.col(id_col) == F.col("__qr_id")).groupBy("__qr_id")
+            .agg(F.max("q").alias("q"), F.min(F.col(text_col)).alias("t")).select("__qr_id", "q", as_bytes("t").alias("t")))
 
     def windows(incoming: Iterator[dict]) -> Iterator[tuple]:
         for row in incoming:
             features = line_table(row["t"])[0]
-            for at in range(0, min(len(features), LINE_WINDOW * SAMPLE_WINDOWS), LINE_WINDOW):
+            for at in range(0, len(features), LINE_WINDOW):
                 part = np.array(features[at:at + LINE_WINDOW], dtype=np.uint8)
-                yield row["q"], len(part), part.tobytes()
+                yield row["__qr_id"], at, row["q"], len(part), part.tobytes()
 
-    found = map_rows(rows, "q int, n int, f binary", windows).toArrow().to_pylist()
+    cut = map_rows(rows, extend(rows, ["__qr_id"], "at int, q int, n int, f binary"), windows)
+    found = (cut.orderBy(F.xxhash64("__qr_id", "at"), "__qr_id", "at").limit(sample_windows)
+             .select("q", "n", "f").toArrow().to_pylist())
     if len({r["q"] for r in found}) < 2:
         return None
     k = len(FEATURES)
@@ -131,6 +136,7 @@ def assess(docs: DataFrame, model: LineCrf | None, keep: Sequence[str] = ("doc_i
     keep = list(keep)
 
     def judge(rows: Iterator[dict]) -> Iterator[tuple]:
+        kept(("quality",), lambda: None)
         for row in rows:
             text = row["__qr_text"]
             words = text.split()

@@ -11,20 +11,20 @@ import os
 import re
 import struct
 from collections import Counter
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 from ..session import materialize
-from .arrow import as_bytes, extend, map_rows
+from .arrow import Remembered, as_bytes, extend, kept, map_rows
 
 FLUSH = 500_000     # distinct pre-tokens that a task holds before it passes its counts on
 HEAD_ROWS = 200_000  # most frequent pre-tokens that every task knows ...
 HEAD_BYTES = 64      # ... of at most this many bytes each: a bound of 12.8 MB
-KNOWN_PARTS = 250_000  # plain parts whose ids a worker remembers, and as many older ones
-KNOWN_WORDS = 350_000  # the same for words
+KNOWN_PARTS = 48 << 20  # bytes of plain parts and their ids that a worker remembers
+KNOWN_WORDS = 64 << 20  # the same for words
 
 
 @lru_cache(maxsize=2)
@@ -50,24 +50,6 @@ def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class Remembered(dict):
-    """Values computed by ``make`` on first use. Beyond ``bound`` entries the older half is asked before it goes."""
-
-    def __init__(self, make: Callable, bound: int):
-        super().__init__()
-        self.make, self.bound, self.older = make, bound, {}
-
-    def __missing__(self, key):
-        if len(self) >= self.bound:
-            self.older = dict(self)
-            self.clear()
-        value = self.older.get(key)
-        if value is None:
-            value = self.make(key)
-        self[key] = value
-        return value
-
-
 class WordEncoder:
     """Packed token ids of words; plain words go straight to the tokenizer's model, which is several times faster."""
 
@@ -94,10 +76,9 @@ class WordEncoder:
         return b"".join(map(self.words.__getitem__, text.split()))
 
 
-@lru_cache(maxsize=1)
 def word_encoder(path: str) -> WordEncoder:
     """One encoder for all tasks of a worker process, so that words stay known between them."""
-    return WordEncoder(path)
+    return kept(("words", path), lambda: WordEncoder(path))
 
 
 def word_frequencies(rows: Iterator[dict]) -> Iterator[tuple]:

@@ -15,15 +15,15 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
-from .arrow import as_bytes, extend, map_rows
+from .arrow import Remembered, as_bytes, extend, kept, map_rows
 
 SAMPLE_DOCS = 6_000   # labelled rows of either label that the machine is fitted on
 HASH_BITS = 24
 MIN_DOCS = 5          # sampled documents that must hold a term; every such term gets a weight and a vector
 FACTORS = 8
-PAIR_TERMS = 32       # from so many terms on, the pairs of a text weigh less each, for they grow with the square
+PAIR_TERMS = 32       # the pairs of a text of n terms weigh 32 / (32 + n) each, for they grow with the square
 PREFIXES = (4, 5, 6)
-CACHE_WORDS = 150_000
+KNOWN_WORDS = 48 << 20  # bytes of words and their places that a task remembers
 THRESHOLD = 0.3
 
 WORD = re.compile(r"\w+")
@@ -43,13 +43,13 @@ def words_of(text: bytes) -> set[str]:
 
 
 def pair_share(n):
-    return np.minimum(1.0, PAIR_TERMS / np.maximum(n, 1))
+    return PAIR_TERMS / (PAIR_TERMS + n)
 
 
 class Machine:
     """score = sigmoid(bias + sum of weights + pairwise inner products of the vectors of a text's terms).
 
-    In a text of n > PAIR_TERMS terms the pairs count PAIR_TERMS / n each.
+    In a text of n terms the pairs count PAIR_TERMS / (PAIR_TERMS + n) each, at every length.
     """
 
     def __init__(self, terms: np.ndarray, bias: float, weights: np.ndarray, vectors: np.ndarray):
@@ -124,7 +124,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on at most ``sample_docs`` rows of either label, drawn by hash of the id, whose crc32(id) mod 4 is not 2.
 
     An id counts as toxic if any of its labels says so. Rows of the rarer label are not weighed up: each label counts
-    with its share among all usable labelled rows. Every term that stands in ``min_docs`` sampled rows takes part, however
+    with its share among all usable labelled rows. Of the rows that repeat an id the smallest text is taken. Every term that stands in ``min_docs`` sampled rows takes part, however
     its rates under the labels compare. None if one of the labels does not occur.
     """
     known = (labels.where("toxic IS NOT NULL").groupBy(F.col(id_col).alias("__tx_id"))
@@ -145,7 +145,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             found = {h for w in words_of(row["t"]) for h in terms_of_word(w)}
             yield row["y"], sorted(found)
 
-    rows = docs.join(drawn, F.col(id_col) == F.col("__tx_id")).select("y", as_bytes(text_col).alias("t"))
+    # One text per id: an id that is repeated without end is one sampled row.
+    rows = (docs.join(drawn, F.col(id_col) == F.col("__tx_id")).groupBy("__tx_id")
+            .agg(F.max("y").alias("y"), F.min(F.col(text_col)).alias("t")).select("y", as_bytes("t").alias("t")))
     sample = materialize(map_rows(rows, "y int, terms array<int>", hashes), "terms")
     sizes = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     often = (sample.select(F.explode("terms").alias("term")).groupBy("term").count()
@@ -176,17 +178,14 @@ def score(docs: DataFrame, model: Machine | None, keep: Sequence[str] = ("doc_id
     keep = list(keep)
 
     def rate(rows: Iterator[dict]) -> Iterator[tuple]:
-        known: dict[str, tuple] = {}
+        known = kept(("toxicity", id(model)), lambda: Remembered(
+            lambda word: tuple(model.place[h] for h in terms_of_word(word) if h in model.place), KNOWN_WORDS))
         for row in rows:
             value = 0.0
             if model is not None:
                 at: set[int] = set()
                 for word in words_of(row["__tx_text"]):
-                    if (places := known.get(word)) is None:
-                        if len(known) > CACHE_WORDS:
-                            known = {}
-                        places = known[word] = tuple(model.place[h] for h in terms_of_word(word) if h in model.place)
-                    at.update(places)
+                    at.update(known[word])
                 value = model.score(np.array(sorted(at), np.int64))
             yield *(row[c] for c in keep), value, int(value >= threshold)
 

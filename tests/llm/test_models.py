@@ -90,7 +90,8 @@ def test_score_is_the_sum_over_pairs():
     rng = np.random.default_rng(1)
     model = toxicity.Machine(np.arange(5), 0.1, rng.normal(size=5), rng.normal(size=(5, 3)))
     at = np.array([0, 2, 3])
-    total = 0.1 + model.weights[at].sum() + sum(model.vectors[a] @ model.vectors[b] for a in at for b in at if a < b)
+    pairs_sum = sum(model.vectors[a] @ model.vectors[b] for a in at for b in at if a < b)
+    total = 0.1 + model.weights[at].sum() + 32 / (32 + 3) * pairs_sum  # pairs weigh 32 / (32 + n) at every length
     assert model.score(at) == pytest.approx(1 / (1 + np.exp(-total)))
 
 
@@ -171,3 +172,33 @@ def test_fitted_moves_carry_a_state_over_lines_without_evidence():
     features[:, :3, 1] = np.where(states[:, :3] == 1, 1, -1)
     model = fit(features, states, np.ones((n, length), bool))
     assert all((model.viterbi(f) == s).all() for f, s in zip(features, states))
+
+
+def test_what_workers_remember_is_bounded_in_bytes():
+    from panelspark.llm import arrow
+    asked = []
+    known = arrow.Remembered(lambda key: asked.append(key) or key * 2, 20_000)
+    for i in range(5000):
+        assert known[b"%d" % (i % 700)] == b"%d" % (i % 700) * 2
+    held = {**known.older, **known}
+    assert sum(len(k) + arrow.cost(v) + arrow.ENTRY for k, v in held.items()) <= 2 * 20_000
+    assert known[b"x" * 65] == b"x" * 130 and b"x" * 65 not in known  # long words are not kept
+    first = arrow.kept(("a",), dict)
+    assert arrow.kept(("a",), dict) is first
+    arrow.kept(("b",), dict)
+    assert arrow.kept(("a",), dict) is not first  # another stage's memory has gone
+
+
+def test_lines_far_down_and_repeated_ids_in_training(spark):
+    """Boilerplate that begins after line 256 is learnt, and a drawn id that is repeated counts once."""
+    good = "\n".join(f"this is an ordinary line number {i} that ends well." for i in range(6))
+    bad = "\n".join([f"this is an ordinary line number {i} that ends well." for i in range(300)]
+                    + ["$$ ## BUY | NOW | ## $$"] * 900)
+    docs = [(i, good.replace("6", str(i)) if i % 2 else bad) for i in range(40)] + [(1, good)] * 300
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    model = quality.train(frame, labels)
+    new = spark.createDataFrame([(1, good + "\nand one line more, all of it text."), (2, "\n".join(["$$ ## BUY | NOW | ## $$ x%d" % i for i in range(40)]))],
+                                "doc_id bigint, text string")
+    share = {r["doc_id"]: r["content_share"] for r in quality.assess(new, model).collect()}
+    assert share[1] > 0.5 > share[2]
