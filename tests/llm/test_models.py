@@ -191,14 +191,14 @@ def test_what_workers_remember_is_bounded_in_bytes():
 
 def test_lines_far_down_and_repeated_ids_in_training(spark):
     """Boilerplate that begins after line 256 is learnt, and a drawn id that is repeated counts once."""
-    good = "\n".join(f"this is an ordinary line number {i} that ends well." for i in range(6))
-    bad = "\n".join([f"this is an ordinary line number {i} that ends well." for i in range(300)]
+    good = "\n".join(f"this is an ordinary line number {i} that ends well." for i in range(600))
+    bad = "\n".join([f"this is an ordinary line number {i} that ends well." for i in range(260)]
                     + ["$$ ## BUY | NOW | ## $$"] * 900)
     docs = [(i, good.replace("6", str(i)) if i % 2 else bad) for i in range(40)] + [(1, good)] * 300
     frame = spark.createDataFrame(docs, "doc_id bigint, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
     model = quality.train(frame, labels)
-    new = spark.createDataFrame([(1, good + "\nand one line more, all of it text."), (2, "\n".join(["$$ ## BUY | NOW | ## $$ x%d" % i for i in range(40)]))],
-                                "doc_id bigint, text string")
+    sold = "\n".join(f"$$ ## BUY | NOW | ## $$ x{i}" for i in range(40))
+    new = spark.createDataFrame([(1, good + "\nand one line more, all of it text."), (2, sold)], "doc_id bigint, text string")
     share = {r["doc_id"]: r["content_share"] for r in quality.assess(new, model).collect()}
     assert share[1] > 0.5 > share[2]
