@@ -39,6 +39,17 @@ def extract_links(pages: DataFrame, targets: Sequence[str], base_url: str = "",
     return found.groupBy(*keys, "url").agg(F.min("text").alias("text")) if by_url else found.distinct()
 
 
+MAX_COLSPAN, MAX_ROWSPAN = 1_000, 65_534  # as browsers read them: a wider cell covers one column, a longer one so many rows
+
+
+def _span(text: str | None, most: int) -> int:
+    digits = (text or "").strip()
+    if not (digits.isascii() and digits.isdigit()):
+        return 1
+    wide = int(digits) if len(digits) < 10 else most + 1
+    return wide if wide <= most else 1 if most == MAX_COLSPAN else most
+
+
 class _Tables(HTMLParser):
     """Collects the tables of a page: their class, and cells with their row, span, tag, tip and section."""
 
@@ -63,7 +74,7 @@ class _Tables(HTMLParser):
             self._open[-1]["rows"].append({"section": self._open[-1]["section"], "cells": []})
             self._cell = None
         elif tag in ("td", "th") and self._open[-1]["rows"]:
-            span = [int(attributes[a]) if (attributes.get(a) or "").isdigit() else 1 for a in ("colspan", "rowspan")]
+            span = [_span(attributes.get(a), most) for a, most in (("colspan", MAX_COLSPAN), ("rowspan", MAX_ROWSPAN))]
             self._cell = {"tag": tag, "text": [], "span": span,
                           "tip": attributes.get("data-tip") or attributes.get("title") or ""}
             self._open[-1]["rows"][-1]["cells"].append(self._cell)

@@ -133,6 +133,13 @@ def test_table_cells(spark):
     assert [tuple(r) for r in wide] == [(7, 1, "x", "z z"), (7, 2, "x", "w")]
 
 
+def test_hostile_spans(spark):
+    page = ("<table><tr><th>a</th><th colspan='10000000'>b</th><th colspan='2'>c</th><th colspan='\u00b2'>d</th></tr>"
+            f"<tr><td rowspan='{'9' * 5000}'>1</td><td>2</td><td>3</td><td>4</td><td>5</td></tr><tr><td>6</td></tr></table>")
+    cells = pages._grid(pages._tables(page)[0]["rows"])
+    assert cells == [["a", "b", "c", "c", "d"], ["1", "2", "3", "4", "5"], ["1", "6"]]
+
+
 def test_glossary(spark):
     first = ("<table><thead><tr><th title='wrong'>A</th></tr></thead></table><table class='sortable stats_table'><thead>"
              "<tr><th title='Over'>Group</th></tr><tr><th data-tip='<b>Goals</b>&amp;nbsp;scored'>Gls</th><th>Rk</th>"
