@@ -9,7 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from panelspark.llm import bpe, packing, token_counts
+from panelspark.llm import arrow, bpe, packing, token_counts
 from panelspark.llm.token_counts import load
 
 from cases import edge_docs, edge_rows, empty_docs, pairs
@@ -50,11 +50,11 @@ def test_plain_words_equal_the_library():
 
 def test_remembered_values_are_bounded_and_kept_while_used():
     made = []
-    known = token_counts.Remembered(lambda k: made.append(k) or k * 2, 3)
-    for key in (1, 2, 3, 1, 4, 1, 5, 1, 6, 1, 2):
+    known = arrow.Remembered(lambda k: made.append(k) or k * 2, 6 * (arrow.ENTRY + 3))  # bytes of three entries and three older
+    for key in (b"1", b"2", b"3", b"1", b"4", b"1", b"5", b"1", b"6", b"1", b"2"):
         assert known[key] == key * 2
         assert len(known) <= 3 and len(known.older) <= 3
-    assert made == [1, 2, 3, 4, 5, 6, 2]
+    assert made == [b"1", b"2", b"3", b"4", b"5", b"6", b"2"]
 
 
 @pytest.mark.parametrize("group_rows", [4, 10_000])
