@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from panelspark.operators import nations, panel as P
 from panelspark.plans import refresh
 from panelspark.plans.staging import CATEGORIES, DECIMAL, WHOLE
-from panelspark.sources import files, pages
+from panelspark.sources import files, pages, runs
 from panelspark.sources.names import normalize_names
 
 COMMON = ["Unnamed: 0_level_0_Rk", "Unnamed: 1_level_0_Player", "Unnamed: 2_level_0_Nation", "Unnamed: 3_level_0_Pos",
@@ -73,6 +73,102 @@ def test_build_and_refresh(spark, tmp_path):
     assert trend.yoy_change_scoring == pytest.approx(80 / 13.3)
 
 
+def rows_of(marts):
+    return {n: sorted(map(str, df.select(*sorted(df.columns)).collect())) for n, df in marts.items()}
+
+
+def test_refresh_that_dies_leaves_the_published_marts(spark, tmp_path, monkeypatch):
+    raw, target = tmp_path / "raw", str(tmp_path / "marts")
+    write_season(raw, "2023-2024", 10)
+    write_season(raw, "2024-2025", 20)
+    before = rows_of(refresh.build(spark, str(raw), target))
+    write_season(raw, "2024-2025", 50)
+
+    def dies(_):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as patch:
+        patch.setattr(refresh.M, "consistency_mart", dies)  # seven marts of the new run are written by then
+        with pytest.raises(RuntimeError, match="lost"):
+            refresh.refresh(spark, str(raw), target, ["2024-2025"])
+    assert rows_of(refresh.open_marts(spark, target)) == before
+    # A manifest that its writer did not finish is passed over, and its number is not taken again.
+    (tmp_path / "marts" / runs.MANIFESTS / "2.json").write_text('{"players": ')
+    assert rows_of(refresh.open_marts(spark, target)) == before
+    after = rows_of(refresh.refresh(spark, str(raw), target, ["2024-2025"]))
+    assert runs.manifest_numbers(runs.Files(spark, target), target) == [1, 2, 3]
+    assert after == rows_of(refresh.build(spark, str(raw), str(tmp_path / "anew")))
+    gone = runs.drop_old_runs(spark, target, keep=1)
+    assert len(gone) == len({g for g in gone if "/run=00000" in g}) > 0
+    assert rows_of(refresh.open_marts(spark, target)) == after
+    assert runs.drop_old_runs(spark, target, keep=1) == []
+
+
+def test_refresh_derives_only_the_entities_it_touches(spark, tmp_path, monkeypatch):
+    raw, target = tmp_path / "raw", str(tmp_path / "marts")
+    write_season(raw, "2023-2024", 10)
+    write_season(raw, "2024-2025", 20)
+    for c in CATEGORIES:  # Player 0 leaves, Player 99 comes, most others are in no replaced season
+        keeper = "goalkeeping" in c
+        write_category(raw, "2025-2026", c, [("Keeper 0", "GK", "Leeds", 0)] if keeper else [("Player 0", "FW", "Leeds", 0)], 30)
+    refresh.build(spark, str(raw), target)
+    for c in CATEGORIES:
+        keeper = "goalkeeping" in c
+        write_category(raw, "2025-2026", c, [("Keeper 0", "GK", "Leeds", 1)] if keeper else [("Player 99", "FW", "Leeds", 0)], 40)
+    seen = {}
+
+    def watched(name):
+        derive = getattr(refresh.M, name)
+
+        def run(*frames):
+            seen[name] = {r.player_name for f in frames for r in f.select("player_name").distinct().collect()}
+            return derive(*frames)
+        return run
+    with monkeypatch.context() as patch:
+        for name in ("trends_mart", "consistency_mart", "players_dim"):
+            patch.setattr(refresh.M, name, watched(name))
+        fresh = rows_of(refresh.refresh(spark, str(raw), target, ["2025-2026"]))
+    assert all(names <= {"Player 0", "Player 99", "Keeper 0"} and "Player 0" in names for names in seen.values())
+    assert len(seen) == 3
+    assert fresh == rows_of(refresh.build(spark, str(raw), str(tmp_path / "anew")))
+
+
+def test_runs(spark, tmp_path):
+    target, schema = str(tmp_path / "m"), "season_id string, goals int"
+    with pytest.raises(ValueError, match="no published marts"):
+        runs.open_all(spark, target)
+    first = runs.Run(spark, target)
+    assert first.published("m") is None
+    first.write("m", spark.createDataFrame([("a/b c", 1), ("2024", 2), (None, 3)], schema), "season_id")
+    first.write("none", spark.createDataFrame([], schema), "season_id")
+    first.publish()
+    assert runs.open_all(spark, target)["none"].count() == 0
+    rival, second = runs.Run(spark, target), runs.Run(spark, target)
+    assert [tuple(r) for r in second.published("m", ["a/b c"]).collect()] == [(1, "a/b c")]
+    added = second.write("m", spark.createDataFrame([("2025", 9)], schema), "season_id", ["a/b c", "2025"])
+    assert [tuple(r) for r in added.collect()] == [(9, "2025")]
+    second.publish()
+    assert sorted(map(str, runs.open_all(spark, target)["m"].collect())) == [
+        "Row(goals=2, season_id='2024')", "Row(goals=3, season_id=None)", "Row(goals=9, season_id='2025')"]
+    with pytest.raises(RuntimeError, match="another run"):
+        rival.publish()
+
+
+def test_headers_of_many_files_take_one_job(spark, tmp_path):
+    heads = ["Player,Gls", "Player,\"Gls\"", "Player,Ast"]
+    for i in range(60):
+        (tmp_path / f"x_{i:02}.csv").write_text(f"{heads[i % 3]}\n" + f"A,{i}\n" * 3)
+    (tmp_path / "x_60.csv").write_text("\n  \nPlayer,Ast\nA,60\n")
+    (tmp_path / "x_61.csv").write_text("")
+    (tmp_path / "x_62.csv").write_text("Player,Gls\n" + "A,62\n" * 300_000)
+    (tmp_path / "x_63 é.csv").write_text("Player,Gls")
+    spark.sparkContext.setJobGroup("headers", "")
+    found = files.headers_of(spark, f"{tmp_path}/x_*.csv")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {h: len(p) for h, p in found.items()} == {("Player", "Gls"): 42, ("Player", "Ast"): 21, (): 1}
+    assert sum(len(p) for p in found.values()) == 64 and len(jobs) <= 1 + 5  # and one per different first line
+
+
 def test_read_category_keeps_text(spark, tmp_path):
     folder = tmp_path / "2025-2026"
     folder.mkdir()
