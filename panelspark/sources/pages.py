@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from html.parser import HTMLParser
 from itertools import islice
 
@@ -62,7 +62,7 @@ class _Tables(HTMLParser):
     def handle_starttag(self, tag, attrs):
         attributes = dict(attrs)
         if tag == "table":
-            table = {"class": (attributes.get("class") or "").split(), "rows": [], "section": ""}
+            table = {"class": (attributes.get("class") or "").split(), "rows": [], "section": "", "open": True}
             self.tables.append(table)
             self._open.append(table)
             self._cell = None
@@ -83,7 +83,7 @@ class _Tables(HTMLParser):
 
     def handle_endtag(self, tag):
         if tag == "table" and self._open:
-            self._open.pop()
+            self._open.pop()["open"] = False
         elif tag in ("thead", "tbody", "tfoot") and self._open:
             self._open[-1]["section"] = ""
         if tag in ("td", "th", "tr", "table"):
@@ -94,9 +94,16 @@ class _Tables(HTMLParser):
             self._cell["text"].append(data)
 
 
-def _tables(page: str | None) -> list[dict]:
-    parser = _Tables()
-    parser.feed(page or "")
+PIECE = 1 << 16  # code points of a page parsed at a time
+
+
+def _tables(page: str | None, done: Callable[[list[dict]], bool] = lambda _: False, piece: int = PIECE) -> list[dict]:
+    """Tables of a page in the order they open; the page is read until they are enough."""
+    parser, page = _Tables(), page or ""
+    for start in range(0, len(page), piece):
+        parser.feed(page[start:start + piece])
+        if done(parser.tables):
+            return parser.tables
     parser.close()
     return parser.tables
 
@@ -132,7 +139,7 @@ def _grid(rows: list[dict]) -> list[list[str]]:
 
 def _first_table(page: str | None) -> list[tuple[int, int, str, str | None]]:
     """(row number, column number, flattened column name, value) of the first table."""
-    tables = _tables(page)
+    tables = _tables(page, lambda found: bool(found) and not found[0]["open"])
     if not tables:
         return []
     rows = [r for r in tables[0]["rows"] if r["cells"]]
@@ -186,7 +193,7 @@ def table_rows(cells: DataFrame, columns: Sequence[str], key: str = "page_id") -
 
 def _glossary(page: str | None) -> list[tuple[int, str, str]]:
     """(position, column name, raw tooltip) of the header cells of the page's statistics table."""
-    tables = _tables(page)
+    tables = _tables(page, lambda found: next((not t["open"] for t in found if "stats_table" in t["class"]), False))
     chosen = next((t for t in tables if "stats_table" in t["class"]), tables[0] if tables else None)
     if chosen is None:
         return []

@@ -55,6 +55,25 @@ def test_equality(spark):
     assert found(Q.equality(a, b, ["id"])) == [("a_minus_b", 2), ("b_minus_a", 3), ("b_minus_a", 4)]
 
 
+def test_equality_shuffles_rows_of_differing_buckets_only(spark):
+    a = spark.range(20_000).select("id", (F.col("id") % 7).cast("string").alias("v"))
+    b = a.withColumn("v", F.when(F.col("id") == 77, "changed").otherwise(F.col("v")))
+    assert found(Q.equality(a, b)) == [("a_minus_b", 77, "0"), ("b_minus_a", 77, "changed")]
+    assert found(Q.equality(a, a.unionByName(a))) == []  # repeated rows change digests, not the result
+    assert found(Q.equality(a, a.repartition(5))) == []
+    zeros = frame(spark, "x double", 0.0, float("nan"), None)
+    assert found(Q.equality(zeros, frame(spark, "x double", -0.0, float("nan"), None))) == []
+    assert found(Q.equality(zeros.where("false"), a.select(F.col("id").cast("double").alias("x")).limit(1))) == [("b_minus_a", 0.0)]
+    # copies that would cancel out in an exclusive or
+    assert found(Q.equality(frame(spark, "x int", 1, 1), frame(spark, "x int", 2, 2))) == [("a_minus_b", 1), ("b_minus_a", 2)]
+
+    def kept(left, right):
+        both = left.withColumns({"__a": F.lit(1)}).unionByName(right.withColumns({"__a": F.lit(0)})).withColumn(
+            "__bucket", F.pmod(F.xxhash64("id", "v"), F.lit(Q.DIGEST_BUCKETS)))
+        return both.join(Q._differing_buckets(both, ["id", "v"]), "__bucket", "left_semi").count()
+    assert kept(a, a) == 0 and 0 < kept(a, b) < 100
+
+
 def test_expression(spark):
     df = frame(spark, "a double, b double", (0.5, 0.5), (0.5, 0.6), (None, 1.0))
     assert found(Q.expression_is_true(df, "a + b = 1")) == [(0.5, 0.6)]

@@ -236,6 +236,28 @@ def test_hostile_spans(spark):
     assert cells == [["a", "b", "c", "c", "d"], ["1", "2", "3", "4", "5"], ["1", "6"]]
 
 
+def test_tables_are_read_in_pieces_and_no_further_than_needed(monkeypatch):
+    inner = "<table><tr><td>x &amp; y</td></tr></table>"
+    page = (f"<p>a</p><table class='big'><thead><tr><th title='t'>A</th></tr></thead><tr><td>1{inner}</td><td>2</td></tr></table>"
+            "<script>if (a < b) '<table>'</script><table class='stats_table'><thead><tr><th data-tip='u'>B</th></tr></thead></table>"
+            f"<!-- <table> --> {inner}")
+    def joined(tables):
+        return [{**t, "rows": [{**r, "cells": [{**c, "text": "".join(c["text"])} for c in r["cells"]]} for r in t["rows"]]}
+                for t in tables]
+    for piece in (1, 7, 64):
+        assert joined(pages._tables(page, piece=piece)) == joined(pages._tables(page))
+        monkeypatch.setattr(pages._tables, "__defaults__", (pages._tables.__defaults__[0], piece))
+        assert pages._first_table(page) == [(1, 0, "A", "1"), (1, 1, "Unnamed: 1", "2")]
+        assert pages._glossary(page) == [(1, "B", "u")]
+    first = pages._tables(page, lambda found: bool(found) and not found[0]["open"], 8)
+    assert len(first) < len(pages._tables(page)) and not first[0]["open"]
+    read = []
+    feed = pages._Tables.feed
+    monkeypatch.setattr(pages._Tables, "feed", lambda self, text: (read.append(len(text)), feed(self, text)))
+    monkeypatch.setattr(pages._tables, "__defaults__", (pages._tables.__defaults__[0], pages.PIECE))
+    assert len(pages._first_table(page + "<p>more</p>" * 1_000_000)) == 2 and sum(read) <= pages.PIECE
+
+
 def test_glossary(spark):
     first = ("<table><thead><tr><th title='wrong'>A</th></tr></thead></table><table class='sortable stats_table'><thead>"
              "<tr><th title='Over'>Group</th></tr><tr><th data-tip='<b>Goals</b>&amp;nbsp;scored'>Gls</th><th>Rk</th>"
