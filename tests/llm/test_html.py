@@ -2,10 +2,11 @@
 
 import html
 import re
+import time
 
 import pytest
 
-from panelspark.llm import html_extraction
+from panelspark.llm import html_extraction, queries
 from panelspark.suite.registry import table
 
 SF = "/root/testdata/sf0.01"
@@ -47,13 +48,47 @@ def test_main_text(page):
     assert html_extraction.main_text(page) == PAGES[page]
 
 
+def article_of(page):
+    article = re.search(r"<article>(.*?)</article>", page, re.S)[1]
+    parts = re.split(r"</?(?:p|h1)>", re.sub(r"</?b>", "", article.replace("<br>", " ")))
+    blocks = (" ".join(html.unescape(p).split()) for p in parts)
+    return "\n".join(b for b in blocks if b)
+
+
 def test_given_pages_give_their_article(spark):
     pages = table(spark, SF, "pages")
     for row in html_extraction.extract(pages, ["page_id", "html"]).collect():
-        article = re.search(r"<article>(.*?)</article>", row.html, re.S)[1]
-        parts = re.split(r"</?(?:p|h1)>", re.sub(r"</?b>", "", article.replace("<br>", " ")))
-        blocks = (" ".join(html.unescape(p).split()) for p in parts)
-        assert row.text == "\n".join(b for b in blocks if b)
+        assert row.text == article_of(row.html)
+
+
+def test_ratios_find_the_article_without_telling_tags_and_names(spark):
+    pages = [r.html for r in table(spark, SF, "pages").collect()]
+    plain = [re.sub(r"<(/?)(?:article|nav|footer|header|aside)>", r"<\1div>", p).replace(' class="ad"', "") for p in pages]
+    same = sum(html_extraction.main_text(p) == article_of(page) for page, p in zip(pages, plain))
+    assert same >= 0.95 * len(pages)
+
+
+@pytest.mark.parametrize("page", [
+    "<div><p>a b, c." * 20_000, "".join(f"<div class='c{i}'>x" for i in range(20_000)), "<div class='ad'>x, y." * 20_000,
+    "<p><table>" + "<div>x, y." * 20_000, "<ul><li>" + "<span>x, y." * 20_000, "</p></div>" * 50_000])
+def test_time_is_in_proportion_to_the_page(page):
+    start = time.process_time()
+    html_extraction.main_text(page)
+    assert time.process_time() - start < 10
+
+
+def test_adverts_of_pages_with_an_empty_article_are_no_text():
+    page = "<nav><a href='/'>Home</a></nav><div class='ad'>Buy now, all of it. Really.</div><article><h1></h1></article>"
+    assert html_extraction.main_text(page) == ""
+
+
+def test_query_has_the_columns_of_its_contract(spark):
+    got = queries.QUERIES["op8_html_extraction"](spark, SF)
+    assert got.dtypes[:4] == [("page_id", "bigint"), ("url", "string"), ("text", "string"), ("n_chars", "bigint")]
+    pages = {r.page_id: r.html for r in table(spark, SF, "pages").collect()}
+    rows = got.collect()
+    assert sorted(r.page_id for r in rows) == sorted(pages)
+    assert all(r.text == article_of(pages[r.page_id]) and r.n_chars == len(r.text) for r in rows)
 
 
 def test_edge_rows(spark):
