@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, insort
+from collections import Counter
 from collections.abc import Iterator, Sequence
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -21,7 +23,6 @@ from .token_counts import packed, word_encoder
 
 LIMIT = 2048
 GROUP_ROWS = 16_384  # pieces that one task packs together
-TRIES = 8            # emptiest bins in a row without an exchange that end the search
 
 
 def pieces_of(docs: DataFrame, path: str, keep: Sequence[str], text_col: str, limit: int, end_id: int,
@@ -76,82 +77,106 @@ class Bins:
         return self.order[at][1] if at < len(self.order) else None
 
 
-def best_swap(giver: list[int], taker: list[int], room: int, lengths: Sequence[int]
-              ) -> tuple[list[int], list[int], int] | None:
-    """What leaves the giver, what leaves the taker, and by how much the taker grows: the most up to ``room``.
+class Offers:
+    """What underfull bins hand back when they take something, by its length: nothing or one item, or two items.
 
-    Candidates are a move, one for one, two for one and one for two.
+    ``reach`` holds for every length handed back the most that a bin can then take, -1 where no bin offers it.
     """
-    best = None
-
-    def offer(out: list[int], back: list[int]) -> bool:
-        nonlocal best
-        gain = sum(lengths[i] for i in out) - sum(lengths[i] for i in back)
-        if 0 < gain <= room and (best is None or gain > best[2]):
-            best = (out, back, gain)
-        return best is not None and best[2] == room
-
-    mine = sorted((lengths[i], i) for i in giver)
-    sizes = [n for n, _ in mine]
-
-    def largest(upto: int, taken: int | None = None) -> int | None:
-        at = bisect_left(sizes, upto + 1) - 1
-        if at >= 0 and mine[at][1] == taken:
-            at -= 1
-        return mine[at][1] if at >= 0 else None
-
-    def pairs_upto(upto: int) -> Iterator[list[int]]:
-        for n, i in mine:
-            other = largest(upto - n, i)
-            if other is not None:
-                yield [i, other]
-
-    if (one := largest(room)) is not None and offer([one], []):
-        return best
-    for pair in pairs_upto(room):
-        if offer(pair, []):
-            return best
-    for back in taker:
-        if (one := largest(room + lengths[back])) is not None and offer([one], [back]):
-            return best
-    for back in taker:
-        for pair in pairs_upto(room + lengths[back]):
-            if offer(pair, [back]):
-                return best
-    for at, a in enumerate(taker):
-        for b in taker[at + 1:]:
-            if (one := largest(room + lengths[a] + lengths[b])) is not None and offer([one], [a, b]):
-                return best
-    return best
-
-
-def local_search(bins: Bins, lengths: Sequence[int], least: int, tries: int = TRIES) -> None:
+
+    def __init__(self, limit: int):
+        self.reach = [np.full(limit + 1, -1, np.int64) for _ in range(2)]
+        self.heaps: list[dict[int, list]] = [{}, {}]  # by length: (-free room, bin, version, lengths handed back)
+        self.version: dict[int, int] = {}
+        self.listed: dict[int, tuple[dict, dict]] = {}
+
+    def put(self, b: int, free: int, sizes: Counter) -> None:
+        self.version[b] = self.version.get(b, 0) + 1
+        self.listed[b] = ({0: (), **{n: (n,) for n in sizes}}, pairs_of(sizes))
+        for kind, ways in enumerate(self.listed[b]):
+            for total, back in ways.items():
+                heappush(self.heaps[kind].setdefault(total, []), (-free, b, self.version[b], back))
+                self._settle(kind, total)
+
+    def drop(self, b: int) -> None:
+        self.version[b] += 1
+        for kind, ways in enumerate(self.listed.pop(b)):
+            for total in ways:
+                self._settle(kind, total)
+
+    def _settle(self, kind: int, total: int) -> None:
+        heap = self.heaps[kind][total]
+        while heap and heap[0][2] != self.version[heap[0][1]]:
+            heappop(heap)
+        self.reach[kind][total] = total - heap[0][0] if heap else -1
+
+    def best(self, sizes: Counter) -> tuple[int, tuple, tuple] | None:
+        """Taker, lengths that leave the giver and lengths that come back, so that the taker grows the most.
+
+        A move, one for one, two for one or one for two; all bins are looked at by one search per kind.
+        """
+        pairs = pairs_of(sizes)
+        most, found = 0, None
+        for kind, reach in enumerate(self.reach):
+            upto = np.maximum.accumulate(reach)
+            for ways in ({n: (n,) for n in sizes}, pairs)[:2 - kind]:
+                totals = np.fromiter(ways, np.int64, len(ways))
+                back = np.searchsorted(upto, totals)  # the least that must come back
+                if len(totals) and (totals - back).max() > most:
+                    at = int((totals - back).argmax())
+                    most = int(totals[at] - back[at])
+                    _, taker, _, lengths = self.heaps[kind][int(back[at])][0]
+                    found = taker, ways[int(totals[at])], lengths
+        return found
+
+
+def pairs_of(sizes: Counter) -> dict[int, tuple[int, int]]:
+    """Sums of two items of a bin. Different lengths in a bin are few, at most the root of twice its capacity."""
+    order = sorted(sizes)
+    return {a + b: (a, b) for at, a in enumerate(order) for b in order[at:] if a != b or sizes[a] > 1}
+
+
+def local_search(bins: Bins, lengths: Sequence[int], least: int) -> None:
     """Raise squared fill between underfull bins until ``least`` bins remain or no exchange helps.
 
-    The emptiest bin gives, fuller bins take, fullest first. Every exchange makes the fuller bin fuller, so the sum
-    of squared fills rises strictly and the search ends. It stops as soon as the ``tries`` emptiest bins, one after
-    the other, find no bin to give to.
+    The emptiest bin gives to bins at least as full, the exchange that moves most first, until it is empty or finds no
+    taker; then the next one gives. Every exchange makes the fuller bin fuller, so the sum of squared fills rises
+    strictly and the search ends: with a round in which every underfull bin was the giver and none found a taker.
     """
     filled = sum(1 for items in bins.items if items)
-    stuck: set[int] = set()
-    while filled > least and len(stuck) < tries:
-        giver = next((b for _, b in reversed(bins.order) if b not in stuck), None)
-        if giver is None:
-            return
+    improved = True
+    while improved and filled > least:
         improved = False
-        for room, taker in list(bins.order):
-            if taker == giver or room > bins.free[giver]:  # an emptier taker would lower the squared fill
+        offers, givers = Offers(bins.limit), []
+        held = {b: Counter(lengths[i] for i in bins.items[b]) for _, b in bins.order}
+        for room, b in bins.order:
+            offers.put(b, room, held[b])
+            heappush(givers, (-room, b))
+        while givers and filled > least:
+            room, giver = heappop(givers)
+            if giver not in offers.listed or -room != bins.free[giver]:
                 continue
-            found = best_swap(bins.items[giver], bins.items[taker], room, lengths)
-            if found:
-                out, back, _ = found
-                bins.change(giver, out, back, lengths)
-                bins.change(taker, back, out, lengths)
+            offers.drop(giver)
+            while held[giver] and (found := offers.best(held[giver])):
+                taker, out, back = found
+                gone, come = items_of(bins.items[giver], out, lengths), items_of(bins.items[taker], back, lengths)
+                offers.drop(taker)
+                bins.change(giver, gone, come, lengths)
+                bins.change(taker, come, gone, lengths)
+                held[giver] = held[giver] - Counter(out) + Counter(back)
+                held[taker] = held[taker] - Counter(back) + Counter(out)
+                if bins.free[taker]:
+                    offers.put(taker, bins.free[taker], held[taker])
+                    heappush(givers, (-bins.free[taker], taker))
                 improved = True
-                if not bins.items[giver]:
-                    filled -= 1
-                    break
-        stuck = set() if improved else stuck | {giver}
+            filled -= not bins.items[giver]
+
+
+def items_of(items: Sequence[int], wanted: Sequence[int], lengths: Sequence[int]) -> list[int]:
+    """Items of a bin that have the wanted lengths."""
+    out: list[int] = []
+    for n in wanted:
+        out.append(next(i for i in items if lengths[i] == n and i not in out))
+    return out
 
 
 def pack(lengths: Sequence[int], limit: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,7 +1,9 @@
 """Token counts, packing and BPE against the tokenizers library itself."""
 
 import hashlib
+import itertools
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -97,12 +99,80 @@ def test_local_search_reaches_the_least_number_of_bins():
         assert bins <= 21
 
 
-def test_best_swap_offers_moves_and_exchanges():
-    assert packing.best_swap([0], [1], 30, [30, 20]) == ([0], [], 30)
-    assert packing.best_swap([0], [1], 10, [30, 20]) == ([0], [1], 10)
-    assert packing.best_swap([0, 1], [2], 4, [6, 8, 10]) == ([0, 1], [2], 4)
-    assert packing.best_swap([0], [1, 2], 5, [25, 10, 10]) == ([0], [1, 2], 5)
-    assert packing.best_swap([0], [], 3, [4]) is None
+def offered(giver, takers):
+    offers = packing.Offers(100)
+    for b, (free, items) in enumerate(takers):
+        offers.put(b, free, Counter(items))
+    return offers.best(Counter(giver))
+
+
+def test_best_offers_are_moves_and_exchanges():
+    assert offered([30], [(30, [20])]) == (0, (30,), ())
+    assert offered([30], [(10, [20])]) == (0, (30,), (20,))
+    assert offered([6, 8], [(4, [10])]) == (0, (6, 8), (10,))
+    assert offered([25], [(5, [10, 10])]) == (0, (25,), (10, 10))
+    assert offered([4], [(3, [])]) is None
+    assert offered([30], [(10, [20]), (11, [19]), (40, [5])]) == (2, (30,), ())
+    assert offered([7, 7], [(13, [90])]) == (0, (7,), ())  # no pair fits, one of them does
+
+
+def some_exchange_helps(bins, lengths):
+    """Whether some move or exchange between two underfull bins raises the fill of the one at least as full."""
+    ways = {b: [(sum(lengths[i] for i in part), len(part)) for size in (0, 1, 2)
+                for part in itertools.combinations(items, size)] for b, items in enumerate(bins.items)}
+    return any(0 < out - back <= bins.free[t] and (m, n) != (2, 2)
+               for g, t in itertools.permutations(ways, 2)
+               if bins.items[g] and bins.items[t] and 0 < bins.free[t] <= bins.free[g]
+               for out, m in ways[g] for back, n in ways[t])
+
+
+def test_search_ends_where_no_exchange_helps():
+    rng = random.Random(4)
+    for _ in range(20):
+        lengths = [rng.randint(25, 70) for _ in range(40)]
+        bins = packing.Bins(100)
+        for item, length in enumerate(lengths):
+            bins.open(item, length)
+        packing.local_search(bins, lengths, 0)
+        assert not some_exchange_helps(bins, lengths)
+
+
+def least_bins(lengths, limit):
+    """Fewest bins by trying every place of every piece."""
+    best = len(lengths)
+
+    def place(at, free):
+        nonlocal best
+        if len(free) >= best:
+            return
+        if at == len(lengths):
+            best = len(free)
+            return
+        for b in range(len(free)):
+            if free[b] >= lengths[at]:
+                place(at + 1, free[:b] + [free[b] - lengths[at]] + free[b + 1:])
+        place(at + 1, free + [limit - lengths[at]])
+
+    place(0, [])
+    return best
+
+
+def test_small_groups_come_near_the_fewest_bins():
+    rng = random.Random(5)
+    extra = 0
+    for _ in range(60):
+        lengths = [rng.randint(10, 70) for _ in range(rng.randint(1, 9))]
+        extra += len(set(packing.pack(lengths, 100)[0].tolist())) - least_bins(lengths, 100)
+    assert 0 <= extra <= 1
+
+
+def test_many_pieces_that_best_fit_packs_badly():
+    rng = random.Random(0)
+    lengths = [rng.randint(600, 1100) for _ in range(3000)]
+    start = time.process_time()
+    number, offset = packing.pack(lengths, 2048)
+    assert time.process_time() - start < 20
+    assert check_sequences(list(zip(number.tolist(), offset.tolist(), lengths)), 2048) <= 1348
 
 
 def squares(bins, limit):
