@@ -19,19 +19,19 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
 from .arrow import as_bytes, extend, map_rows
-from .token_counts import packed, word_encoder
+from .token_counts import KNOWN_BYTES, packed, word_encoder
 
 LIMIT = 2048
 GROUP_ROWS = 16_384  # pieces that one task packs together
 
 
 def pieces_of(docs: DataFrame, path: str, keep: Sequence[str], text_col: str, limit: int, end_id: int,
-              with_ids: bool) -> DataFrame:
+              with_ids: bool, known_bytes: int = KNOWN_BYTES) -> DataFrame:
     """One row per piece: kept columns, ``piece``, ``start``, ``length``, ``ids_crc32`` and, if asked for, ``ids``."""
     keep = list(keep)
 
     def cut(rows: Iterator[dict]) -> Iterator[tuple]:
-        encoder, end = word_encoder(path), packed([end_id])
+        encoder, end = word_encoder(path, known_bytes), packed([end_id])
         for row in rows:
             ids = encoder.encode(row["__bp_text"]) + end
             for piece, at in enumerate(range(0, len(ids), 4 * limit)):
@@ -199,20 +199,21 @@ def pack(lengths: Sequence[int], limit: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pack_documents(docs: DataFrame, path: str, keep: Sequence[str] = ("doc_id",), text_col: str = "text",
-                   limit: int = LIMIT, end_id: int = 0, group_rows: int = GROUP_ROWS, with_ids: bool = False
-                   ) -> DataFrame:
+                   limit: int = LIMIT, end_id: int = 0, group_rows: int = GROUP_ROWS, with_ids: bool = False,
+                   known_bytes: int = KNOWN_BYTES) -> DataFrame:
     """Pieces of all documents with ``sequence_id`` and ``offset``: no sequence holds more than ``limit`` tokens.
 
     A document is its token ids followed by ``end_id``; only documents beyond ``limit`` are cut, the last piece may
     be shorter. Pieces are dealt evenly to ceil(pieces / group_rows) groups that are packed on their own; sequence
-    ids are unique over all groups, offsets in a sequence are gapless from 0.
+    ids are unique over all groups, offsets in a sequence are gapless from 0. A worker remembers ids of words up to
+    ``known_bytes``, which changes the time only.
 
     Null or empty text is one piece with the end id alone. Rows that repeat an id or a text are packed each; null
     ids stay. Very long texts become many pieces, of which the full ones are sequences by themselves. An empty table
     gives an empty table. Kept columns must not carry the names of added ones; other input columns are not looked at.
     """
     keep = list(keep)
-    cut = pieces_of(docs, path, keep, text_col, limit, end_id, with_ids)
+    cut = pieces_of(docs, path, keep, text_col, limit, end_id, with_ids, known_bytes)
     stored = materialize(cut.withColumn("__bp_row", F.monotonically_increasing_id()), "pieces")
     full = F.col("length") == limit
     open_rows = stored.where(~full).count()

@@ -12,6 +12,7 @@ from . import (bpe, collocations, html_extraction, jaccard, lexical_search, line
 
 SHARDS = 24
 MAX_TOKENS = 2048
+WORDS_OF_PACKING = 264 << 20  # no other stage shares its workers
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -24,7 +25,8 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.pack_documents(docs, public_tokenizers.path(WORD_BPE), limit=MAX_TOKENS)
+    return packing.pack_documents(docs, public_tokenizers.path(WORD_BPE), limit=MAX_TOKENS,
+                                  known_bytes=WORDS_OF_PACKING)
 
 
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,8 +23,7 @@ from .arrow import Remembered, as_bytes, extend, kept, map_rows
 FLUSH = 500_000     # distinct pre-tokens that a task holds before it passes its counts on
 HEAD_ROWS = 200_000  # most frequent pre-tokens that every task knows ...
 HEAD_BYTES = 64      # ... of at most this many bytes each: a bound of 12.8 MB
-KNOWN_PARTS = 48 << 20  # bytes of plain parts and their ids that a worker remembers
-KNOWN_WORDS = 64 << 20  # the same for words
+KNOWN_BYTES = 112 << 20  # bytes of words, of plain parts and of their ids that a worker remembers
 
 
 @lru_cache(maxsize=2)
@@ -53,11 +52,11 @@ def packed(ids: list[int]) -> bytes:
 class WordEncoder:
     """Packed token ids of words; plain words go straight to the tokenizer's model, which is several times faster."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, known_bytes: int = KNOWN_BYTES):
         self.tokenizer = load(path)
         self.model = self.tokenizer.model
-        self.parts = Remembered(self._part, KNOWN_PARTS)
-        self.words = Remembered(self.word, KNOWN_WORDS)
+        self.parts = Remembered(self._part, known_bytes * 3 // 7)
+        self.words = Remembered(self.word, known_bytes * 4 // 7)
 
     def _part(self, text: str) -> bytes:
         """Ids of a piece of text that the tokenizer would not split further."""
@@ -76,9 +75,9 @@ class WordEncoder:
         return b"".join(map(self.words.__getitem__, text.split()))
 
 
-def word_encoder(path: str) -> WordEncoder:
+def word_encoder(path: str, known_bytes: int = KNOWN_BYTES) -> WordEncoder:
     """One encoder for all tasks of a worker process, so that words stay known between them."""
-    return kept(("words", path), lambda: WordEncoder(path))
+    return kept(("words", path, known_bytes), lambda: WordEncoder(path, known_bytes))
 
 
 def word_frequencies(rows: Iterator[dict]) -> Iterator[tuple]:
