@@ -8,6 +8,7 @@ from panelspark.plans import refresh
 from panelspark.plans.staging import CATEGORIES, DECIMAL, WHOLE
 from panelspark.sources import files, pages, runs
 from panelspark.sources.names import normalize_names
+from panelspark.suite import build_queries
 
 COMMON = ["Unnamed: 0_level_0_Rk", "Unnamed: 1_level_0_Player", "Unnamed: 2_level_0_Nation", "Unnamed: 3_level_0_Pos",
           "Unnamed: 4_level_0_Squad", "Unnamed: 5_level_0_Comp", "Unnamed: 6_level_0_Age", "Unnamed: 7_level_0_Born"]
@@ -308,3 +309,35 @@ def test_history_prefers_keepers(spark):
 def test_stamp_load(spark):
     stamp = files.stamp_load(spark.range(1)).first()["processed_at"]
     assert abs((dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - stamp).total_seconds()) < 86400
+
+
+def test_period_of_equals_the_pattern_on_the_whole_path(spark):
+    paths = ["file:/a/b/c/2023-2024/x.csv", "/r/season=2023/x.csv", "/a=b=c/x.csv", "2023/x.csv", "/2023/x.csv", "/x.csv",
+             "x.csv", "", None, "/a/=2023/x.csv", "/a//x.csv", "s3://b/season=2023/x.csv", "/a/2023/"]
+    found = spark.createDataFrame([(p,) for p in paths], "path string").select(
+        files.period_of(F.col("path")).alias("cut"), F.regexp_extract("path", r"/(?:[^/=]+=)?([^/=]+)/[^/]+$", 1).alias("whole"))
+    rows = found.collect()
+    assert [r.cut for r in rows] == [r.whole for r in rows]
+    assert rows[0].cut == "2023-2024" and rows[1].cut == "2023"
+    assert "substring_index" in str(files.period_of(F.col("path")))  # the pattern sees the end of a path only
+
+
+def test_raw_categories_share_one_shuffle(spark, monkeypatch):
+    rows = spark.createDataFrame(
+        [("p", "s", str(1990 + i % 3), "name", "eng ENG", "GK" if i % 2 else "FW", "eng L", 20, 2000, i) for i in range(40)],
+        "player_id string, squad string, season_id string, player_name string, nation string, primary_position string, "
+        "competition string, age int, birth_year int, goals bigint")
+    monkeypatch.setattr(build_queries, "panel_with_keepers", lambda spark, sf: rows)
+    context = spark.sparkContext
+    context.setJobGroup("raw categories", "")
+    try:
+        root = build_queries.write_raw(spark, "")
+        jobs = len(context.statusTracker().getJobIdsForGroup("raw categories"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= len(build_queries.WHOLE) + 3  # a shuffle of its own is one more job for each category
+    for category in build_queries.WHOLE:
+        stored = files.read_category(spark, f"{root}/{category}/*/*.csv").groupBy("season_id").count().collect()
+        keepers = category in build_queries.KEEPER_CATEGORIES
+        expected = {"1990": 14, "1991": 13, "1992": 13} if not keepers else {"1990": 7, "1991": 7, "1992": 6}
+        assert {r.season_id: r["count"] for r in stored} == expected
