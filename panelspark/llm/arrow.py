@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence, Set
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -41,6 +41,21 @@ class Remembered(dict):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
+        self._keep(key, value)
+        return value
+
+    def all_of(self, keys: Set, make_all: Callable[[Sequence], Sequence]) -> dict:
+        """Values of different keys; those of unknown ones are made by one call."""
+        found = {key: self[key] for key in keys & self.keys()}
+        again = {key: self.older[key] for key in (keys - found.keys()) & self.older.keys()}
+        new = list(keys - found.keys() - again.keys())
+        again.update(zip(new, make_all(new), strict=True))
+        for key, value in again.items():
+            self._keep(key, value)
+        found.update(again)
+        return found
+
+    def _keep(self, key, value) -> None:
         if len(key) <= LONGEST:
             self.size += len(key) + cost(value) + ENTRY
             if self.size > self.half:
@@ -48,7 +63,6 @@ class Remembered(dict):
                 self.clear()
                 self.size = len(key) + cost(value) + ENTRY
             self[key] = value
-        return value
 
 
 def cost(value) -> int:

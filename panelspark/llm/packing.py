@@ -23,6 +23,7 @@ from .token_counts import packed, word_encoder
 
 LIMIT = 2048
 GROUP_ROWS = 16_384  # pieces that one task packs together
+PORTION = 4 << 20  # bytes of texts that are encoded at a time, at least one text
 
 
 def pieces_of(docs: DataFrame, path: str, keep: Sequence[str], text_col: str, limit: int, end_id: int,
@@ -32,17 +33,31 @@ def pieces_of(docs: DataFrame, path: str, keep: Sequence[str], text_col: str, li
 
     def cut(rows: Iterator[dict]) -> Iterator[tuple]:
         encoder, end = word_encoder(path), packed([end_id])
-        for row in rows:
-            ids = encoder.encode(row["__bp_text"]) + end
-            for piece, at in enumerate(range(0, len(ids), 4 * limit)):
-                part = ids[at:at + 4 * limit]
-                out = (*(row[c] for c in keep), piece, at // 4, len(part) // 4, zlib.crc32(part))
-                yield (*out, part) if with_ids else out
+        for portion in portions(rows):
+            for row, ids in zip(portion, encoder.encode_all([row["__bp_text"] for row in portion])):
+                ids += end
+                for piece, at in enumerate(range(0, len(ids), 4 * limit)):
+                    part = ids[at:at + 4 * limit]
+                    out = (*(row[c] for c in keep), piece, at // 4, len(part) // 4, zlib.crc32(part))
+                    yield (*out, part) if with_ids else out
 
     added = "piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids binary" if with_ids else "")
     return map_rows(docs.select(*keep, as_bytes(text_col).alias("__bp_text")), extend(docs, keep, added), cut)
 
 
+def portions(rows: Iterator[dict]) -> Iterator[list[dict]]:
+    """Rows in lists that end with the row that brings their texts to ``PORTION`` bytes."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row["__bp_text"])
+        if size >= PORTION:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 class Bins:
     """Bins of bounded capacity with an index of underfull bins by free room."""
 

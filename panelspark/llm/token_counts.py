@@ -14,8 +14,12 @@ from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import CharDelimiterSplit
 
 from ..session import materialize
 from .arrow import Remembered, as_bytes, extend, kept, map_rows
@@ -24,7 +28,8 @@ FLUSH = 500_000     # distinct pre-tokens that a task holds before it passes its
 HEAD_ROWS = 200_000  # most frequent pre-tokens that every task knows ...
 HEAD_BYTES = 64      # ... of at most this many bytes each: a bound of 12.8 MB
 KNOWN_PARTS = 48 << 20  # bytes of plain parts and their ids that a worker remembers
-KNOWN_WORDS = 64 << 20  # the same for words
+KNOWN_WORDS = 32 << 20  # the same for words that are not plain
+WORDS_AT_ONCE = 1 << 14  # different words that are cut and looked up in one go
 
 
 @lru_cache(maxsize=2)
@@ -39,10 +44,13 @@ def load(path: str) -> Tokenizer:
 
 # Letters of ASCII and Latin-1, then ASCII punctuation other than the apostrophe. The normaliser only lower-cases such a
 # word, and the splitter cuts it in two right there.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)\Z")
+PARTS = r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)"
+PLAIN = re.compile(PARTS + r"\Z")
+LINES = re.compile(rf"^{PARTS}$|^(.+)$", re.MULTILINE)  # the same for a word a line, other words whole
 # The byte-level alphabet writes these bytes as characters from 256 on, all others as themselves.
 MOVED = [*range(33), *range(127, 161), 173]
 ALPHABET = {byte: 256 + place for place, byte in enumerate(MOVED)}
+SPELLED = np.array([ALPHABET.get(byte, byte) if byte != 10 else 10 for byte in range(256)], "<u4")  # line ends stay
 
 
 def packed(ids: list[int]) -> bytes:
@@ -56,6 +64,11 @@ class WordEncoder:
     def __init__(self, path: str):
         self.tokenizer = load(path)
         self.model = self.tokenizer.model
+        self.bare = Tokenizer(self.model)  # no normaliser, no splitter but line ends
+        self.bare.pre_tokenizer = CharDelimiterSplit("\n")
+        suffix = self.model.end_of_word_suffix or "\n"
+        tokens = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
+        self.closing = np.array([(token or "").endswith(suffix) for token in tokens])
         self.parts = Remembered(self._part, KNOWN_PARTS)
         self.words = Remembered(self.word, KNOWN_WORDS)
 
@@ -71,9 +84,42 @@ class WordEncoder:
             return (self.parts[letters.lower()] if letters else b"") + (self.parts[marks] if marks else b"")
         return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def _parts(self, texts: Sequence[str]) -> list[bytes]:
+        """Ids of such pieces in one call of the model. The last token of each, and no other, bears the suffix."""
+        spelled = SPELLED[np.frombuffer("\n".join(texts).encode(), np.uint8)].tobytes().decode("utf-32-le")
+        ids = np.array(self.bare.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.closing[ids]) + 1
+        if len(ends) != len(texts):
+            return [self._part(text) for text in texts]
+        data, edges = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [data[a:b] for a, b in zip(edges, edges[1:])]
+
+    def encode_words(self, words: Sequence[bytes]) -> list[bytes]:
+        """Packed ids of words without ASCII white space; plain ones are cut by one search."""
+        if not words:
+            return []
+        letters, marks, others = zip(*LINES.findall(b"\n".join(words).decode("utf-8", "replace")))
+        letters = "\n".join(letters).lower().split("\n")
+        ids = self.parts.all_of({*letters, *marks} - {""}, self._parts)
+        ids[""] = b""
+        return [self.words[word] if other else ids[first] + ids[rest]
+                for word, first, rest, other in zip(words, letters, marks, others, strict=True)]
+
+    def encode_all(self, texts: Sequence[bytes]) -> Iterator[bytes]:
+        """Packed ids of whole texts. Each different word is looked up once for all of them."""
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))
+        words = split.flatten().dictionary_encode()
+        different = words.dictionary.view(pa.binary())
+        known = [pa.array(self.encode_words(different.slice(at, WORDS_AT_ONCE).to_pylist()), pa.large_binary())
+                 for at in range(0, len(different) or 1, WORDS_AT_ONCE)]
+        _, edges, data = pa.concat_arrays(known).take(words.indices).buffers()
+        edges = np.frombuffer(edges, np.int64)[split.offsets.to_numpy()].tolist()
+        view = memoryview(data or b"")
+        return (bytes(view[a:b]) for a, b in zip(edges, edges[1:]))
+
     def encode(self, text: bytes) -> bytes:
         """Packed ids of a whole text."""
-        return b"".join(map(self.words.__getitem__, text.split()))
+        return next(self.encode_all([text]))
 
 
 def word_encoder(path: str) -> WordEncoder:

@@ -50,6 +50,29 @@ def test_plain_words_equal_the_library():
             assert encoder.word(word.encode()) == token_counts.packed(library(WORD, word)), word
 
 
+def test_texts_together_equal_the_library_in_one_call_of_the_model(monkeypatch):
+    rng = random.Random(8)
+    alphabet = "aAzZéÉßÿ×÷'.!<|>09 \t\n\r\x0b\x0c\x1c\x85\u2028\u00a0東İſ́\x00\ufffd"
+    encoder, asked = token_counts.WordEncoder(WORD), []
+    make = encoder._parts
+    monkeypatch.setattr(encoder, "_parts", lambda texts: asked.append(texts) or make(texts))
+    monkeypatch.setattr(encoder, "_part", None)  # no plain part goes to the model by itself
+    for _ in range(300):
+        texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 40))) for _ in range(rng.randint(1, 9))]
+        texts += ["<|endoftext|>a", "don't we'll", "x" * 70 + "é" * 70 + "!" * 80, "", "x" * 70]
+        assert list(encoder.encode_all([t.encode() for t in texts])) == [
+            token_counts.packed(library(WORD, t)) for t in texts]
+    assert len(asked) == 300
+    assert max(Counter(p for parts in asked for p in parts if len(p) <= arrow.LONGEST).values()) == 1
+    assert list(encoder.encode_all([])) == []
+
+
+def test_portions_hold_every_row(monkeypatch):
+    monkeypatch.setattr(packing, "PORTION", 5)
+    rows = [{"__bp_text": b"x" * n} for n in (0, 2, 3, 9, 0, 1)]
+    assert [[len(r["__bp_text"]) for r in portion] for portion in packing.portions(iter(rows))] == [[0, 2, 3], [9], [0, 1]]
+
+
 def test_remembered_values_are_bounded_and_kept_while_used():
     made = []
     known = arrow.Remembered(lambda k: made.append(k) or k * 2, 6 * (arrow.ENTRY + 3))  # bytes of three entries and three older
