@@ -8,12 +8,15 @@ starts, and only there it counts: the starts inside the closing window belong to
 
 Counting goes by length. A phrase can reach the minimum only if its first and last words without one do, so each
 round counts, by hash, the phrases whose parts passed. Passing hashes are held in bit tables of fixed size, which may
-let too many through but never too few; the phrases that remain are counted once more as text, exactly.
+let too many through but never too few. Words are counted as text. A longer phrase is counted by its hash and the hash
+of its last word, from which the hash of the words before follows, so its text is put together by joins of the frequent
+phrases alone: the phrase of one word less, and the word.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,7 @@ KINDS[list(b".,;:!?\n\x0b\x0c\r")] = CUT
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 MIX, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+MIX_BACK, STEP_BACK = (np.uint64(pow(int(odd), -1, 1 << 64)) for odd in (MIX, STEP))
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -47,6 +51,11 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(29))
 
 
+def unmixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(29)) ^ (values >> np.uint64(58))) * MIX_BACK
+    return values ^ (values >> np.uint64(32))
+
+
 def factor(place: np.ndarray) -> np.ndarray:
     """A fixed odd factor per place in a word."""
     return mixed(mixed((place.astype(np.uint64) + np.uint64(1)) * STEP)) | np.uint64(1)
@@ -118,6 +127,11 @@ def longer(grams: np.ndarray, words: np.ndarray, n: int) -> np.ndarray:
     return mixed(grams * STEP + np.roll(words, 1 - n))
 
 
+def without_last(grams: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hashes of phrases without their last words, from their hashes and those of the last words."""
+    return (unmixed(grams) - last) * STEP_BACK
+
+
 def cut_chunks(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First and past-last word of every chunk, and the number of phrase starts that belong to it."""
     count = len(words.starts)
@@ -186,39 +200,44 @@ def passes(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 class Sums:
-    """Sums per 64-bit key, handed out when they become many."""
+    """Sums per 64-bit key and last word, handed out when they become many."""
 
     def __init__(self):
-        self.keys, self.values, self.size = [], [], 0
+        self.held, self.size = [], 0
 
-    def add(self, keys: np.ndarray, values: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        self.keys.append(keys)
-        self.values.append(values)
+    def add(self, keys: np.ndarray, last: np.ndarray, values: np.ndarray) -> Iterator[tuple]:
+        self.held.append((keys, last, values))
         self.size += len(keys)
         if self.size >= 2 * HELD_GRAMS:
-            keys, values = self.folded()
-            self.keys, self.values, self.size = [keys], [values], len(keys)
-            if len(keys) >= HELD_GRAMS:
-                yield keys, values
-                self.keys, self.values, self.size = [], [], 0
-
-    def folded(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.keys:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        return summed(np.concatenate(self.keys), np.concatenate(self.values))[:2]
-
-
-def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, the sum of their values, and the first place of each."""
+            folded = self.folded()
+            self.held, self.size = [folded], len(folded[0])
+            if self.size >= HELD_GRAMS:
+                yield folded
+                self.held, self.size = [], 0
+
+    def folded(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not self.held:
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        keys, last, values = map(np.concatenate, zip(*self.held))
+        keys, values, first = summed(keys, values, last)
+        return keys, last[first], values
+
+
+def summed(keys: np.ndarray, values: np.ndarray, last: np.ndarray | None = None
+           ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, the sum of their values, and the first place of each; equal keys of other ``last`` stay apart."""
     order = np.argsort(keys, kind="stable")
     ranked = keys[order]
-    starts = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(keys) else np.zeros(0, np.int64)
+    new = np.append(True, ranked[1:] != ranked[:-1])[:len(keys)]
+    if last is not None and len(keys):
+        new[1:] |= last[order[1:]] != last[order[:-1]]
+    starts = np.flatnonzero(new)
     sums = np.add.reduceat(values[order], starts) if len(keys) else values
     return ranked[starts], sums, order[starts]
 
 
-class Phrases:
-    """Phrases of a task with their sums, found by hash."""
+class Vocabulary:
+    """Words of a task with their languages and sums, found by hash."""
 
     def __init__(self):
         self.clear()
@@ -227,7 +246,7 @@ class Phrases:
         self.keys, self.sums, self.texts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, object)
 
     def add(self, keys: np.ndarray, sums: np.ndarray, name) -> None:
-        """Add sums of distinct keys in rising order; ``name`` gives the phrases at places that are new here."""
+        """Add sums of distinct keys in rising order; ``name`` gives languages and words at places that are new here."""
         place = np.searchsorted(self.keys, keys)
         old = np.zeros(len(keys), bool)
         near = place < len(self.keys)
@@ -243,38 +262,49 @@ class Phrases:
 
     def handed_out(self) -> Iterator[pa.RecordBatch]:
         for s in range(0, len(self.keys), 1 << 14):
-            langs, ks, phrases = zip(*self.texts[s:s + (1 << 14)])
+            langs, words = zip(*self.texts[s:s + (1 << 14)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(langs), pa.array(ks, pa.int32()), pa.array([p.decode() for p in phrases]),
-                 pa.array(self.sums[s:s + (1 << 14)])], names=["lang", "k", "phrase", "f"])
+                [pa.array(self.keys[s:s + (1 << 14)].view(np.int64)), pa.array(langs),
+                 pa.array([w.decode() for w in words]), pa.array(self.sums[s:s + (1 << 14)])],
+                names=["h", "lang", "phrase", "f"])
         self.clear()
 
 
 def sum_batches(df: DataFrame, work) -> DataFrame:
-    """Sum the (keys, values) that ``work`` finds in each batch, per task first, then over all: ``h``, ``f``."""
+    """Sum the (keys, last words, values) that ``work`` finds in each batch, per task first, then over all: ``h``,
+    ``last``, ``f``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = Sums()
 
-        def out(keys: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def out(keys: np.ndarray, last: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
             for s in range(0, len(keys), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[s:s + (1 << 16)].view(np.int64)),
-                                                  pa.array(values[s:s + (1 << 16)])], names=["h", "f"])
+                part = slice(s, s + (1 << 16))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[part].view(np.int64)), pa.array(last[part].view(np.int64)), pa.array(values[part])],
+                    names=["h", "last", "f"])
 
-        for keys, values in work(batches):
-            for full in sums.add(keys, values):
+        for found in work(batches):
+            for full in sums.add(*found):
                 yield from out(*full)
         yield from out(*sums.folded())
 
-    return df.mapInArrow(run, "h bigint, f bigint").groupBy("h").agg(F.sum("f").alias("f"))
+    return df.mapInArrow(run, "h bigint, last bigint, f bigint").groupBy("h", "last").agg(F.sum("f").alias("f"))
+
+
+def with_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counted phrases with ``first``, the hash of their words before the last."""
+    for batch in batches:
+        first = without_last(*(batch[c].to_numpy().view(np.uint64) for c in ("h", "last")))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first.view(np.int64))], names=["h", "last", "f", "first"])
 
 
 def word_rows(batch: pa.RecordBatch) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
-    """All words of a batch of chunks, their hashes in their language, and the first and the past-last word of each."""
+    """All words of a batch of chunks, their odd hashes in their language, and the first and past-last word of each."""
     words = Words(*bytes_of(batch["chunk"]))
     langs = batch["lang"].dictionary_encode()
     seeds = np.array([xxhash.xxh64_intdigest(lang.encode(), seed=1) for lang in langs.dictionary.to_pylist()], np.uint64)
-    own = mixed(words.hashes ^ seeds[langs.indices.to_numpy()][words.rows])
+    own = mixed(words.hashes ^ seeds[langs.indices.to_numpy()][words.rows]) | np.uint64(1)
     return words, own, words.pieces, np.append(words.pieces[1:], len(own))
 
 
@@ -297,20 +327,30 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     chunks = dictionary(docs, text_col, lang_col)
     totals = chunks.groupBy("lang").agg(F.sum(F.col("starts") * F.col("n")).alias("n"))
 
-    def singles(batches: Iterator[pa.RecordBatch]):
+    def singles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Vocabulary()
         for batch in batches:
-            _, own, starts, ends = word_rows(batch)
+            words, own, starts, ends = word_rows(batch)
+            raw, langs = words.data.tobytes(), batch["lang"].to_pylist()
             counts, _, weights = reach(starts, ends, batch["starts"].to_numpy(), batch["n"].to_numpy())
-            yield summed(own[counts], weights[counts])[:2]
+            keys, sums, first = summed(own[counts], weights[counts])
+            at = np.flatnonzero(counts)[first]
+            held.add(keys, sums, lambda new: [(langs[row], raw[s:e]) for row, s, e in zip(
+                words.rows[at[new]].tolist(), words.starts[at[new]].tolist(), words.ends[at[new]].tolist())])
+            if len(held.keys) >= HELD_GRAMS:
+                yield from held.handed_out()
+        yield from held.handed_out()
 
-    found = materialize(sum_batches(chunks, singles).where(F.col("f") >= min_count).select("h"), "phrases")
-    tables = [bit_table(spark, found)]
+    counted = (chunks.mapInArrow(singles, "h bigint, lang string, phrase string, f bigint")
+               .groupBy("h", "lang", "phrase").agg(F.sum("f").alias("f")))
+    found = [materialize(counted.where(F.col("f") >= min_count), "phrases")]
+    tables = [bit_table(spark, found[0].select("h"))]
 
     # Hashes of the words, 0 for words that are too rare: what the following rounds read instead of the texts.
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             _, own, starts, ends = word_rows(batch)
-            own = np.where(passes(tables[0].value, own), own | np.uint64(1), np.uint64(0))
+            own = np.where(passes(tables[0].value, own), own, np.uint64(0))
             lists = pa.LargeListArray.from_arrays(pa.array(np.append(starts, ends[-1:])), pa.array(own.view(np.int64)))
             yield pa.RecordBatch.from_arrays([lists.cast(pa.list_(pa.int64())), batch["starts"], batch["n"]],
                                              names=["words", "starts", "n"])
@@ -334,39 +374,24 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
                 good = counts & (left >= k) & ok & np.roll(ok, -1)
                 for size in range(2, k + 1):
                     good &= np.roll(own, 1 - size) != 0
-                yield summed(longer(shorter, own, k)[good], weights[good])[:2]
+                grams_, last, weights = longer(shorter, own, k)[good], np.roll(own, 1 - k)[good], weights[good]
+                keys, sums, first = summed(grams_, weights, last)
+                yield keys, last[first], sums
         return count
 
+    last_words = found[0].select(F.col("h").alias("last"), F.col("phrase").alias("word"))
     for k in range(2, MAX_WORDS + 1):
-        counted = sum_batches(words, grams(k, tables[-1] if k > 2 else None))
-        tables.append(bit_table(spark, materialize(counted.where(F.col("f") >= min_count).select("h"), "phrases")))
-
-    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Phrases()
-        for batch in batches:
-            words, own, starts, ends = word_rows(batch)
-            odd = own | np.uint64(1)
-            raw, langs = words.data.tobytes(), batch["lang"].to_pylist()
-            counts, left, weights = reach(starts, ends, batch["starts"].to_numpy(), batch["n"].to_numpy())
-            frequent = passes(tables[0].value, own)
-            known, grams_ = frequent, own
-            for k in range(1, MAX_WORDS + 1):
-                if k > 1:
-                    grams_ = longer(odd if k == 2 else grams_, odd, k)
-                    known = known & np.roll(frequent, 1 - k)
-                good = counts & (left >= k) & known & passes(tables[k - 1].value, grams_)
-                keys, sums, first = summed(grams_[good] ^ np.uint64(k), weights[good])
-                at = np.flatnonzero(good)[first]
-                held.add(keys, sums, lambda new: [
-                    (langs[row], k, raw[s:e]) for row, s, e in zip(
-                        words.rows[at[new]].tolist(), words.starts[at[new]].tolist(), words.ends[at[new] + k - 1].tolist())])
-            if len(held.keys) >= HELD_GRAMS:
-                yield from held.handed_out()
-        yield from held.handed_out()
-
-    exact = (chunks.mapInArrow(texts, "lang string, k int, phrase string, f bigint")
-             .groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count))
-    return materialize(exact, "phrases"), materialize(totals, "words")
+        counted = sum_batches(words, grams(k, tables[-1] if k > 2 else None)).where(F.col("f") >= min_count)
+        before = found[-1].select(F.col("h").alias("first"), "lang", "phrase")
+        named = (counted.mapInArrow(with_first, "h bigint, last bigint, f bigint, first bigint")
+                 .join(before, "first").join(last_words, "last")
+                 .select("h", "lang", F.concat_ws(" ", "phrase", "word").alias("phrase"), "f"))
+        found.append(materialize(named, "phrases"))
+        if k < MAX_WORDS:
+            tables.append(bit_table(spark, found[-1].select("h")))
+
+    counts = [f.select("lang", F.lit(k).alias("k"), "phrase", "f") for k, f in enumerate(found, 1)]
+    return reduce(DataFrame.unionByName, counts), materialize(totals, "words")
 
 
 def wide(name: str) -> Column:

@@ -111,6 +111,43 @@ def test_hashes_do_not_depend_on_blocks(monkeypatch):
     assert len(set(whole.hashes.tolist())) == len(whole.hashes)
 
 
+def test_words_before_the_last_follow_from_the_hashes():
+    rng = np.random.default_rng(3)
+    first, last = rng.integers(0, 2 ** 64, (2, 1000), dtype=np.uint64)
+    grams = collocations.longer(first, np.roll(last, 1), 2)
+    assert (collocations.without_last(grams, last) == first).all()
+
+
+def test_equal_hashes_of_other_last_words_stay_apart():
+    keys, last = np.array([5, 7, 5, 5], np.uint64), np.array([1, 1, 2, 1], np.uint64)
+    sums = collocations.Sums()
+    assert not list(sums.add(keys, last, np.array([1, 10, 100, 1000])))
+    totals = Counter()
+    for key, word, value in zip(*(a.tolist() for a in sums.folded())):
+        totals[key, word] += value
+    assert totals == {(5, 1): 1001, (5, 2): 100, (7, 1): 10}
+
+
+def test_texts_of_phrases_are_not_gathered_in_every_task(spark, monkeypatch):
+    """Every task met every frequent phrase and handed its text on: rows grew as tasks times phrases."""
+    made = []
+    rows = [(" ".join(f"w{i % 7}{j}" for j in range(9)), "en") for i in range(70)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    stored = collocations.materialize
+
+    def counted(df, label):
+        made.append([line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "MapInArrow" in line])
+        return stored(df, label)
+
+    monkeypatch.setattr(collocations, "materialize", counted)
+    counts, _ = collocations.phrase_counts(docs, min_count=10)
+    got = {(r.k, r.phrase): r.f for r in counts.collect()}
+    want = Counter((k, " ".join(t.split()[s:s + k])) for t, _ in rows for k in range(1, 6) for s in range(10 - k))
+    assert got == want
+    texts = [line for lines in made for line in lines if "phrase" in line]
+    assert len(texts) == 1 and re.search(r"\[h#\d+L, lang#\d+, phrase#", texts[0]), texts  # words, no phrases of k words
+
+
 def test_products_beyond_64_bits(spark, monkeypatch):
     """Counts of a corpus far larger than any test's, through the same scoring."""
     big = 3 * 10 ** 14
