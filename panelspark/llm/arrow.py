@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence, Set
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 ROWS = 512  # rows of a result batch
 LONGEST = 64  # bytes of the longest key that is remembered
@@ -44,17 +46,6 @@ class Remembered(dict):
         self._keep(key, value)
         return value
 
-    def all_of(self, keys: Set, make_all: Callable[[Sequence], Sequence]) -> dict:
-        """Values of different keys; those of unknown ones are made by one call."""
-        found = {key: self[key] for key in keys & self.keys()}
-        again = {key: self.older[key] for key in (keys - found.keys()) & self.older.keys()}
-        new = list(keys - found.keys() - again.keys())
-        again.update(zip(new, make_all(new), strict=True))
-        for key, value in again.items():
-            self._keep(key, value)
-        found.update(again)
-        return found
-
     def _keep(self, key, value) -> None:
         if len(key) <= LONGEST:
             self.size += len(key) + cost(value) + ENTRY
@@ -65,6 +56,38 @@ class Remembered(dict):
             self[key] = value
 
 
+class RememberedColumn:
+    """Keys and their values as Arrow arrays of at most ``bound`` bytes; keys that were asked for longest ago go first.
+
+    Keys longer than ``LONGEST`` are computed each time.
+    """
+
+    def __init__(self, bound: int):
+        self.bound, self.keys, self.values = bound, pa.array([], pa.binary()), pa.array([], pa.large_binary())
+
+    def all_of(self, keys: pa.BinaryArray, make_all: Callable[[pa.BinaryArray], pa.LargeBinaryArray]
+               ) -> pa.LargeBinaryArray:
+        """Values of different keys; those of unknown ones are made by one call."""
+        at = pc.index_in(keys, value_set=self.keys)
+        unknown = at.is_null()
+        new = keys.filter(unknown)
+        values = pa.concat_arrays([self.values, make_all(new)])
+        at, unknown = at.fill_null(0).to_numpy(), unknown.to_numpy(zero_copy_only=False)
+        at = np.where(unknown, len(self.keys) + unknown.cumsum() - 1, at)
+        self._keep(pa.concat_arrays([self.keys, new]), values, at)
+        return values.take(pa.array(at))
+
+    def _keep(self, keys: pa.BinaryArray, values: pa.LargeBinaryArray, asked: np.ndarray) -> None:
+        idle = np.ones(len(keys), bool)
+        idle[asked] = False
+        order = np.concatenate([asked, np.flatnonzero(idle)])
+        long = pc.binary_length(keys).to_numpy()
+        size = long + pc.binary_length(values).to_numpy() + 12  # and the offsets of both
+        order = order[long[order] <= LONGEST]
+        kept = pa.array(order[size[order].cumsum() <= self.bound])
+        self.keys, self.values = keys.take(kept), values.take(kept)
+
+
 def cost(value) -> int:
     """Bytes of a value: bytes as they are, numbers of a tuple 40 each."""
     return len(value) * (1 if isinstance(value, bytes) else 40)
@@ -99,6 +122,30 @@ def map_rows(df: DataFrame, schema: str | StructType, work: Callable[[Iterator[d
     return df.mapInArrow(batches, result)
 
 
+def map_texts(df: DataFrame, keep: list[str], text_col: str, added: str,
+              begin: Callable[[], Callable[[bytes], tuple]]) -> DataFrame:
+    """The ``keep`` columns of every row and the ``added`` ones that the function made by ``begin`` gives for its text.
+
+    The text is UTF-8, null is empty. ``begin`` is called once per task. Kept columns stay in Arrow as they came, and a
+    text that is itself kept goes to the task only once.
+    """
+    result = extend(df, keep, added)
+    once = text_col in keep and isinstance(df.schema[text_col].dataType, StringType)
+    at = keep.index(text_col) if once else len(keep)
+
+    def batches(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields, of = list(to_arrow_schema(result))[len(keep):], begin()
+        for batch in incoming:
+            schema = pa.schema([*list(batch.schema)[:len(keep)], *fields])
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                made = zip(*map(of, part.column(at).cast(pa.binary()).fill_null(b"").to_pylist()))
+                new = [pa.array(list(c), f.type) for c, f in zip(made, fields)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], *new], schema=schema)
+
+    return df.select(*keep, *([] if once else [as_bytes(text_col).alias("__text")])).mapInArrow(batches, result)
+
+
 def extend(df: DataFrame, keep: list[str], added: str) -> StructType:
     """Schema of the ``keep`` columns of ``df``, all nullable, followed by the ``added`` ones."""
     kept = [StructField(f.name, f.dataType, True) for f in (df.schema[c] for c in keep)]

@@ -23,7 +23,7 @@ from .token_counts import packed, word_encoder
 
 LIMIT = 2048
 GROUP_ROWS = 16_384  # pieces that one task packs together
-PORTION = 4 << 20  # bytes of texts that are encoded at a time, at least one text
+PORTION = 2 << 20  # bytes of texts that are encoded at a time, at least one text
 
 
 def pieces_of(docs: DataFrame, path: str, keep: Sequence[str], text_col: str, limit: int, end_id: int,

@@ -22,14 +22,16 @@ from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import CharDelimiterSplit
 
 from ..session import materialize
-from .arrow import Remembered, as_bytes, extend, kept, map_rows
+from .arrow import Remembered, RememberedColumn, as_bytes, extend, kept, map_rows
 
 FLUSH = 500_000     # distinct pre-tokens that a task holds before it passes its counts on
 HEAD_ROWS = 200_000  # most frequent pre-tokens that every task knows ...
 HEAD_BYTES = 64      # ... of at most this many bytes each: a bound of 12.8 MB
-KNOWN_PARTS = 48 << 20  # bytes of plain parts and their ids that a worker remembers
+KNOWN_PARTS = 48 << 20  # bytes of plain parts and their ids that a worker remembers where words come one by one
 KNOWN_WORDS = 32 << 20  # the same for words that are not plain
-WORDS_AT_ONCE = 1 << 14  # different words that are cut and looked up in one go
+KNOWN_COLUMN = 8 << 20  # the same for plain parts as Arrow arrays, where words come together
+WORDS_AT_ONCE = 1 << 18  # different words that are cut and looked up in one go
+PARTS_AT_ONCE = 1 << 13  # new plain parts that one call of the model gets
 
 
 @lru_cache(maxsize=2)
@@ -46,7 +48,11 @@ def load(path: str) -> Tokenizer:
 # word, and the splitter cuts it in two right there.
 PARTS = r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)"
 PLAIN = re.compile(PARTS + r"\Z")
-LINES = re.compile(rf"^{PARTS}$|^(.+)$", re.MULTILINE)  # the same for a word a line, other words whole
+# The same for bytes of UTF-8: a letter, a punctuation mark, either, or none. 0xC3 leads the letters of Latin-1.
+LETTER, MARK = (np.array([bool(re.match(kind, chr(b))) for b in range(256)]) for kind in ("[A-Za-z]", "[!-&(-/:-@\\[-`{-~]"))
+LEAD, FOLLOWING = 0xC3, np.array([128 <= b < 192 and b not in (0x97, 0xB7) for b in range(256)])
+LOWER = np.array([b + 32 * (65 <= b <= 90) for b in range(256)], np.uint8)
+LOWER_FOLLOWING = np.array([b + 32 * (0x80 <= b <= 0x9E) & 255 for b in range(256)], np.uint8)
 # The byte-level alphabet writes these bytes as characters from 256 on, all others as themselves.
 MOVED = [*range(33), *range(127, 161), 173]
 ALPHABET = {byte: 256 + place for place, byte in enumerate(MOVED)}
@@ -58,6 +64,48 @@ def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def binary_array(data: np.ndarray, edges: np.ndarray) -> pa.LargeBinaryArray:
+    """Pieces of ``data`` between edges given in bytes."""
+    return pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [
+        None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def joined(pieces: pa.LargeBinaryArray, edges: np.ndarray) -> pa.LargeBinaryArray:
+    """Runs of neighbouring pieces, between the given places, as one piece each; a fresh array from its first byte on."""
+    _, offsets, data = pieces.buffers()
+    places = np.frombuffer(offsets, np.int64)[edges]
+    return pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(places), data])
+
+
+def upto(chosen: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """How many are chosen before each edge."""
+    total = np.zeros(len(chosen) + 1, np.int32)
+    np.cumsum(chosen, out=total[1:])
+    return total[edges]
+
+
+def cut(data: np.ndarray, edges: np.ndarray) -> tuple[pa.BinaryArray, pa.BinaryArray, np.ndarray]:
+    """Letters in lower case and marks of all words as PLAIN cuts them, and which words are plain; others are left empty."""
+    inside = np.ones(len(data), bool)  # not the first byte of a word
+    inside[edges[:-1][edges[:-1] < len(data)]] = False
+    after = inside & FOLLOWING[data]  # follows a lead
+    after[1:] &= data[:-1] == LEAD
+    letter, mark = LETTER[data] | after, MARK[data]
+    letter[:-1] |= after[1:]
+    bad = ~(letter | mark)
+    bad[1:] |= inside[1:] & letter[1:] & mark[:-1]
+    bad_upto = upto(bad, edges)
+    plain = bad_upto[1:] == bad_upto[:-1]
+    own = np.repeat(plain, np.diff(edges))
+    small = np.where(after, LOWER_FOLLOWING[data], LOWER[data])
+
+    def only(chosen: np.ndarray) -> pa.BinaryArray:
+        return pa.Array.from_buffers(pa.binary(), len(plain), [
+            None, pa.py_buffer(upto(chosen, edges)), pa.py_buffer(small[chosen])])
+
+    return only(letter & own), only(mark & own), plain
+
+
 class WordEncoder:
     """Packed token ids of words; plain words go straight to the tokenizer's model, which is several times faster."""
 
@@ -70,6 +118,7 @@ class WordEncoder:
         tokens = map(self.tokenizer.id_to_token, range(self.tokenizer.get_vocab_size()))
         self.closing = np.array([(token or "").endswith(suffix) for token in tokens])
         self.parts = Remembered(self._part, KNOWN_PARTS)
+        self.column = RememberedColumn(KNOWN_COLUMN)
         self.words = Remembered(self.word, KNOWN_WORDS)
 
     def _part(self, text: str) -> bytes:
@@ -84,37 +133,46 @@ class WordEncoder:
             return (self.parts[letters.lower()] if letters else b"") + (self.parts[marks] if marks else b"")
         return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _parts(self, texts: Sequence[str]) -> list[bytes]:
+    def _parts(self, texts: Sequence[str]) -> pa.LargeBinaryArray:
         """Ids of such pieces in one call of the model. The last token of each, and no other, bears the suffix."""
         spelled = SPELLED[np.frombuffer("\n".join(texts).encode(), np.uint8)].tobytes().decode("utf-32-le")
         ids = np.array(self.bare.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.closing[ids]) + 1
         if len(ends) != len(texts):
-            return [self._part(text) for text in texts]
-        data, edges = ids.tobytes(), [0, *(4 * ends).tolist()]
-        return [data[a:b] for a, b in zip(edges, edges[1:])]
-
-    def encode_words(self, words: Sequence[bytes]) -> list[bytes]:
-        """Packed ids of words without ASCII white space; plain ones are cut by one search."""
-        if not words:
-            return []
-        letters, marks, others = zip(*LINES.findall(b"\n".join(words).decode("utf-8", "replace")))
-        letters = "\n".join(letters).lower().split("\n")
-        ids = self.parts.all_of({*letters, *marks} - {""}, self._parts)
-        ids[""] = b""
-        return [self.words[word] if other else ids[first] + ids[rest]
-                for word, first, rest, other in zip(words, letters, marks, others, strict=True)]
+            return pa.array([self._part(text) for text in texts], pa.large_binary())
+        return binary_array(ids, np.concatenate([[0], 4 * ends]))
+
+    def _lots(self, parts: pa.BinaryArray) -> pa.LargeBinaryArray:
+        """The same for many; what the model returns takes far more room than the ids."""
+        texts = parts.view(pa.string())
+        return pa.concat_arrays([self._parts(texts.slice(at, PARTS_AT_ONCE).to_pylist())
+                                 for at in range(0, len(texts) or 1, PARTS_AT_ONCE)])
+
+    def encode_words(self, words: pa.BinaryArray) -> pa.LargeBinaryArray:
+        """Packed ids of different words without ASCII white space. Each different plain part is looked up once."""
+        edges = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+        data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[edges[0]:edges[-1]]
+        letters, marks, plain = cut(data, edges - edges[0])
+        parts = pa.concat_arrays([letters, marks]).dictionary_encode()
+        different = parts.dictionary
+        filled = pc.binary_length(different).to_numpy() > 0
+        found = self.column.all_of(different.filter(pa.array(filled)), self._lots)
+        others = words.filter(pa.array(~plain)).to_pylist()
+        ids = pa.concat_arrays([pa.array([b""], pa.large_binary()), found,
+                                pa.array([self.words[word] for word in others], pa.large_binary())])
+        at = np.where(filled, filled.cumsum(), 0)[parts.indices.to_numpy()].reshape(2, len(words)).T.copy()
+        at[~plain, 0] = 1 + len(found) + np.arange(len(others))
+        return joined(ids.take(pa.array(at.ravel())), np.arange(0, 2 * len(words) + 1, 2))
 
     def encode_all(self, texts: Sequence[bytes]) -> Iterator[bytes]:
         """Packed ids of whole texts. Each different word is looked up once for all of them."""
         split = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))
         words = split.flatten().dictionary_encode()
         different = words.dictionary.view(pa.binary())
-        known = [pa.array(self.encode_words(different.slice(at, WORDS_AT_ONCE).to_pylist()), pa.large_binary())
+        known = [self.encode_words(different.slice(at, WORDS_AT_ONCE))
                  for at in range(0, len(different) or 1, WORDS_AT_ONCE)]
-        _, edges, data = pa.concat_arrays(known).take(words.indices).buffers()
-        edges = np.frombuffer(edges, np.int64)[split.offsets.to_numpy()].tolist()
-        view = memoryview(data or b"")
+        _, edges, data = joined(pa.concat_arrays(known).take(words.indices), split.offsets.to_numpy()).buffers()
+        edges, view = np.frombuffer(edges, np.int64).tolist(), memoryview(data or b"")
         return (bytes(view[a:b]) for a, b in zip(edges, edges[1:]))
 
     def encode(self, text: bytes) -> bytes:

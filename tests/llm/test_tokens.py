@@ -3,12 +3,14 @@
 import hashlib
 import itertools
 import random
+import sys
 import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from panelspark.llm import arrow, bpe, packing, token_counts
@@ -67,6 +69,54 @@ def test_texts_together_equal_the_library_in_one_call_of_the_model(monkeypatch):
     assert list(encoder.encode_all([])) == []
 
 
+def test_bytes_are_cut_like_words():
+    """Words with lone bytes, which no text of Python holds, are cut as their replacement by the library's decoder."""
+    rng = random.Random(12)
+    units = [b"a", b"Z", b"\xc3\x89", b"\xc3\x97", b"\xc3\x9f", b"\xc3\x9e", b"!", b"'", b"~", b"7", b"\xc3", b"\xa9", b"\xe6\x9d\xb1", b"\xff"]
+    words = [b"".join(rng.choices(units, k=rng.randint(0, 5))) for _ in range(4000)] + [b"a\xc3", b"\xa9b", b""]
+    encoder = token_counts.WordEncoder(WORD)
+    wanted = [token_counts.packed(library(WORD, w.decode("utf-8", "replace"))) for w in words]
+    assert encoder.encode_words(pa.array(words, pa.binary())).to_pylist() == wanted
+    letters, marks, plain = token_counts.cut(np.frombuffer(b"".join(words), np.uint8), np.cumsum([0, *map(len, words)]))
+    matches = [token_counts.PLAIN.match(w.decode("utf-8", "replace")) for w in words]
+    assert [(a.decode(), b.decode(), c) for a, b, c in zip(letters.to_pylist(), marks.to_pylist(), plain)] == [
+        (m[1].lower(), m[2], True) if m else ("", "", False) for m in matches]
+
+
+def test_words_are_cut_in_bounded_lots(monkeypatch):
+    monkeypatch.setattr(token_counts, "WORDS_AT_ONCE", 3)
+    monkeypatch.setattr(token_counts, "PARTS_AT_ONCE", 2)
+    texts = ["a b! c d", "", "e a 7 f東 don't", " g "]
+    assert list(token_counts.WordEncoder(WORD).encode_all([t.encode() for t in texts])) == [
+        token_counts.packed(library(WORD, t)) for t in texts]
+
+
+def test_plain_words_cost_no_python_call_each():
+    words = [b"w%s%s" % (bytes([97 + i % 26, 97 + i // 26 % 26, 97 + i // 676]), b"!" * (i % 3)) for i in range(8000)]
+    encoder, calls = token_counts.WordEncoder(WORD), []
+    sys.setprofile(lambda frame, event, arg: calls.append(event))
+    try:
+        found = list(encoder.encode_all([b" ".join(words)]))
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < len(words) / 2
+    assert found == [token_counts.packed(library(WORD, b" ".join(words).decode()))]
+
+
+def test_columns_keep_what_was_asked_for_last():
+    made = []
+
+    def make(keys):
+        made.extend(keys.to_pylist())
+        return pa.array([k * 2 for k in keys.to_pylist()], pa.large_binary())
+
+    known = arrow.RememberedColumn(4 * (1 + 2 + 12))  # bytes of four entries
+    for asked in ([b"1", b"2"], [b"3", b"4", b"1"], [b"5"], [b"1", b"2"], [b"x" * 65], [], [b"5", b"x" * 65]):
+        assert known.all_of(pa.array(asked, pa.binary()), make).to_pylist() == [k * 2 for k in asked]
+        assert len(known.keys) == len(known.values) <= 4
+    assert made == [b"1", b"2", b"3", b"4", b"5", b"2", b"x" * 65, b"x" * 65]
+
+
 def test_portions_hold_every_row(monkeypatch):
     monkeypatch.setattr(packing, "PORTION", 5)
     rows = [{"__bp_text": b"x" * n} for n in (0, 2, 3, 9, 0, 1)]
