@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
-from .arrow import as_bytes, extend, kept, map_rows
+from .arrow import as_bytes, extend, kept, map_rows, map_texts
 from .crf import LineCrf, fit
 
 SAMPLE_DOCS = 1_500  # labelled documents of either quality that the line model is fitted on
@@ -133,24 +133,22 @@ def assess(docs: DataFrame, model: LineCrf | None, keep: Sequence[str] = ("doc_i
     judged each. Whole texts are read, however long. An empty table gives an empty table. Kept columns must not carry
     the names of added ones; other input columns are not looked at.
     """
-    keep = list(keep)
-
-    def judge(rows: Iterator[dict]) -> Iterator[tuple]:
+    def begin() -> Callable[[bytes], tuple]:
         kept(("quality",), lambda: None)
-        for row in rows:
-            text = row["__qr_text"]
-            words = text.split()
-            features, sizes, doubles = line_table(text)
-            repeats = repeated_words(words)
-            failed = len(words) < MIN_WORDS or 100 * repeats > REPEAT_PERCENT * len(words)
-            share = 1.0
-            if model is not None and sizes:
-                content = model.viterbi(np.array(features, dtype=float)) == 0
-                share = float(np.array(sizes)[content].sum() / sum(sizes))
-            yield (*(row[c] for c in keep), len(words), code_points(text.translate(None, WHITE)),
-                   len(text.translate(None, NOT_SYMBOLS)), doubles, repeats, failed, share,
-                   not failed and share >= min_share)
+        return judge
+
+    def judge(text: bytes) -> tuple:
+        words = text.split()
+        features, sizes, doubles = line_table(text)
+        repeats = repeated_words(words)
+        failed = len(words) < MIN_WORDS or 100 * repeats > REPEAT_PERCENT * len(words)
+        share = 1.0
+        if model is not None and sizes:
+            content = model.viterbi(np.array(features, dtype=float)) == 0
+            share = float(np.array(sizes)[content].sum() / sum(sizes))
+        return (len(words), code_points(text.translate(None, WHITE)), len(text.translate(None, NOT_SYMBOLS)), doubles,
+                repeats, failed, share, not failed and share >= min_share)
 
     added = ("n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
              "base_failed boolean, content_share double, kept boolean")
-    return map_rows(docs.select(*keep, as_bytes(text_col).alias("__qr_text")), extend(docs, keep, added), judge)
+    return map_texts(docs, list(keep), text_col, added, begin)

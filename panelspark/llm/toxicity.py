@@ -9,13 +9,13 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
-from .arrow import Remembered, as_bytes, extend, kept, map_rows
+from .arrow import Remembered, as_bytes, kept, map_rows, map_texts
 
 SAMPLE_DOCS = 6_000   # labelled rows of either label that the machine is fitted on
 HASH_BITS = 24
@@ -175,19 +175,23 @@ def score(docs: DataFrame, model: Machine | None, keep: Sequence[str] = ("doc_id
     table gives an empty table. Kept columns must not be called ``score`` or ``predicted``; other input columns are
     not looked at.
     """
-    keep = list(keep)
+    # A worker holds one copy of a broadcast for all its tasks, and so keeps what it remembers of words between them.
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def rate(rows: Iterator[dict]) -> Iterator[tuple]:
+    def begin() -> Callable[[bytes], tuple]:
+        model = shared.value
         known = kept(("toxicity", id(model)), lambda: Remembered(
             lambda word: tuple(model.place[h] for h in terms_of_word(word) if h in model.place), KNOWN_WORDS))
-        for row in rows:
+
+        def rate(text: bytes) -> tuple:
             value = 0.0
             if model is not None:
                 at: set[int] = set()
-                for word in words_of(row["__tx_text"]):
+                for word in words_of(text):
                     at.update(known[word])
                 value = model.score(np.array(sorted(at), np.int64))
-            yield *(row[c] for c in keep), value, int(value >= threshold)
+            return value, int(value >= threshold)
+
+        return rate
 
-    return map_rows(docs.select(*keep, as_bytes(text_col).alias("__tx_text")),
-                    extend(docs, keep, "score double, predicted int"), rate)
+    return map_texts(docs, list(keep), text_col, "score double, predicted int", begin)

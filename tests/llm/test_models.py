@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from panelspark.llm import quality, toxicity
 from panelspark.llm.crf import LineCrf, fit
@@ -108,6 +109,43 @@ def test_toxicity_edge_rows(spark):
     assert toxicity.score(empty_docs(spark), model).count() == 0
 
 
+def test_kept_texts_go_to_a_task_once(spark):
+    """Kept columns come back as they were, and the plan hands a kept text to Python in one column."""
+    docs = edge_docs(spark).select("text", F.struct("doc_id", "lang", "`a.b`").alias("row"))
+    model = toxicity.Machine(np.array([toxicity.hashed("=one")]), -1.0, np.array([3.0]), np.zeros((1, 2)))
+    alone = {r["doc_id"]: r["score"] for r in toxicity.score(edge_docs(spark), model).collect()}
+    for found in (toxicity.score(docs, model, ["row", "text"]), quality.assess(docs, None, ["row", "text"])):
+        plan = found._jdf.queryExecution().analyzed().toString()
+        assert len(re.search(r"MapInArrow batches\(([^)]*)\)", plan)[1].split(", ")) == 2, plan
+        wanted = Counter((r["doc_id"], r["lang"], r["a.b"], r["text"]) for r in edge_docs(spark).collect())
+        assert Counter((*r["row"], r["text"]) for r in found.collect()) == wanted
+    once = [r for r in edge_rows() if r[0] is not None and [x[0] for x in edge_rows()].count(r[0]) == 1]
+    scores = {r["row"]["doc_id"]: r["score"] for r in toxicity.score(docs, model, ["row", "text"]).collect()}
+    assert once and all(scores[r[0]] == alone[r[0]] for r in once) and len(set(scores.values())) == 2
+
+
+def test_lone_bytes_in_kept_texts(spark):
+    docs = spark.sql("SELECT 1 AS id, cast(X'61FF' AS string) AS text")
+    out = toxicity.score(docs, None, ["id", "text"]).selectExpr("id", "hex(text) AS h").collect()
+    assert [tuple(r) for r in out] == [(1, "61FF")]
+
+
+def test_tasks_of_a_worker_share_one_machine(spark):
+    """The model is not unpickled anew by every task of a worker."""
+    loads = spark.sparkContext.accumulator(0)
+
+    class Counted:
+        def __reduce__(self):
+            return loads.add, (1,)
+
+    model = toxicity.Machine(np.arange(3), 0.0, np.zeros(3), np.zeros((3, 2)))
+    model.counted = Counted()
+    docs = spark.range(0, 4000, 1, 40).selectExpr("id AS doc_id", "concat('word', id) AS text")
+    assert toxicity.score(docs, model).count() == 4000
+    assert toxicity.score(docs, model).where("score >= 0").count() == 4000
+    assert loads.value < 40
+
+
 def test_quality_on_held_out_rows(spark, labels):
     rows = QUERIES["op10_quality_rules"](spark, SF).collect()
     passed = [(labels[r.doc_id][0], r.kept) for r in rows if r.doc_id in labels and held_out(r.doc_id) and not r.base_failed]
