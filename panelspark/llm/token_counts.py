@@ -10,7 +10,6 @@ from __future__ import annotations
 import os
 import re
 import struct
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -18,13 +17,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import CharDelimiterSplit
 
-from ..session import materialize
-from .arrow import Remembered, RememberedColumn, as_bytes, extend, kept, map_rows
+from ..session import materialize, small_batches
+from .arrow import Remembered, RememberedColumn, as_bytes, extend, kept
 
-FLUSH = 500_000     # distinct pre-tokens that a task holds before it passes its counts on
+FLUSH = 500_000     # counts of pre-tokens that a task holds before it passes them on
+TEXTS_AT_ONCE = 1024  # texts that are split in one go
+BATCH_WORDS = 1 << 14  # pre-tokens of a batch of counts
 HEAD_ROWS = 200_000  # most frequent pre-tokens that every task knows ...
 HEAD_BYTES = 64      # ... of at most this many bytes each: a bound of 12.8 MB
 KNOWN_PARTS = 48 << 20  # bytes of plain parts and their ids that a worker remembers where words come one by one
@@ -109,7 +111,7 @@ def cut(data: np.ndarray, edges: np.ndarray) -> tuple[pa.BinaryArray, pa.BinaryA
 class WordEncoder:
     """Packed token ids of words; plain words go straight to the tokenizer's model, which is several times faster."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, known_words: int = KNOWN_WORDS):
         self.tokenizer = load(path)
         self.model = self.tokenizer.model
         self.bare = Tokenizer(self.model)  # no normaliser, no splitter but line ends
@@ -119,7 +121,7 @@ class WordEncoder:
         self.closing = np.array([(token or "").endswith(suffix) for token in tokens])
         self.parts = Remembered(self._part, KNOWN_PARTS)
         self.column = RememberedColumn(KNOWN_COLUMN)
-        self.words = Remembered(self.word, KNOWN_WORDS)
+        self.words = Remembered(self.word, known_words)
 
     def _part(self, text: str) -> bytes:
         """Ids of a piece of text that the tokenizer would not split further."""
@@ -185,27 +187,67 @@ def word_encoder(path: str) -> WordEncoder:
     return kept(("words", path), lambda: WordEncoder(path))
 
 
-def word_frequencies(rows: Iterator[dict]) -> Iterator[tuple]:
-    counts: Counter = Counter()
-    for row in rows:
-        counts.update(row["t"].split())
-        if len(counts) > FLUSH:
-            yield from counts.items()
-            counts = Counter()
-    yield from counts.items()
+def split_words(texts: pa.BinaryArray) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """The row and the word of every place in the texts; empty words stand for ends that are white space."""
+    split = pc.ascii_split_whitespace(texts.view(pa.string()))
+    return np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy())), split.flatten().dictionary_encode()
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    return (batch.slice(at, rows) for batch in batches for at in range(0, batch.num_rows, rows))
+
+
+def word_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts as Arrow arrays, which take a small part of the room of Python's objects."""
+    def summed(pending: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        found = pa.concat_tables(pending).group_by("word").aggregate([("n", "sum")])
+        found = pa.table({"word": found["word"], "n": found["n_sum"]})
+        return iter(found.to_batches(max_chunksize=BATCH_WORDS))
+
+    pending, held = [], 0
+    for part in slices(batches, TEXTS_AT_ONCE):
+        counts = pc.value_counts(split_words(part.column(0))[1])
+        words = counts.field("values").dictionary.take(counts.field("values").indices).view(pa.binary())
+        found = pa.table({"word": words, "n": counts.field("counts")})
+        pending.append(found.filter(pa.array(pc.binary_length(words).to_numpy() > 0)))
+        held += pending[-1].num_rows
+        if held > FLUSH:
+            yield from summed(pending)
+            pending, held = [], 0
+    if pending:
+        yield from summed(pending)
 
 
 def piece_table(docs: DataFrame, text_col: str, path: str) -> DataFrame:
     """Distinct pre-tokens with their frequency in all texts and their number of pieces, stored."""
-    frequencies = (map_rows(docs.select(as_bytes(text_col).alias("t")), "word binary, n bigint", word_frequencies)
+    frequencies = (docs.select(as_bytes(text_col).alias("t")).mapInArrow(word_frequencies, "word binary, n bigint")
                    .groupBy("word").agg(F.sum("n").alias("n")))
 
-    def count_pieces(rows: Iterator[dict]) -> Iterator[tuple]:
-        encoder = word_encoder(path)
-        for row in rows:
-            yield row["word"], row["n"], len(encoder.word(row["word"])) // 4
-
-    return materialize(map_rows(frequencies, "word binary, n bigint, pieces bigint", count_pieces), "pieces")
+    def count_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # No word comes twice, so whole words need not be remembered.
+        encoder = kept(("pieces", path), lambda: WordEncoder(path, 0))
+        for part in slices(batches, BATCH_WORDS):
+            words, n = part.columns
+            ids = pc.binary_length(encoder.encode_words(words)).to_numpy()
+            yield pa.RecordBatch.from_arrays([words, n, pa.array(ids // 4, pa.int64())], ["word", "n", "pieces"])
+
+    return materialize(frequencies.mapInArrow(count_pieces, "word binary, n bigint, pieces bigint"), "pieces")
+
+
+def count_known(texts: pa.BinaryArray, known: pa.BinaryArray, pieces: np.ndarray
+                ) -> tuple[np.ndarray, np.ndarray, pa.BinaryArray, np.ndarray]:
+    """Pieces of the known words of every text; offsets, words and times of its other words."""
+    rows, words = split_words(texts)
+    different, index = words.dictionary.view(pa.binary()), words.indices.to_numpy()
+    at = pc.index_in(different, value_set=known)
+    other = at.is_null().to_numpy(zero_copy_only=False)
+    each = np.where(other, 0, np.append(pieces, 0)[at.fill_null(len(pieces)).to_numpy()])
+    other &= pc.binary_length(different).to_numpy() > 0
+    upto = np.concatenate([[0], each[index].cumsum()])
+    edges = np.searchsorted(rows, np.arange(len(texts) + 1))
+    places, times = np.unique((rows * len(different) + index)[other[index]], return_counts=True)
+    offsets = np.searchsorted(places, np.arange(len(texts) + 1) * len(different))
+    return np.diff(upto[edges]), offsets, different.take(pa.array(places % max(1, len(different)))), times
 
 
 def token_counts(docs: DataFrame, path: str, keep: Sequence[str] = ("doc_id",), text_col: str = "text",
@@ -222,28 +264,32 @@ def token_counts(docs: DataFrame, path: str, keep: Sequence[str] = ("doc_id",),
     ``n_bytes`` or ``n_tokens``; other columns of the input, whatever their names, are not looked at.
     """
     spark, keep = docs.sparkSession, list(keep)
-    pieces = piece_table(docs, text_col, path)
+    with small_batches(spark):
+        pieces = piece_table(docs, text_col, path)
     commonest = (pieces.where(F.octet_length("word") <= HEAD_BYTES).orderBy(F.desc("n"), "word")
                  .limit(head_rows).select("word", "pieces").toArrow())
-    shared = spark.sparkContext.broadcast(dict(zip(commonest["word"].to_pylist(), commonest["pieces"].to_pylist())))
-
-    def frequencies(rows: Iterator[dict]) -> Iterator[tuple]:
-        known = shared.value
-        for row in rows:
-            total, words, times = 0, [], []
-            for word, n in Counter(row["__tc_text"].split()).items():
-                found = known.get(word)
-                if found is None:
-                    words.append(word)
-                    times.append(n)
-                else:
-                    total += found * n
-            yield *(row[c] for c in keep), len(row["__tc_text"]), total, words, times
-
+    shared = spark.sparkContext.broadcast((
+        pa.concat_arrays([pa.array([], pa.binary()), *commonest["word"].cast(pa.binary()).chunks]),
+        commonest["pieces"].to_numpy().astype(np.int64)))
     added = "n_bytes bigint, __tc_head bigint, __tc_words array<binary>, __tc_times array<int>"
-    counted = map_rows(docs.select(*keep, as_bytes(text_col).alias("__tc_text")), extend(docs, keep, added), frequencies)
+    result = extend(docs, keep, added)
+
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept(("head", path), dict)  # the encoder of the stage before goes
+        fields = list(to_arrow_schema(result))[len(keep):]
+        for part in slices(batches, TEXTS_AT_ONCE):
+            texts = part.column(len(keep))
+            head, offsets, words, times = count_known(texts, *shared.value)
+            new = [pc.binary_length(texts).cast(pa.int64()), pa.array(head, pa.int64()), *(
+                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, type=field.type)
+                for values, field in ((words, fields[2]), (pa.array(times, pa.int32()), fields[3])))]
+            yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], *new], schema=pa.schema(
+                [*list(part.schema)[:len(keep)], *fields]))
+
+    counted = docs.select(*keep, as_bytes(text_col).alias("__tc_text")).mapInArrow(frequencies, result)
     # A row number is only stable once it is stored together with the row.
-    stored = materialize(counted.withColumn("__tc_row", F.monotonically_increasing_id()), "frequencies")
+    with small_batches(spark):
+        stored = materialize(counted.withColumn("__tc_row", F.monotonically_increasing_id()), "frequencies")
     rest = (stored.select("__tc_row", F.explode(F.arrays_zip("__tc_words", "__tc_times")).alias("w"))
             .select("__tc_row", F.col("w.__tc_words").alias("word"), F.col("w.__tc_times").alias("times")))
     tail = (rest.join(pieces.select("word", "pieces"), "word")

@@ -5,6 +5,7 @@ import itertools
 import random
 import sys
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -13,6 +14,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
+from panelspark import session
 from panelspark.llm import arrow, bpe, packing, token_counts
 from panelspark.llm.token_counts import load
 
@@ -40,6 +42,65 @@ def test_every_ascii_space_splits_like_the_library():
         assert token_counts.WordEncoder(WORD).encode(text.encode()) == token_counts.packed(library(WORD, text))
 
 
+def batches_of(texts, rows):
+    return iter(pa.RecordBatch.from_arrays([pa.array(texts[at:at + rows], pa.binary())], ["t"])
+                for at in range(0, len(texts), rows))
+
+
+@pytest.mark.parametrize("flush, at_once", [(0, 1), (7, 3), (10 ** 6, 1024)])
+def test_words_are_counted_like_bytes_are_split(monkeypatch, flush, at_once):
+    monkeypatch.setattr(token_counts, "FLUSH", flush)
+    monkeypatch.setattr(token_counts, "TEXTS_AT_ONCE", at_once)
+    monkeypatch.setattr(token_counts, "BATCH_WORDS", 5)
+    rng = random.Random(3)
+    units = [b"a", b"bc", b"\xc3\xa9", b"\xff", b"\x00", b"\x1c", b"\x85", b"\xc2\xa0", *[bytes([c]) for c in b" \t\n\r\x0b\x0c"]]
+    texts = [b"".join(rng.choices(units, k=rng.randint(0, 30))) for _ in range(50)] + [b"", b"  ", b" a "]
+    got, known = Counter(), [b"a", b"bc", b"\xc3\xa9"]
+    for batch in token_counts.word_frequencies(batches_of(texts, 20)):
+        assert batch.num_rows <= 5
+        for row in batch.to_pylist():
+            got[row["word"]] += row["n"]
+    assert got == Counter(w for t in texts for w in t.split())
+    head, offsets, words, times = token_counts.count_known(pa.array(texts, pa.binary()), pa.array(known), np.array([1, 20, 300]))
+    pieces = dict(zip(known, (1, 20, 300)))
+    assert head.tolist() == [sum(pieces.get(w, 0) for w in t.split()) for t in texts]
+    assert [dict(zip(words[a:b].to_pylist(), times[a:b])) for a, b in zip(offsets, offsets[1:])] == [
+        Counter(w for w in t.split() if w not in pieces) for t in texts]
+    none, offsets, _, times = token_counts.count_known(pa.array([b"", b"a a"]), pa.array([], pa.binary()), np.zeros(0, np.int64))
+    assert (none.tolist(), offsets.tolist(), times.tolist()) == ([0, 0], [0, 0, 1], [2])
+
+
+def test_counting_words_holds_no_python_object_for_each():
+    texts = [b" ".join(b"%x" % (word * 7919) for word in range(at, at + 400)) for at in range(0, 200_000, 400)]
+    tracemalloc.start()
+    try:
+        words = sum(batch.num_rows for batch in token_counts.word_frequencies(batches_of(texts, 500)))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert words == 200_000
+    assert peak < 40 * words  # an entry of a dict with its key takes over 100 bytes
+
+
+def test_small_batches_bound_what_python_gets_and_put_settings_back(spark, tmp_path):
+    spark.range(3000, numPartitions=1).selectExpr("id", "repeat('ab ', 2000) AS t").write.parquet(f"{tmp_path}/t")
+    names = list(session.SMALL_BATCHES)
+    before = [spark.conf.get(name) for name in names]
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], ["n"])
+
+    def largest():
+        return max(r.n for r in spark.read.parquet(f"{tmp_path}/t").mapInArrow(sizes, "n bigint").collect())
+
+    assert largest() > 16 << 20
+    with pytest.raises(KeyError), session.small_batches(spark):
+        assert largest() < 3 << 20
+        raise KeyError
+    assert [spark.conf.get(name) for name in names] == before
+
+
 def test_plain_words_equal_the_library():
     rng = random.Random(6)
     letters = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(192, 215), *range(216, 247), *range(248, 256))]
