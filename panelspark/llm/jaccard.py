@@ -18,7 +18,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import materialize
+from ..session import materialize, small_batches
 from .arrow import as_bytes, map_rows
 from .components import components
 from .sharding import running_total
@@ -195,7 +195,7 @@ def candidate_sets(texts: DataFrame, listed: DataFrame, classes: DataFrame, perc
         for row in rows:
             if row["th"] not in passed and contains(bitmaps, row["th"]):
                 tokens = shingles(row["text"])
-                yield *set_hash(tokens), tokens.tolist()
+                yield *set_hash(tokens), tokens
                 passed.add(row["th"])
                 if len(passed) > PASSED:
                     passed = set()
@@ -204,8 +204,9 @@ def candidate_sets(texts: DataFrame, listed: DataFrame, classes: DataFrame, perc
     single = again.join(passing.select("d1", "d2"), ["d1", "d2"], "left_semi").groupBy("d1", "d2").agg(
         F.first("tokens").alias("tokens"))
     # A number is only stable once it is stored together with the row.
-    return materialize(single.join(passing.drop("th"), ["d1", "d2"])
-                       .withColumn("cls", F.monotonically_increasing_id()), "sets")
+    with small_batches(texts.sparkSession):
+        return materialize(single.join(passing.drop("th"), ["d1", "d2"])
+                           .withColumn("cls", F.monotonically_increasing_id()), "sets")
 
 
 def families(sets: DataFrame, percent: int) -> DataFrame:
@@ -325,10 +326,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def read(rows: Iterator[dict]) -> Iterator[tuple]:
         for row in rows:
             tokens = shingles(row["text"])
-            yield row["id"], row["th"], len(tokens), *set_hash(tokens), tokens[tokens % SAMPLE == 0].tolist()
+            yield row["id"], row["th"], len(tokens), *set_hash(tokens), tokens[tokens % SAMPLE == 0]
 
     schema = "id bigint, th bigint, n bigint, d1 bigint, d2 bigint, sample array<bigint>"
-    listed = materialize(map_rows(texts, schema, read), "listed")
+    with small_batches(docs.sparkSession):
+        listed = materialize(map_rows(texts, schema, read), "listed")
     classes = materialize(listed.groupBy("n", "d1", "d2").agg(
         F.min("id").alias("least_id"), F.min("th").alias("th")), "classes")
     sets = candidate_sets(texts.select("th", "text"), listed, classes, percent)

@@ -8,6 +8,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from panelspark import session
 from panelspark.llm import jaccard, neighbours
 from panelspark.llm.components import components
 from panelspark.llm.queries import QUERIES
@@ -137,6 +138,25 @@ def test_jaccard_join_on_families_around_the_threshold(spark, block_sets, percen
     assert joined(got) == plain_components(rows, percent)
 
 
+def test_jaccard_join_reads_texts_in_small_portions(spark, monkeypatch):
+    """Both readings of the texts, and nothing else, run with small batches; sets come as arrays, not as lists of numbers."""
+    names, seen, kinds = list(session.SMALL_BATCHES), {}, set()
+    settings = lambda: [spark.conf.get(name) for name in names]
+    before, write, run = settings(), jaccard.materialize, jaccard.map_rows
+
+    def rows(df, schema, work):
+        kinds.update(type(row[-1]) for row in work(iter([{"id": 1, "th": 2, "text": b"a b c d e f g"}])))
+        return run(df, schema, work)
+
+    monkeypatch.setattr(jaccard, "materialize", lambda df, label: seen.setdefault(label, settings()) and write(df, label))
+    monkeypatch.setattr(jaccard, "map_rows", rows)
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(3, text), (1, text + " x"), (2, "other words"), (4, None)], "doc_id bigint, text string")
+    assert joined(jaccard.jaccard_components(docs)) == plain_components([(r.doc_id, r.text) for r in docs.collect()])
+    assert {label for label, found in seen.items() if found == list(session.SMALL_BATCHES.values())} == {"listed", "sets"}
+    assert settings() == before and kinds == {np.ndarray}
+
+
 def test_jaccard_edge_rows(spark):
     docs = edge_docs(spark)
     assert joined(jaccard.jaccard_components(docs)) == plain_components(pairs(edge_rows()))
