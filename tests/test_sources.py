@@ -1,4 +1,7 @@
 import datetime as dt
+import gzip
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +9,7 @@ from pyspark.sql import functions as F
 from panelspark.operators import nations, panel as P
 from panelspark.plans import refresh
 from panelspark.plans.staging import CATEGORIES, DECIMAL, WHOLE
+from panelspark.session import materialize, new_path, scratch
 from panelspark.sources import files, pages, runs
 from panelspark.sources.names import normalize_names
 from panelspark.suite import build_queries
@@ -341,3 +345,99 @@ def test_raw_categories_share_one_shuffle(spark, monkeypatch):
         keepers = category in build_queries.KEEPER_CATEGORIES
         expected = {"1990": 14, "1991": 13, "1992": 13} if not keepers else {"1990": 7, "1991": 7, "1992": 6}
         assert {r.season_id: r["count"] for r in stored} == expected
+
+
+def test_portions_of_seasons():
+    assert refresh.portions({"c": 4, "a": 5, "b": 3, "d": 9, "e": 0}, 7) == [["a"], ["b", "c"], ["d"], ["e"]]
+    assert refresh.portions({"a": 1, "b": 2}, 0) == [["a"], ["b"]]
+    assert refresh.portions({"": 0}, 0) == [[""]] and refresh.portions({}, 9) == []
+
+
+def test_marts_by_portions_of_seasons_are_those_of_one_go(spark, tmp_path, monkeypatch):
+    raw, whole, parts = tmp_path / "raw", str(tmp_path / "whole"), str(tmp_path / "parts")
+    seasons = ["2022-2023", "2023 é%20-2024", "2024-2025"]
+    for i, season in enumerate(seasons):
+        write_season(raw, season, 10 * i)
+    before = rows_of(refresh.build(spark, str(raw), whole))
+    derived = []
+    panel = refresh.M.player_panel
+    monkeypatch.setattr(refresh, "PORTION", 0)
+    monkeypatch.setattr(refresh.M, "player_panel", lambda stages: derived.append(1) or panel(stages))
+    assert rows_of(refresh.build(spark, str(raw), parts)) == before and len(derived) == 3
+    assert len(before["player_panel"]) == 36 and len(before["squad_profile"]) > 0
+    assert rows_of(refresh.refresh(spark, str(raw), parts, [seasons[0], seasons[2]])) == before and len(derived) == 3 + 2
+
+
+def test_only_files_of_the_portion_are_read(spark, tmp_path):
+    for season in ("2023-2024", "2024-2025", "2025-2026"):
+        (tmp_path / season).mkdir()
+        (tmp_path / season / f"x_{season}.csv").write_text("Player,Gls\nA,1\n")
+    chosen = files.read_category(spark, f"{tmp_path}/*/x_*.csv").where(F.col("season_id").isin(["2024_2025"]))
+    assert [r.season_id for r in chosen.collect()] == ["2024_2025"]
+    (tmp_path / "2023-2024" / "x_2023-2024.csv").unlink()  # it is not opened
+    assert [r.season_id for r in chosen.collect()] == ["2024_2025"]
+
+
+def test_gzipped_files_are_read_and_a_gzipped_copy_is_not(spark, tmp_path):
+    texts = {"2023-2024": "Player,Gls\nA,1\n", "2024-2025": "Player,Gls\nB,2\n", "2025-2026": "Player,Gls,Ast\nC,3,4\n"}
+    for season, text in texts.items():
+        (tmp_path / season).mkdir()
+        (tmp_path / season / f"x_{season}.csv.gz").write_bytes(gzip.compress(text.encode()))
+    (tmp_path / "2023-2024" / "x_2023-2024.csv").write_text(texts["2023-2024"])
+    (tmp_path / "2023-2024" / "x_old.csv.bak").write_text("Player,Gls\nZ,9\n")
+    pattern = f"{tmp_path}/*/x_*.csv"
+    rows = files.read_category(spark, pattern).collect()
+    assert sorted((r.player, r.gls, r.ast, r.season_id) for r in rows) == [
+        ("A", "1", None, "2023_2024"), ("B", "2", None, "2024_2025"), ("C", "3", "4", "2025_2026")]
+    sizes = files.season_bytes(spark, [pattern])
+    assert set(sizes) == {"2023_2024", "2024_2025", "2025_2026"}
+    assert sizes["2024_2025"] == 8 * (tmp_path / "2024-2025" / "x_2024-2025.csv.gz").stat().st_size
+
+
+def test_scratch_deletes_its_own_tables(spark):
+    kept = materialize(spark.range(3), "kept")
+    with scratch(spark):
+        outer = new_path(spark, "outer")
+        with pytest.raises(RuntimeError), scratch(spark):
+            inner = new_path(spark, "inner")
+            spark.range(2).write.parquet(inner)
+            raise RuntimeError
+        assert not Path(inner).exists()
+        spark.range(2).write.parquet(outer)
+        assert spark.read.parquet(outer).count() == 2
+    assert not Path(outer).exists() and kept.count() == 3
+
+
+def test_a_build_leaves_its_marts_only(spark, monkeypatch):
+    rows = spark.createDataFrame(
+        [("p", "s", str(1990 + i % 3), f"name {i}", "eng ENG", "GK" if i % 2 else "FW", "eng L", 20, 2000, i, 9.0)
+         for i in range(40)],
+        "player_id string, squad string, season_id string, player_name string, nation string, primary_position string, "
+        "competition string, age int, birth_year int, goals bigint, minutes_90s double")
+    monkeypatch.setattr(build_queries, "panel_with_keepers", lambda spark, sf: rows)
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    seen = {}
+    read = refresh.read_stages
+
+    def watched(spark, source, *rest, **named):
+        seen["root"] = Path(source)
+        seen["raw"] = [p.name for p in Path(source).rglob("part-*")]
+        return read(spark, source, *rest, **named)
+    monkeypatch.setattr(refresh, "read_stages", watched)
+
+    def shuffled():
+        return {b for b in map(lambda i: blocks_now.apply(i).name(), range(blocks_now.size())) if b.startswith("shuffle_")}
+    blocks_now = blocks.getAllBlocks()
+    before, folders = shuffled(), set(Path(build_queries.new_path(spark, "x")).parent.iterdir())
+    marts = build_queries.built(spark, "")
+    assert seen["raw"] and all(name.endswith(".csv.gz") for name in seen["raw"])
+    assert not seen["root"].exists()
+    new = set(seen["root"].parent.iterdir()) - folders
+    assert [p.name.split("-")[0] for p in new] == ["marts"]
+    for _ in range(60):  # files go after the action
+        blocks_now = blocks.getAllBlocks()
+        if not shuffled() - before:
+            break
+        time.sleep(0.5)
+    assert not shuffled() - before
+    assert marts["player_panel"].count() == 40 and marts["scouting"].count() == 40 and marts["trends"].count() == 40
